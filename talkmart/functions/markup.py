@@ -1,40 +1,43 @@
 r"""Text and blocks out of stored HTML, as Column expressions.
 
 Blocks are cut with regular expressions; nested elements of the same name are
-balanced by counting opening and closing tags. Only entity decoding leaves the
-JVM, and only for values that contain an ampersand.
+balanced by counting opening and closing tags. Only entity decoding leaves the JVM.
 """
 
 from __future__ import annotations
 
 import html as _html
+from collections.abc import Callable, Mapping, Sequence
 
 import pandas as pd
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 _BREAK = "\u0001"
-_JOIN = "\u0002"
 _NOT_TEXT = r"(?is)<(script|style|template)\b.*?</\1\s*>|<!--.*?-->|<!doctype[^>]*>|<[a-z/][^>]*>"
 _EDGES = r"(?U)^\s+|\s+$"
 
 
 @F.pandas_udf(T.StringType())
-def _decode(values: pd.Series) -> pd.Series:
+def decode_entities(values: pd.Series) -> pd.Series:
+    """``&amp;`` and all other HTML entities to characters; NULL stays NULL."""
     return values.map(_html.unescape, na_action="ignore")
 
 
-def decode_entities(text: Column) -> Column:
-    """``&amp;`` and all other HTML entities to characters."""
-    coded = F.when(text.contains("&"), text)
-    return F.coalesce(_decode(coded), text)
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` over ``value``, with ``value`` worked out once however often it is named."""
+    return F.element_at(F.transform(F.array(value), body), 1)
 
 
-def decode_entities_in(texts: Column) -> Column:
-    """The same for an array of texts."""
-    joined = F.array_join(F.transform(texts, lambda t: F.coalesce(t, F.lit(""))), _JOIN)
-    return F.when(F.size(texts) > 0, F.split(decode_entities(joined), _JOIN)).otherwise(texts)
+def computed_once(df: DataFrame, keep: Sequence[str], columns: Mapping[str, Column]) -> DataFrame:
+    """Select ``keep`` and ``columns`` so that the new columns are worked out once per row.
+
+    A plain select would be merged into whatever uses it, which repeats long
+    extraction expressions for every later mention and in pushed-down filters.
+    """
+    packed = F.struct(*(column.alias(name) for name, column in columns.items()))
+    return df.select(*keep, F.inline(F.array(packed)))
 
 
 def strip(text: Column) -> Column:
@@ -47,13 +50,22 @@ def text_of(markup: Column) -> Column:
     return F.regexp_replace(markup, _NOT_TEXT, "")
 
 
-def lines_of(markup: Column) -> Column:
-    """Text nodes, each stripped, empty ones left out, one per line; entities decoded."""
-    text = decode_entities(F.regexp_replace(markup, _NOT_TEXT, _BREAK))
+def broken_text(markup: Column) -> Column:
+    """Text nodes with a break mark where markup was; entities still coded."""
+    return F.regexp_replace(markup, _NOT_TEXT, _BREAK)
+
+
+def joined_lines(text: Column) -> Column:
+    """From ``broken_text``: each node stripped, empty ones left out, one per line."""
     nodes = F.transform(F.split(text, _BREAK), strip)
     return F.array_join(F.filter(nodes, lambda node: node != ""), "\n")
 
 
+def lines_of(markup: Column) -> Column:
+    """Text nodes, entities decoded, each stripped, empty ones left out, one per line."""
+    return joined_lines(decode_entities(broken_text(markup)))
+
+
 def open_tag(tag: str, css_class: str | None = None) -> str:
     """Pattern for an opening tag, with a class among its classes if one is given."""
     if css_class is None:
@@ -73,8 +85,6 @@ def element(markup: Column, tag: str, css_class: str | None = None) -> Column:
 
 def balanced(tail: Column, tag: str) -> Column:
     """Cut what follows an opening tag at the closing tag that belongs to it."""
-    pieces = F.split(tail, rf"(?i)(?=<{tag}\b)|(?=</{tag}\s*>)")
-
     def step(state: Column, piece: Column) -> Column:
         change = (
             F.when(piece.rlike(rf"(?i)^<{tag}\b"), 1).when(piece.rlike(rf"(?i)^</{tag}\s*>"), -1).otherwise(0)
@@ -86,9 +96,11 @@ def balanced(tail: Column, tag: str) -> Column:
             (state["kept"] + F.when(done, 0).otherwise(1)).alias("kept"),
         )
 
-    start = F.struct(F.lit(1).alias("depth"), F.lit(0).alias("kept"))
-    kept = F.aggregate(pieces, start, step, lambda state: state["kept"])
-    return F.when(tail.isNotNull(), F.array_join(F.slice(pieces, 1, kept), ""))
+    def cut(pieces: Column) -> Column:
+        start = F.struct(F.lit(1).alias("depth"), F.lit(0).alias("kept"))
+        return F.array_join(F.slice(pieces, 1, F.aggregate(pieces, start, step, lambda s: s["kept"])), "")
+
+    return let(F.split(tail, rf"(?i)(?=<{tag}\b)|(?=</{tag}\s*>)"), cut)
 
 
 def leaf(markup: Column, tag: str, css_class: str | None = None) -> Column:
@@ -98,16 +110,21 @@ def leaf(markup: Column, tag: str, css_class: str | None = None) -> Column:
 
 def sections(markup: Column, tag: str, css_class: str | None = None) -> Column:
     """What follows each such opening tag, up to the next one, as an array."""
-    pieces = F.split(markup, open_tag(tag, css_class))
-    return F.slice(pieces, 2, F.greatest(F.size(pieces) - 1, F.lit(0)))
+    return let(
+        F.split(markup, open_tag(tag, css_class)),
+        lambda pieces: F.slice(pieces, 2, F.greatest(F.size(pieces) - 1, F.lit(0))),
+    )
 
 
 def attribute(markup: Column, tag: str, name: str) -> Column:
     """An attribute of the first such tag, else NULL; entities still coded."""
-    opening = F.regexp_extract(markup, open_tag(tag), 0)
     pattern = rf"""(?is)\b{name}\s*=\s*(?:"([^"]*)"|'([^']*)')"""
-    value = F.concat(F.regexp_extract(opening, pattern, 1), F.regexp_extract(opening, pattern, 2))
-    return F.when(opening.rlike(pattern), value)
+
+    def value(opening: Column) -> Column:
+        either = F.concat(F.regexp_extract(opening, pattern, 1), F.regexp_extract(opening, pattern, 2))
+        return F.when(opening.rlike(pattern), either)
+
+    return let(F.regexp_extract(markup, open_tag(tag), 0), value)
 
 
 def links_of(markup: Column) -> Column:

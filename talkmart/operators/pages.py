@@ -31,9 +31,12 @@ from talkmart.schemas import RAW
 _COMMENTS = RAW["comments"].dataType.simpleString()
 
 
-def _finish(df: DataFrame, car_name: str | Column, source: str, status: Column) -> DataFrame:
+_PART = "\u0002"
+
+
+def _finish(df: DataFrame, car_name: str | Column, source: str) -> DataFrame:
     car = car_name if isinstance(car_name, Column) else F.lit(car_name)
-    ready = df.withColumns({"car_name": car, "source": F.lit(source), "status": status})
+    ready = df.withColumns({"car_name": car, "source": F.lit(source)})
     fields = [F.col(f.name).cast(f.dataType).alias(f.name) for f in RAW.fields]
     return ready.select("url", *fields, "status")
 
@@ -49,39 +52,40 @@ def _comment(content, nickname, day, likes, dislikes) -> Column:
 
 
 def _decoded(comments: Column) -> Column:
-    """Decode entities in text and name of every comment of an array."""
-    texts = M.decode_entities_in(F.transform(comments, lambda c: c["comment_content"]))
-    names = M.decode_entities_in(F.transform(comments, lambda c: c["comment_nickname"]))
-    return F.transform(
-        F.arrays_zip(comments.alias("c"), texts.alias("t"), names.alias("n")),
-        lambda z: _comment(
-            F.when(z["c"]["comment_content"].isNotNull(), z["t"]),
-            F.when(z["c"]["comment_nickname"].isNotNull(), z["n"]),
-            z["c"]["comment_date"],
-            z["c"]["comment_like_count"],
-            z["c"]["comment_dislike_count"],
+    """Decode the entities in text and name of every comment; one call per page."""
+    texts = F.transform(
+        comments,
+        lambda c: F.concat_ws(
+            _PART, F.coalesce(c["comment_content"], F.lit("")), F.coalesce(c["comment_nickname"], F.lit(""))
         ),
-    ).cast(_COMMENTS)
+    )
+
+    def put_back(parts: Column) -> Column:
+        return F.transform(
+            comments,
+            lambda c, i: _comment(
+                F.when(c["comment_content"].isNotNull(), F.get(parts, i * 2)),
+                F.when(c["comment_nickname"].isNotNull(), F.get(parts, i * 2 + 1)),
+                c["comment_date"],
+                c["comment_like_count"],
+                c["comment_dislike_count"],
+            ),
+        )
 
+    return M.let(F.split(M.decode_entities(F.array_join(texts, _PART)), _PART), put_back).cast(_COMMENTS)
+
+
+def _any_missing(*columns: str) -> Column:
+    return F.greatest(*(F.col(c).isNull() for c in columns)) if len(columns) > 1 else F.col(columns[0]).isNull()
 
-def _any_incomplete(comments: Column, *fields: str) -> Column:
-    def incomplete(c: Column) -> Column:
-        missing = c[fields[0]].isNull()
-        for f in fields[1:]:
-            missing = missing | c[f].isNull()
-        return missing
 
-    return F.exists(comments, incomplete)
+def _any_incomplete(comments: Column, *fields: str) -> Column:
+    return F.exists(comments, lambda c: F.array_contains(F.array(*(c[f].isNull() for f in fields)), True))
 
 
 def profile_pages(pages: DataFrame, car_name: str | Column, source: str = "bobae", zone: str = SEOUL) -> DataFrame:
     """Forum pages with a writer profile and one ``|``-separated count line."""
     html = F.col("html")
-    profile = M.element(html, "div", "writerProfile")
-    body_box = M.element(html, "div", "content02")
-    body = F.coalesce(M.element(body_box, "div", "bodyCont"), M.element(body_box, "div", "mycarCont"))
-    counts = M.decode_entities(M.text_of(M.leaf(html, "span", "countGroup")))
-    list_items = M.sections(M.leaf(M.element(html, "div", "commentlistbox"), "ul", "basiclist"), "li")
 
     def comment(item: Column) -> Column:
         head = M.leaf(item, "dt")
@@ -99,124 +103,143 @@ def profile_pages(pages: DataFrame, car_name: str | Column, source: str = "bobae
             vote(2),
         )
 
-    stamp = F.translate("_stamp", " ", " ")
-    parsed = (
-        pages.select(
-            "url",
-            profile.alias("_profile"),
-            M.lines_of(body).alias("article"),
-            counts.alias("_counts"),
-            F.coalesce(F.transform(list_items, comment), F.array()).cast(_COMMENTS).alias("_comments"),
-        )
-        .withColumn("_stamp", token(F.col("_counts"), ("|", -1)))
-        .select(
-            "url",
-            "article",
-            "_profile",
-            F.concat(F.lit(source + "_"), query_id(F.col("url"))).alias("id"),
-            M.decode_entities(M.attribute(F.col("_profile"), "dt", "title")).alias("title"),
-            M.decode_entities(or_default(M.text_of(M.leaf(F.col("_profile"), "a", "nickName")), "")).alias("nickname"),
-            parse_count(token(F.col("_counts"), ("|", 0), (" ", 1))).alias("view_count"),
-            parse_count(token(F.col("_counts"), ("|", 1), (" ", 2))).alias("like_count"),
-            F.lit(0).alias("dislike_count"),
-            parse_epoch(
-                F.concat_ws(" ", token(stamp, (" ", 0)), token(stamp, (" ", 2))), DOT_LONG, zone=zone
-            ).alias("date"),
-            F.size("_comments").alias("comment_count"),
-            _decoded(F.col("_comments")).alias("comments"),
-        )
+    items = M.sections(M.leaf(M.element(html, "div", "commentlistbox"), "ul", "basiclist"), "li")
+    boxes = {
+        "profile": M.element(html, "div", "writerProfile"),
+        "body": M.let(
+            M.element(html, "div", "content02"),
+            lambda box: F.coalesce(M.element(box, "div", "bodyCont"), M.element(box, "div", "mycarCont")),
+        ),
+        "counts": M.text_of(M.leaf(html, "span", "countGroup")),
+        "comments": F.coalesce(F.transform(items, comment), F.array()).cast(_COMMENTS),
+    }
+    counts, profile = F.col("counts"), F.col("profile")
+    stamp = F.regexp_replace(token(counts, ("|", -1)), "&nbsp;?|\u00a0", " ")
+    fields = {
+        "title": M.attribute(profile, "dt", "title"),
+        "nickname": or_default(M.text_of(M.leaf(profile, "a", "nickName")), ""),
+        "article": M.broken_text(F.col("body")),
+        "view_count": parse_count(token(counts, ("|", 0), (" ", 1))),
+        "like_count": parse_count(token(counts, ("|", 1), (" ", 2))),
+        "date": parse_epoch(F.concat_ws(" ", token(stamp, (" ", 0)), token(stamp, (" ", 2))), DOT_LONG, zone=zone),
+        "deleted": profile.isNull(),
+    }
+    found = M.computed_once(M.computed_once(pages, ["url"], boxes), ["url", "comments"], fields)
+    bad = _any_missing("title", "article", "date") | _any_incomplete(
+        F.col("comments"), "comment_content", "comment_nickname", "comment_date"
     )
-    bad = (
-        F.col("title").isNull()
-        | F.col("article").isNull()
-        | F.col("date").isNull()
-        | _any_incomplete(F.col("comments"), "comment_content", "comment_nickname", "comment_date")
+    parsed = found.select(
+        "url",
+        F.concat(F.lit(source + "_"), query_id(F.col("url"))).alias("id"),
+        M.decode_entities("title").alias("title"),
+        M.decode_entities("nickname").alias("nickname"),
+        M.joined_lines(M.decode_entities("article")).alias("article"),
+        "view_count",
+        "like_count",
+        F.lit(0).alias("dislike_count"),
+        "date",
+        F.size("comments").alias("comment_count"),
+        _decoded(F.col("comments")).alias("comments"),
+        F.when(F.col("deleted"), "deleted").when(bad, "failed").otherwise("ok").alias("status"),
     )
-    status = F.when(F.col("_profile").isNull(), "deleted").when(bad, "failed").otherwise("ok")
-    return _finish(parsed, car_name, source, status)
+    return _finish(parsed, car_name, source)
 
 
 def view_pages(pages: DataFrame, car_name: str | Column, source: str = "clien", zone: str = SEOUL) -> DataFrame:
     """Forum pages with a content view, one block per field and comment rows."""
-    view = M.element(F.col("html"), "div", "content_view")
 
     def named(container: Column, tag: str, css_class: str) -> Column:
         return M.strip(M.text_of(M.leaf(container, tag, css_class)))
 
-    subject = M.leaf(F.col("_title_box"), "h3", "post_subject")
-    # The title is the first span without a class.
-    plain_span = F.regexp_extract(subject, r"(?is)<span(?![^>]*\bclass\b)[^>]*>(.*?)</span", 1)
-    symph = M.element(F.col("_title_box"), "a", "post_symph")
-    likes = F.when(symph.isNull(), "0").otherwise(M.text_of(M.leaf(symph, "span")))
-
-    row_tag = r"""(?is)(?=<div\b[^>]*\bclass\s*=\s*["'](?:[^"'>]*\s)?comment_row(?:\s[^"'>]*)?["'])"""
-    rows = F.filter(
-        F.split(F.col("_comment_list"), row_tag),
-        lambda r: r.rlike(r"(?i)^<div\b[^>]*\bcomment_row\b") & ~r.rlike(r"(?i)^<div\b[^>]*[\s\"']blocked[\s\"']"),
-    )
-
     def comment(row: Column) -> Column:
         info = M.element(row, "div", "comment_info")
         votes = M.strip(M.text_of(M.leaf(M.element(row, "div", "comment_content_symph"), "strong")))
-        stamp = M.strip(M.text_of(M.leaf(info, "span", "timestamp")))
-        content = M.element(row, "div", "comment_content")
-        nodes = F.transform(F.split(F.regexp_replace(content, M._NOT_TEXT, M._BREAK), M._BREAK), M.strip)
         return _comment(
-            F.array_join(F.filter(nodes, lambda n: n != ""), "\n"),
+            M.joined_lines(M.broken_text(M.element(row, "div", "comment_content"))),
             named(info, "span", "nickname"),
-            parse_epoch(before_marker(stamp, "/"), DASH, zone=zone),
+            parse_epoch(before_marker(named(info, "span", "timestamp"), "/"), DASH, zone=zone),
             parse_count(votes, None),
             F.lit(0),
         )
 
-    author_box = M.element(F.col("_view"), "div", "post_author")
-    parsed = (
-        pages.select("url", view.alias("_view"))
-        .withColumn("_title_box", M.element(F.col("_view"), "div", "post_title"))
-        .withColumn("_author_box", author_box)
-        .withColumn("_comment_box", M.element(F.col("_view"), "div", "post_comment"))
-        .withColumn("_comment_list", M.element(F.col("_comment_box"), "div", "comment"))
-        .withColumn("_comments", F.coalesce(F.transform(rows, comment), F.array()).cast(_COMMENTS))
-        .select(
-            "url",
-            "_view",
-            "_comment_list",
-            F.concat(F.lit(source + "_"), path_id(F.col("url"))).alias("id"),
-            M.decode_entities(M.strip(M.text_of(plain_span))).alias("title"),
-            M.decode_entities(named(M.element(F.col("_view"), "div", "post_info"), "span", "nickname")).alias("nickname"),
-            M.lines_of(
-                M.element(M.element(F.col("_view"), "div", "post_view"), "div", "post_article")
-            ).alias("article"),
-            parse_count(likes, None).alias("like_count"),
-            F.lit(0).alias("dislike_count"),
-            parse_count(named(F.col("_author_box"), "span", "view_count"), None).alias("view_count"),
-            parse_epoch(
-                before_marker(named(F.col("_author_box"), "span", "date"), "\n"), DASH, zone=zone
-            ).alias("date"),
-            parse_count(
-                M.strip(M.text_of(M.leaf(M.element(F.col("_comment_box"), "div", "comment_head"), "strong"))), None
-            ).alias("comment_count"),
-            _decoded(F.col("_comments")).alias("comments"),
-        )
+    view = M.element(F.col("html"), "div", "content_view")
+    boxes = {
+        box: M.element(F.col("view"), "div", box)
+        for box in ("post_title", "post_author", "post_info", "post_view", "post_comment")
+    }
+    listed = M.element(F.col("post_comment"), "div", "comment")
+    row_start = rf"(?={M.open_tag('div', 'comment_row')})"
+    rows = F.filter(
+        F.split(F.col("listed"), row_start),
+        lambda r: r.rlike(r"(?i)^<div\b[^>]*\bcomment_row\b") & ~r.rlike(r"(?i)^<div\b[^>]*[\s\"']blocked[\s\"']"),
     )
-    required = ("title", "nickname", "article", "like_count", "view_count", "date", "comment_count", "_comment_list")
-    bad = _any_incomplete(
+    title_box = F.col("post_title")
+    # The title is the first span without a class.
+    plain_span = F.regexp_extract(
+        M.leaf(title_box, "h3", "post_subject"), r"(?is)<span(?![^>]*\bclass\b)[^>]*>(.*?)</span", 1
+    )
+    likes = M.let(
+        M.element(title_box, "a", "post_symph"),
+        lambda symph: F.when(symph.isNull(), "0").otherwise(M.text_of(M.leaf(symph, "span"))),
+    )
+    said = M.leaf(M.element(F.col("post_comment"), "div", "comment_head"), "strong")
+    fields = {
+        "title": M.strip(M.text_of(plain_span)),
+        "nickname": named(F.col("post_info"), "span", "nickname"),
+        "article": M.broken_text(M.element(F.col("post_view"), "div", "post_article")),
+        "like_count": parse_count(likes, None),
+        "view_count": parse_count(named(F.col("post_author"), "span", "view_count"), None),
+        "date": parse_epoch(
+            before_marker(named(F.col("post_author"), "span", "date"), "\n"), DASH, zone=zone
+        ),
+        "comment_count": parse_count(M.strip(M.text_of(said)), None),
+        "listed": listed,
+    }
+    found = M.computed_once(pages, ["url"], {"view": view})
+    found = M.computed_once(found, ["url"], boxes)
+    found = M.computed_once(found, ["url"], fields)
+    kept = ["url", *(f for f in fields if f != "listed")]
+    found = M.computed_once(
+        found,
+        [*kept, "listed"],
+        {"comments": F.coalesce(F.transform(rows, comment), F.array()).cast(_COMMENTS)},
+    )
+    bad = _any_missing(*fields) | _any_incomplete(
         F.col("comments"), "comment_content", "comment_nickname", "comment_date", "comment_like_count"
     )
-    for name in required:
-        bad = bad | F.col(name).isNull()
-    return _finish(parsed, car_name, source, F.when(bad, "failed").otherwise("ok"))
+    parsed = found.select(
+        "url",
+        F.concat(F.lit(source + "_"), path_id(F.col("url"))).alias("id"),
+        M.decode_entities("title").alias("title"),
+        M.decode_entities("nickname").alias("nickname"),
+        M.joined_lines(M.decode_entities("article")).alias("article"),
+        "like_count",
+        F.lit(0).alias("dislike_count"),
+        "view_count",
+        "date",
+        "comment_count",
+        _decoded(F.col("comments")).alias("comments"),
+        F.when(bad, "failed").otherwise("ok").alias("status"),
+    )
+    return _finish(parsed, car_name, source)
 
 
 def article_pages(pages: DataFrame) -> DataFrame:
     """Plain article pages: title, heading, main text and language."""
     html = F.col("html")
-    return pages.select(
-        *(c for c in pages.columns if c != "html"),
-        M.decode_entities(M.strip(M.text_of(M.leaf(html, "title")))).alias("title"),
-        M.decode_entities(M.strip(M.text_of(M.leaf(html, "h1")))).alias("heading"),
-        M.lines_of(M.element(html, "article")).alias("article"),
-        M.attribute(html, "html", "lang").alias("lang"),
+    kept = [c for c in pages.columns if c != "html"]
+    fields = {
+        "title": M.text_of(M.leaf(html, "title")),
+        "heading": M.text_of(M.leaf(html, "h1")),
+        "article": M.broken_text(M.element(html, "article")),
+        "lang": M.attribute(html, "html", "lang"),
+    }
+    return M.computed_once(pages, kept, fields).select(
+        *kept,
+        M.strip(M.decode_entities("title")).alias("title"),
+        M.strip(M.decode_entities("heading")).alias("heading"),
+        M.joined_lines(M.decode_entities("article")).alias("article"),
+        "lang",
     )
 
 
@@ -224,7 +247,8 @@ def page_links(pages: DataFrame, container: str = "nav") -> DataFrame:
     """Link targets inside a container element, one row each, in page order."""
     links = M.links_of(M.element(F.col("html"), container))
     kept = [c for c in pages.columns if c != "html"]
-    return pages.select(*kept, F.posexplode(links).alias("pos", "link"))
+    rows = pages.select(*kept, F.posexplode(links).alias("pos", "link"))
+    return rows.withColumn("link", M.decode_entities("link"))
 
 
 def listed_links(pages: DataFrame, day: str | date, layout: str = "short", days: int = 7) -> DataFrame:
@@ -248,7 +272,8 @@ def listed_links(pages: DataFrame, day: str | date, layout: str = "short", days:
         raise ValueError(f"unknown layout: {layout}")
     rows = pages.select(F.explode(items).alias("item"))
     rows = rows.select(M.attribute(F.col("item"), "a", "href").alias("link"), listed.alias("listed_on"))
-    return rows.filter(within_lookback(F.col("listed_on"), day, days)).select("link").distinct()
+    recent = rows.filter(within_lookback(F.col("listed_on"), day, days))
+    return recent.select(M.decode_entities("link").alias("link")).distinct()
 
 
 # The parts of a video API record that are used.
@@ -269,7 +294,7 @@ def api_records(records: DataFrame, car_name: str | Column, column: str = "json"
     def count(value: Column) -> Column:
         return F.when(value.isNull(), 0).otherwise(value.try_cast("int"))
 
-    r = F.from_json(column, API_RECORD)
+    parsed_json = M.computed_once(records, [], {"r": F.from_json(column, API_RECORD)})
     replies = F.transform(
         F.coalesce(F.col("r.comments"), F.array()),
         lambda c: _comment(
@@ -280,7 +305,7 @@ def api_records(records: DataFrame, car_name: str | Column, column: str = "json"
             F.lit(0),
         ),
     )
-    parsed = records.select(r.alias("r")).select(
+    parsed = parsed_json.select(
         F.col("r.id").alias("url"),
         F.concat(F.lit(source + "_"), F.col("r.id")).alias("id"),
         or_default(F.col("r.snippet.title"), "").alias("title"),
@@ -293,14 +318,11 @@ def api_records(records: DataFrame, car_name: str | Column, column: str = "json"
         count(F.col("r.statistics.commentCount")).alias("comment_count"),
         replies.cast(_COMMENTS).alias("comments"),
     )
-    bad = (
-        F.col("id").isNull()
-        | F.col("like_count").isNull()
-        | F.col("view_count").isNull()
-        | F.col("comment_count").isNull()
-        | _any_incomplete(F.col("comments"), "comment_date", "comment_like_count")
+    bad = _any_missing("id", "like_count", "view_count", "comment_count") | _any_incomplete(
+        F.col("comments"), "comment_date", "comment_like_count"
     )
-    return _finish(parsed, car_name, source, F.when(bad, "failed").otherwise("ok"))
+    judged = parsed.withColumn("status", F.when(bad, "failed").otherwise("ok"))
+    return _finish(judged, car_name, source)
 
 
 def usable(extracted: DataFrame) -> DataFrame:

@@ -54,9 +54,11 @@ def numbered_lines(items: Column, text_field: str) -> Column:
     return F.array_join(lines, "\n")
 
 
-def prompt_batches(batched: DataFrame, key: str = "sentence_uuid", text: str = "sentence") -> DataFrame:
+def prompt_batches(
+    batched: DataFrame, key: str = "sentence_uuid", text: str = "sentence", carry: Sequence[str] = ()
+) -> DataFrame:
     """One row per batch: its items in order and the numbered lines for the prompt."""
-    item = F.struct("pos", F.col(key).alias("key"), F.col(text).alias("text"))
+    item = F.struct("pos", F.col(key).alias("key"), F.col(text).alias("text"), *carry)
     grouped = batched.groupBy("file_no", "batch_no").agg(F.sort_array(F.collect_list(item)).alias("items"))
     return grouped.withColumn("lines", numbered_lines(F.col("items"), "text"))
 
@@ -109,7 +111,6 @@ class CueScorer:
         return f"{n}. {SCORE_LABEL} [{score}], {CATEGORY_LABEL} [{category}], {KEYWORD_LABEL} [{keyword}]"
 
 
-_ITEMS = "array<struct<pos: int, key: string, text: string>>"
 _ANSWERED = "file_no int, batch_no int, items_json string, prompt string, reply string"
 
 
@@ -132,7 +133,7 @@ def ask(batches: DataFrame, scorer: Callable[[str], str] | None = None) -> DataF
         full_prompt(F.col("lines")).alias("prompt"),
     )
     answered = asked.mapInPandas(answer, _ANSWERED)
-    return answered.withColumn("items", F.from_json("items_json", _ITEMS)).drop("items_json", "prompt")
+    return answered.withColumn("items", F.from_json("items_json", batches.schema["items"].dataType)).drop("items_json", "prompt")
 
 
 def _safely(scorer: Callable[[str], str], prompt: str) -> str | None:
@@ -161,7 +162,7 @@ def reply_lines(reply: Column) -> Column:
     return F.split(F.regexp_replace(reply, r"^\s+|\s+$", ""), "\n")
 
 
-def parse_replies(answered: DataFrame, strict: bool = True) -> DataFrame:
+def parse_replies(answered: DataFrame, strict: bool = True, carry: Sequence[str] = ()) -> DataFrame:
     """``items`` + ``reply`` -> one row per sentence, with ``ok``.
 
     Lines belong to sentences by position, inside the row, so nothing is joined.
@@ -184,6 +185,7 @@ def parse_replies(answered: DataFrame, strict: bool = True) -> DataFrame:
         "pos",
         F.col("item.key").alias("sentence_uuid"),
         F.col("item.text").alias("sentence"),
+        *(F.col(f"item.{c}").alias(c) for c in carry),
         *parse_line(line),
         (_batch_broken(F.col("_all"), F.col("_asked")) if strict else F.lit(False)).alias("_broken"),
     )
@@ -201,12 +203,12 @@ def _batch_broken(lines: Column, asked: Column) -> Column:
     return F.coalesce((F.size(lines) > asked) | F.exists(lines, bad), F.lit(True))
 
 
-def classified(parsed: DataFrame) -> DataFrame:
-    return parsed.filter("ok").select("sentence_uuid", "sentiment_score", "category", "keyword")
+def classified(parsed: DataFrame, carry: Sequence[str] = ()) -> DataFrame:
+    return parsed.filter("ok").select("sentence_uuid", "sentiment_score", "category", "keyword", *carry)
 
 
-def classified_failed(parsed: DataFrame) -> DataFrame:
-    return parsed.filter(~F.col("ok")).select("sentence_uuid", "sentence")
+def classified_failed(parsed: DataFrame, carry: Sequence[str] = ()) -> DataFrame:
+    return parsed.filter(~F.col("ok")).select("sentence_uuid", "sentence", *carry)
 
 
 def attach_by_position(rows: DataFrame, scores: DataFrame) -> DataFrame:
@@ -221,7 +223,8 @@ def score_sentences(
     strict: bool = True,
     key: str = "sentence_uuid",
     text: str = "sentence",
+    carry: Sequence[str] = (),
 ) -> DataFrame:
     """Sentences -> parsed replies with ``ok``; see ``classified`` and ``classified_failed``."""
-    batched = assign_batches(sentences.select(key, text), key, files)
-    return parse_replies(ask(prompt_batches(batched, key, text), scorer), strict)
+    batched = assign_batches(sentences.select(key, text, *carry), key, files)
+    return parse_replies(ask(prompt_batches(batched, key, text, carry), scorer), strict, carry)

@@ -36,7 +36,7 @@ def _(spark, folder):
     """All declared rules on the comment metrics; the dimension holds the liked comments only."""
     staged = S.staged_comments(spark, folder)
     posts = S.staged_posts(spark, folder)
-    metrics = facts.comment_metrics(staged, posts, S.created_on())
+    metrics = facts.comment_metrics(S.dated(staged), posts, day_column="created_on")
     liked = staged.filter(F.col("like_cnt").isNotNull()).join(posts.select("post_uuid", "post_id"), "post_uuid")
     dims = {
         "tb_comments": liked.select("post_id", "comment_id"),

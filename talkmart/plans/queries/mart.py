@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from talkmart.functions.timefn import to_epoch
+from talkmart.functions.timefn import to_epoch, to_local_date
 from talkmart.operators import facts, upsert, views
 from talkmart.plans.queries import shapes as S
 from talkmart.plans.queries.registry import RUN_DATE, cte, query, sql_epoch, table, with_ctes
@@ -57,7 +57,7 @@ cte(
 def _posts_before(spark, folder):
     """Orders that are not pending, as the post dimension before the load."""
     known = S.staged_posts(spark, folder).filter(F.col("comment_cnt").isNotNull())
-    return known.select("post_id", "title", "author", "article", S.created_on().alias("create_date"))
+    return known.select("post_id", "title", "author", "article", to_local_date(F.col("create_timestamp")).alias("create_date"))
 
 
 _MERGED_POSTS = with_ctes(
@@ -148,11 +148,12 @@ def _(spark, folder):
 
 @query("append_post_metric", with_ctes("SELECT * FROM post_facts", "post_facts"))
 def _(spark, folder):
-    return facts.post_metrics(S.staged_posts(spark, folder), S.created_on())
+    return facts.post_metrics(S.dated(S.staged_posts(spark, folder)), day_column="created_on")
 
 
 def _comment_facts(spark, folder):
-    return facts.comment_metrics(S.staged_comments(spark, folder), S.staged_posts(spark, folder), S.created_on())
+    comments, posts = S.staged_comments(spark, folder), S.staged_posts(spark, folder)
+    return facts.comment_metrics(S.dated(comments), posts, day_column="created_on")
 
 
 @query("append_comment_metric", with_ctes("SELECT * FROM comment_facts", "comment_facts"))
@@ -182,9 +183,9 @@ def _keyword_facts(spark, folder):
     return facts.keyword_facts(
         sentences,
         S.staged_keywords(sentences),
-        S.staged_posts(spark, folder),
+        S.dated(S.staged_posts(spark, folder)),
         S.staged_comments(spark, folder),
-        S.created_on(),
+        day_column="created_on",
     )
 
 
@@ -224,7 +225,7 @@ cte(
 
 
 def _post_facts(spark, folder):
-    return facts.post_metrics(S.staged_posts(spark, folder), S.created_on())
+    return facts.post_metrics(S.dated(S.staged_posts(spark, folder)), day_column="created_on")
 
 
 @query("social_attention", with_ctes("SELECT * FROM attention", "attention"))

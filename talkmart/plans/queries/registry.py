@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from talkmart.functions import text as X
+from talkmart.sources.readers import read_spread
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -28,7 +29,7 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+    return read_spread(spark, f"{folder}/{name}.parquet")
 
 
 def sql_key(*parts: str) -> str:

@@ -265,9 +265,9 @@ def source_dim(spark: SparkSession, folder: str) -> DataFrame:
 cte("sources", "SELECT r_name AS source, (20 + r_regionkey * 10) || 's' AS age FROM region")
 
 
-def created_on() -> Column:
-    """Backfill stamp: the Seoul day the row was created."""
-    return to_local_date(F.col("create_timestamp"))
+def dated(staged: DataFrame) -> DataFrame:
+    """Adds ``created_on``, the Seoul day of the row, as the load day of a backfill."""
+    return staged.withColumn("created_on", to_local_date(F.col("create_timestamp")))
 
 
 def sql_seoul_day(epoch: str) -> str:

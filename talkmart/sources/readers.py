@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from talkmart.schemas import RAW, STAGING, STAGING_DIRS
+from talkmart.schemas import RAW, STAGING
 
 
 def read_raw_json(
@@ -50,19 +50,21 @@ def read_failure_lists(spark: SparkSession, pattern: str, name: str = "target")
     return read_lines(spark, pattern, name).distinct()
 
 
-def read_staging(spark: SparkSession, base: str, where=None) -> dict[str, DataFrame]:
-    """The four staging tables under ``base``, cast to their declared types.
+SPREAD_FROM_BYTES = 256 * 1024
+SPREAD_UP_TO_BYTES = 1024 * 1024 * 1024
 
-    ``where`` is a filter on the partition columns (``car_name``, ``dt``), so only
-    the days and cars of the load are read.
+
+def read_spread(spark: SparkSession, path: str) -> DataFrame:
+    """Parquet whose rows are dealt out to all cores when the table is small.
+
+    A small table is often one file with one row group, which a single task would
+    read and process. Between 256 KB and 1 GB its rows are dealt out first. Larger
+    tables have parts enough, and are left as they are.
     """
-    tables = {}
-    for name, table in STAGING.items():
-        df = spark.read.parquet(f"{base}/{STAGING_DIRS[name]}")
-        if where is not None:
-            df = df.filter(where)
-        tables[name] = df.select(*(F.col(f.name).cast(f.dataType).alias(f.name) for f in table.schema.fields))
-    return tables
+    df = spark.read.parquet(path)
+    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    cores = spark.sparkContext.defaultParallelism
+    return df.repartition(cores) if SPREAD_FROM_BYTES <= size <= SPREAD_UP_TO_BYTES else df
 
 
 def register_staging(spark: SparkSession, tables: Mapping[str, DataFrame]) -> None:
