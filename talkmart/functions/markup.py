@@ -7,13 +7,14 @@ balanced by counting opening and closing tags. Only entity decoding leaves the J
 from __future__ import annotations
 
 import html as _html
-from collections.abc import Callable, Mapping, Sequence
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from talkmart.functions.once import let
+
 _BREAK = "\u0001"
 _NOT_TEXT = r"(?is)<(script|style|template)\b.*?</\1\s*>|<!--.*?-->|<!doctype[^>]*>|<[a-z/][^>]*>"
 _EDGES = r"(?U)^\s+|\s+$"
@@ -25,21 +26,6 @@ def decode_entities(values: pd.Series) -> pd.Series:
     return values.map(_html.unescape, na_action="ignore")
 
 
-def let(value: Column, body: Callable[[Column], Column]) -> Column:
-    """``body`` over ``value``, with ``value`` worked out once however often it is named."""
-    return F.element_at(F.transform(F.array(value), body), 1)
-
-
-def computed_once(df: DataFrame, keep: Sequence[str], columns: Mapping[str, Column]) -> DataFrame:
-    """Select ``keep`` and ``columns`` so that the new columns are worked out once per row.
-
-    A plain select would be merged into whatever uses it, which repeats long
-    extraction expressions for every later mention and in pushed-down filters.
-    """
-    packed = F.struct(*(column.alias(name) for name, column in columns.items()))
-    return df.select(*keep, F.inline(F.array(packed)))
-
-
 def strip(text: Column) -> Column:
     """Strip every kind of white space, no-break spaces included."""
     return F.regexp_replace(text, _EDGES, "")

@@ -7,6 +7,8 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from talkmart.functions.once import computed_once
+
 # What is dropped from a sentence, in this order. The order
 # matters: commas go before runs of marks are shortened, so ",," leaves nothing.
 URL = r"http\S+"
@@ -49,7 +51,13 @@ def clean_sentences(
     """Length and script filter on the raw text, clean, then length filter again."""
     raw = F.col(column)
     kept = df.filter(longer_than(raw, min_length) & has_script(raw, script))
-    return kept.withColumn(column, clean(raw)).filter(longer_than(F.col(column), min_length))
+    return _replaced(kept, column, clean(raw)).filter(longer_than(F.col(column), min_length))
+
+
+def _replaced(df: DataFrame, column: str, value: Column) -> DataFrame:
+    others = [c for c in df.columns if c != column]
+    # The filters on the result must not repeat the cleaning.
+    return computed_once(df, others, {column: value}).select(*df.columns)
 
 
 def clean_flat_text(
@@ -60,5 +68,5 @@ def clean_flat_text(
     spelling: Mapping[str, str] = SPELLING,
 ) -> DataFrame:
     """Clean first and filter only the result; also unifies spelling variants."""
-    cleaned = df.withColumn(column, clean(F.col(column), spelling))
+    cleaned = _replaced(df, column, clean(F.col(column), spelling))
     return cleaned.filter(has_script(F.col(column), script) & longer_than(F.col(column), min_length))

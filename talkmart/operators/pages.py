@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from talkmart.functions import markup as M
 from talkmart.functions.keys import path_id, query_id
+from talkmart.functions.once import computed_once, let
 from talkmart.functions.numbers import or_default, parse_count, token
 from talkmart.functions.timefn import (
     DASH,
@@ -72,7 +73,7 @@ def _decoded(comments: Column) -> Column:
             ),
         )
 
-    return M.let(F.split(M.decode_entities(F.array_join(texts, _PART)), _PART), put_back).cast(_COMMENTS)
+    return let(F.split(M.decode_entities(F.array_join(texts, _PART)), _PART), put_back).cast(_COMMENTS)
 
 
 def _any_missing(*columns: str) -> Column:
@@ -106,7 +107,7 @@ def profile_pages(pages: DataFrame, car_name: str | Column, source: str = "bobae
     items = M.sections(M.leaf(M.element(html, "div", "commentlistbox"), "ul", "basiclist"), "li")
     boxes = {
         "profile": M.element(html, "div", "writerProfile"),
-        "body": M.let(
+        "body": let(
             M.element(html, "div", "content02"),
             lambda box: F.coalesce(M.element(box, "div", "bodyCont"), M.element(box, "div", "mycarCont")),
         ),
@@ -124,7 +125,7 @@ def profile_pages(pages: DataFrame, car_name: str | Column, source: str = "bobae
         "date": parse_epoch(F.concat_ws(" ", token(stamp, (" ", 0)), token(stamp, (" ", 2))), DOT_LONG, zone=zone),
         "deleted": profile.isNull(),
     }
-    found = M.computed_once(M.computed_once(pages, ["url"], boxes), ["url", "comments"], fields)
+    found = computed_once(computed_once(pages, ["url"], boxes), ["url", "comments"], fields)
     bad = _any_missing("title", "article", "date") | _any_incomplete(
         F.col("comments"), "comment_content", "comment_nickname", "comment_date"
     )
@@ -178,7 +179,7 @@ def view_pages(pages: DataFrame, car_name: str | Column, source: str = "clien",
     plain_span = F.regexp_extract(
         M.leaf(title_box, "h3", "post_subject"), r"(?is)<span(?![^>]*\bclass\b)[^>]*>(.*?)</span", 1
     )
-    likes = M.let(
+    likes = let(
         M.element(title_box, "a", "post_symph"),
         lambda symph: F.when(symph.isNull(), "0").otherwise(M.text_of(M.leaf(symph, "span"))),
     )
@@ -195,11 +196,11 @@ def view_pages(pages: DataFrame, car_name: str | Column, source: str = "clien",
         "comment_count": parse_count(M.strip(M.text_of(said)), None),
         "listed": listed,
     }
-    found = M.computed_once(pages, ["url"], {"view": view})
-    found = M.computed_once(found, ["url"], boxes)
-    found = M.computed_once(found, ["url"], fields)
+    found = computed_once(pages, ["url"], {"view": view})
+    found = computed_once(found, ["url"], boxes)
+    found = computed_once(found, ["url"], fields)
     kept = ["url", *(f for f in fields if f != "listed")]
-    found = M.computed_once(
+    found = computed_once(
         found,
         [*kept, "listed"],
         {"comments": F.coalesce(F.transform(rows, comment), F.array()).cast(_COMMENTS)},
@@ -234,7 +235,7 @@ def article_pages(pages: DataFrame) -> DataFrame:
         "article": M.broken_text(M.element(html, "article")),
         "lang": M.attribute(html, "html", "lang"),
     }
-    return M.computed_once(pages, kept, fields).select(
+    return computed_once(pages, kept, fields).select(
         *kept,
         M.strip(M.decode_entities("title")).alias("title"),
         M.strip(M.decode_entities("heading")).alias("heading"),
@@ -294,7 +295,7 @@ def api_records(records: DataFrame, car_name: str | Column, column: str = "json"
     def count(value: Column) -> Column:
         return F.when(value.isNull(), 0).otherwise(value.try_cast("int"))
 
-    parsed_json = M.computed_once(records, [], {"r": F.from_json(column, API_RECORD)})
+    parsed_json = computed_once(records, [], {"r": F.from_json(column, API_RECORD)})
     replies = F.transform(
         F.coalesce(F.col("r.comments"), F.array()),
         lambda c: _comment(

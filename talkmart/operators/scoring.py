@@ -14,6 +14,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from talkmart.functions.once import computed_once
+
 BATCH_SIZE = 20
 
 # Instruction text and reply format the scorer is asked for.
@@ -178,21 +180,32 @@ def parse_replies(answered: DataFrame, strict: bool = True, carry: Sequence[str]
         F.size("items").alias("_asked"),
         F.posexplode("items").alias("pos", "item"),
     )
-    line = F.try_element_at("_all", F.col("pos") + 1)
-    parsed = rows.select(
+    score, category, keyword = parse_line(F.try_element_at("_all", F.col("pos") + 1))
+    read = computed_once(
+        rows,
+        ["file_no", "batch_no", "pos", "item"],
+        {
+            "sentiment_score": score,
+            "category": category,
+            "keyword": keyword,
+            "_broken": _batch_broken(F.col("_all"), F.col("_asked")) if strict else F.lit(False),
+        },
+    )
+    complete = (
+        F.col("sentiment_score").isNotNull() & F.col("category").isNotNull() & F.col("keyword").isNotNull()
+    )
+    return read.select(
         "file_no",
         "batch_no",
         "pos",
         F.col("item.key").alias("sentence_uuid"),
         F.col("item.text").alias("sentence"),
         *(F.col(f"item.{c}").alias(c) for c in carry),
-        *parse_line(line),
-        (_batch_broken(F.col("_all"), F.col("_asked")) if strict else F.lit(False)).alias("_broken"),
-    )
-    complete = (
-        F.col("sentiment_score").isNotNull() & F.col("category").isNotNull() & F.col("keyword").isNotNull()
+        "sentiment_score",
+        "category",
+        "keyword",
+        (complete & ~F.col("_broken")).alias("ok"),
     )
-    return parsed.withColumn("ok", complete & ~F.col("_broken")).drop("_broken")
 
 
 def _batch_broken(lines: Column, asked: Column) -> Column:

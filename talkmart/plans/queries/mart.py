@@ -179,10 +179,9 @@ def _(spark, folder):
 
 
 def _keyword_facts(spark, folder):
-    sentences = S.staged_sentences(spark, folder)
     return facts.keyword_facts(
-        sentences,
-        S.staged_keywords(sentences),
+        S.staged_sentences(spark, folder),
+        S.staged_keywords(spark, folder),
         S.dated(S.staged_posts(spark, folder)),
         S.staged_comments(spark, folder),
         day_column="created_on",
@@ -255,6 +254,7 @@ def _(spark, folder):
     )
 
 
+_MEAN = "CAST(sum(CAST(sentiment_score AS DECIMAL(18, 6))) AS DOUBLE) / count(*)"
 _PHASE = "CASE WHEN ingestion_date < release_date THEN 'before' ELSE 'after' END"
 
 
@@ -262,7 +262,7 @@ _PHASE = "CASE WHEN ingestion_date < release_date THEN 'before' ELSE 'after' END
     "facelift_sentiment",
     with_ctes(
         f"""SELECT {_PHASE} AS phase, car_name, category, count(*) AS sentences,
-          round(avg(sentiment_score), 6) AS avg_sentiment FROM listening GROUP BY 1, 2, 3""",
+          {_MEAN} AS avg_sentiment FROM listening GROUP BY 1, 2, 3""",
         "listening",
     ),
 )
@@ -273,7 +273,7 @@ def _(spark, folder):
 @query(
     "facelift_sentiment_totals",
     with_ctes(
-        f"""SELECT phase, age, category, count(*) AS sentences, round(avg(sentiment_score), 6) AS avg_sentiment
+        f"""SELECT phase, age, category, count(*) AS sentences, {_MEAN} AS avg_sentiment
         FROM (SELECT *, {_PHASE} AS phase FROM listening) GROUP BY ROLLUP (phase, age, category)""",
         "listening",
     ),
@@ -287,8 +287,10 @@ def _(spark, folder):
     with_ctes(
         """SELECT car_name, keyword, count(*) FILTER (ingestion_date < release_date) AS n_before,
           count(*) FILTER (ingestion_date >= release_date) AS n_after,
-          round(avg(sentiment_score) FILTER (ingestion_date < release_date), 6) AS avg_before,
-          round(avg(sentiment_score) FILTER (ingestion_date >= release_date), 6) AS avg_after
+          CAST(sum(CAST(sentiment_score AS DECIMAL(18, 6))) FILTER (ingestion_date < release_date) AS DOUBLE)
+            / nullif(count(*) FILTER (ingestion_date < release_date), 0) AS avg_before,
+          CAST(sum(CAST(sentiment_score AS DECIMAL(18, 6))) FILTER (ingestion_date >= release_date) AS DOUBLE)
+            / nullif(count(*) FILTER (ingestion_date >= release_date), 0) AS avg_after
         FROM listening GROUP BY car_name, keyword""",
         "listening",
     ),

@@ -219,25 +219,30 @@ cte(
 _KINDS = ("design", "function", "reliability", "other")
 
 
-def staged_keywords(sentences: DataFrame) -> DataFrame:
-    """A score, category and keyword for every sentence, from its length and first word."""
-    n = F.length("sentence")
-    category = F.element_at(F.array(*map(F.lit, _KINDS)), F.pmod(n, F.lit(4)) + 1)
-    return sentences.select(
+def staged_keywords(spark: SparkSession, folder: str) -> DataFrame:
+    """A score, category and keyword for every sentence before cleaning, from its key.
+
+    Sentences that cleaning drops stay in here, so the join with sentences has
+    rows on this side without a partner.
+    """
+    rows = normalize.sentence_rows(staged_posts(spark, folder), staged_comments(spark, folder))
+    digits = F.conv(F.substring("sentence_uuid", 1, 6), 16, 10).cast("int")
+    category = F.element_at(F.array(*map(F.lit, _KINDS)), F.pmod(digits, F.lit(4)) + 1)
+    return rows.select(
         "sentence_uuid",
-        (F.pmod(n * 7, F.lit(11)) / 10).alias("sentiment_score"),
+        (F.pmod(digits, F.lit(11)) / 10).alias("sentiment_score"),
         category.alias("category"),
-        F.substring_index("sentence", " ", 1).alias("keyword"),
+        F.concat(F.lit("word "), F.pmod(digits, F.lit(50)).cast("string")).alias("keyword"),
     )
 
 
 cte(
     "staged_keywords",
-    """SELECT sentence_uuid, CAST((length(sentence) * 7) % 11 AS DOUBLE) / 10 AS sentiment_score,
-      CASE length(sentence) % 4 WHEN 0 THEN 'design' WHEN 1 THEN 'function' WHEN 2 THEN 'reliability' ELSE 'other' END
-        AS category, split_part(sentence, ' ', 1) AS keyword
-    FROM staged_sentences""",
-    ("staged_sentences",),
+    """SELECT sentence_uuid, CAST(digits % 11 AS DOUBLE) / 10 AS sentiment_score,
+      CASE digits % 4 WHEN 0 THEN 'design' WHEN 1 THEN 'function' WHEN 2 THEN 'reliability' ELSE 'other' END AS category,
+      'word ' || (digits % 50) AS keyword
+    FROM (SELECT sentence_uuid, CAST('0x' || substr(sentence_uuid, 1, 6) AS BIGINT) AS digits FROM all_sentences)""",
+    ("all_sentences",),
 )
 
 

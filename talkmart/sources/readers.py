@@ -50,7 +50,7 @@ def read_failure_lists(spark: SparkSession, pattern: str, name: str = "target")
     return read_lines(spark, pattern, name).distinct()
 
 
-SPREAD_FROM_BYTES = 256 * 1024
+SPREAD_FROM_BYTES = 1_000_000
 SPREAD_UP_TO_BYTES = 1024 * 1024 * 1024
 
 
@@ -58,11 +58,11 @@ def read_spread(spark: SparkSession, path: str) -> DataFrame:
     """Parquet whose rows are dealt out to all cores when the table is small.
 
     A small table is often one file with one row group, which a single task would
-    read and process. Between 256 KB and 1 GB its rows are dealt out first. Larger
+    read and process. Between 1 MB and 1 GB its rows are dealt out first. Larger
     tables have parts enough, and are left as they are.
     """
     df = spark.read.parquet(path)
-    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
     cores = spark.sparkContext.defaultParallelism
     return df.repartition(cores) if SPREAD_FROM_BYTES <= size <= SPREAD_UP_TO_BYTES else df
 
