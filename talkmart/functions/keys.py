@@ -29,11 +29,15 @@ def content_key(owner_id: Column, nickname: Column, content: Column, compat: boo
     return F.concat(owner_id, F.lit("_"), digest)
 
 
+def _stripped(text: Column) -> Column:
+    return F.regexp_replace(text, r"^\s+|\s+$", "")
+
+
 def query_id(link: Column) -> Column:
     """``…?code=x&No=123`` -> ``123``: what follows the last equals sign."""
-    return F.substring_index(F.trim(link), "=", -1)
+    return F.substring_index(_stripped(link), "=", -1)
 
 
 def path_id(link: Column) -> Column:
     """``…/board/123?po=0`` -> ``123``: last path segment before the query."""
-    return F.substring_index(F.substring_index(F.trim(link), "?", 1), "/", -1)
+    return F.substring_index(F.substring_index(_stripped(link), "?", 1), "/", -1)

@@ -29,10 +29,15 @@ def is_rejected(df: DataFrame, counters: Iterable[str] = COUNTERS) -> Column:
     return reduce(lambda a, b: a | b, (fault for _, fault in _faults(df, counters)))
 
 
-def with_reject_reasons(df: DataFrame, counters: Iterable[str] = COUNTERS) -> DataFrame:
-    """Adds ``reject_reasons``, empty for a usable row. One pass, no shuffle."""
+def reject_reasons(df: DataFrame, counters: Iterable[str] = COUNTERS) -> Column:
+    """Array with the reasons a row of ``df`` is rejected for, empty for a usable row."""
     marks = [F.when(fault, F.lit(reason)) for reason, fault in _faults(df, counters)]
-    return df.withColumn("reject_reasons", F.array_compact(F.array(*marks)))
+    return F.array_compact(F.array(*marks))
+
+
+def with_reject_reasons(df: DataFrame, counters: Iterable[str] = COUNTERS) -> DataFrame:
+    """Adds ``reject_reasons``. One pass, no shuffle."""
+    return df.withColumn("reject_reasons", reject_reasons(df, counters))
 
 
 def good_rows(df: DataFrame, counters: Iterable[str] = COUNTERS) -> DataFrame:

@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from talkmart.operators import facts, upsert, views
 from talkmart.plans.text_job import days_between, scope
-from talkmart.schemas import MART, STAGING, STAGING_DIRS
+from talkmart.schemas import MART, STAGING, STAGING_DIRS, staged
 from talkmart.sources.readers import read_snapshot
 from talkmart.sources.writers import append_facts, clear_partitions, write_snapshot
 
@@ -40,7 +40,8 @@ def read_staging_days(
     """The staging tables of the days, cast to their declared types, with ``dt``."""
     tables = {}
     for name, table in STAGING.items():
-        df = spark.read.parquet(f"{base}/{STAGING_DIRS[name]}").filter(scope(days, cars))
+        folder, schema = STAGING_DIRS[name]
+        df = spark.read.schema(staged(schema)).parquet(f"{base}/{folder}").filter(scope(days, cars))
         columns = [F.col(f.name).cast(f.dataType).alias(f.name) for f in table.schema.fields]
         tables[name] = df.select(*columns, "dt")
     return tables

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from talkmart.operators import scoring
 from talkmart.plans.text_job import PARTITIONS, days_between, scope
+from talkmart.schemas import CLASSIFIED_FAILED, SENTENCE_DATA, staged
 from talkmart.sources.writers import clear_partitions, write_partitions
 
 
@@ -35,18 +36,18 @@ def run_scoring(
     """
     days = days_between(first, last)
     inside = scope(days, cars)
-    sentences = spark.read.parquet(f"{out}/sentence_data").filter(inside)
+    sentences = spark.read.schema(staged(SENTENCE_DATA)).parquet(f"{out}/sentence_data").filter(inside)
     sentences = sentences.select("sentence_uuid", "sentence", *PARTITIONS)
     parsed = scoring.score_sentences(
         sentences, scorer, file_count(sentences), strict, carry=PARTITIONS
     )
 
-    def replace(df: DataFrame, table: str) -> None:
+    def replace(df: DataFrame, table: str) -> DataFrame:
         clear_partitions(spark, f"{out}/{table}", days, cars)
         write_partitions(df, f"{out}/{table}", PARTITIONS)
+        return spark.read.schema(df.schema).parquet(f"{out}/{table}").filter(inside)
 
-    replace(parsed, "scored")
-    scored = spark.read.parquet(f"{out}/scored").filter(inside)
+    scored = replace(parsed, "scored")
     replace(scoring.classified(scored, PARTITIONS), "classified")
     replace(scoring.classified_failed(scored, PARTITIONS), "classified_failed")
 
@@ -60,5 +61,6 @@ def retry_failed(
     strict: bool = False,
 ) -> DataFrame:
     """Scores the failed sentences again; the caller appends what is now ``ok``."""
-    failed = spark.read.parquet(f"{out}/classified_failed").filter(scope(days_between(first, last)))
+    failed = spark.read.schema(staged(CLASSIFIED_FAILED)).parquet(f"{out}/classified_failed")
+    failed = failed.filter(scope(days_between(first, last)))
     return scoring.score_sentences(failed, scorer, file_count(failed), strict, carry=PARTITIONS).filter(F.col("ok"))

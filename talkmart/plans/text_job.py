@@ -64,31 +64,26 @@ def run_text_job(
     days = days_between(first, last)
     inside = scope(days, cars)
 
-    def replace(df: DataFrame, table: str) -> None:
+    def replace(df: DataFrame, table: str) -> DataFrame:
+        """Write the scope's partitions and give back what was written."""
         clear_partitions(spark, f"{out}/{table}", days, cars)
         write_partitions(df, f"{out}/{table}", PARTITIONS)
+        return spark.read.schema(df.schema).parquet(f"{out}/{table}").filter(inside)
 
-    def written(table: str) -> DataFrame:
-        return spark.read.option("mergeSchema", False).parquet(f"{out}/{table}").filter(inside)
-
-    landed = quarantine.with_reject_reasons(raw.filter(inside)).withColumn(
-        "record_no", F.monotonically_increasing_id()
-    )
-    replace(landed, "landed")
+    numbered = raw.filter(inside).withColumn("record_no", F.monotonically_increasing_id())
+    judged = numbered.withColumn("reject_reasons", quarantine.reject_reasons(raw.drop("dt")))
+    landed = replace(judged, "landed")
     rejected = F.size("reject_reasons") > 0
-    replace(written("landed").filter(rejected).drop("record_no"), "failed_raw")
+    replace(landed.filter(rejected).drop("record_no"), "failed_raw")
 
-    good = written("landed").filter(~rejected)
-    keyed = normalize.with_post_key(good, F.col("dt").cast("string"), ["record_no"])
-    replace(normalize.post_rows(keyed, carry=["dt"]), "post_data")
-    replace(normalize.comment_rows(keyed, carry=PARTITIONS), "comment_data")
+    keyed = normalize.with_post_key(landed.filter(~rejected), F.col("dt").cast("string"), ["record_no"])
+    posts = replace(normalize.post_rows(keyed, carry=["dt"]), "post_data")
+    comments = replace(normalize.comment_rows(keyed, carry=PARTITIONS), "comment_data")
 
     # The bounds of the whole run reach the scan; the day itself is a column.
     created = F.col("create_timestamp")
     fresh = within_days(created, days[0], days[-1], zone) & (to_local_date(created, zone) == F.col("dt"))
-    sentences = normalize.sentence_rows(
-        written("post_data").filter(fresh), written("comment_data").filter(fresh), carry=PARTITIONS
-    )
+    sentences = normalize.sentence_rows(posts.filter(fresh), comments.filter(fresh), carry=PARTITIONS)
     clean = X.clean_sentences(sentences, script=script)
     if files is None:
         replace(clean, "sentence_data")

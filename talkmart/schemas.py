@@ -51,6 +51,16 @@ CLASSIFIED = _schema("sentence_uuid string, sentiment_score double, category str
 CLASSIFIED_FAILED = _schema("sentence_uuid string, sentence string")
 FLAT_TEXT = _schema("text string, date int, like_count int, view_count int, source string")
 
+# Partition columns of every stage table that the jobs write.
+STAGE_PARTITIONS = _schema("dt date, car_name string")
+
+
+def staged(schema: T.StructType) -> T.StructType:
+    """A stage table's schema with its partition columns."""
+    extra = [f for f in STAGE_PARTITIONS.fields if f.name not in schema.fieldNames()]
+    return T.StructType([*schema.fields, *extra])
+
+
 COUNTERS = ("like_count", "dislike_count", "view_count", "comment_count")
 SOURCES = ("bobae", "clien", "youtube")
 CATEGORIES = ("디자인", "기능", "신뢰성", "기타")
@@ -140,12 +150,12 @@ STAGING = {
     )
 }
 
-# Staging table -> directory the text and scoring jobs write it to.
+# Staging table -> directory the text and scoring jobs write it to, and its schema there.
 STAGING_DIRS = {
-    "posts": "post_data",
-    "comments": "comment_data",
-    "sentences": "sentence_data",
-    "keywords": "classified",
+    "posts": ("post_data", POST_DATA),
+    "comments": ("comment_data", COMMENT_DATA),
+    "sentences": ("sentence_data", SENTENCE_DATA),
+    "keywords": ("classified", CLASSIFIED),
 }
 
 MART = {

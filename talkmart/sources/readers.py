@@ -41,7 +41,7 @@ def read_columns(spark: SparkSession, path: str, columns: Sequence[str]) -> Data
 
 def read_lines(spark: SparkSession, paths: str | Sequence[str], name: str = "target") -> DataFrame:
     """A list with one entry per line, stripped, empty lines left out."""
-    lines = spark.read.text(paths).select(F.trim("value").alias(name))
+    lines = spark.read.text(paths).select(F.regexp_replace("value", r"^\s+|\s+$", "").alias(name))
     return lines.filter(F.col(name) != "")
 
 

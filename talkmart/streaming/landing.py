@@ -20,13 +20,14 @@ def land_stream(raw: DataFrame, out: str, checkpoint: str, day: str) -> Streamin
 
     Every micro-batch has a folder of its own that a replay overwrites, so each
     record is landed exactly once. Reading ``out`` gives ``batch`` and
-    ``rejected`` as columns.
+    ``outcome`` (``good`` or ``rejected``) as columns.
     """
 
     def land(batch: DataFrame, batch_id: int) -> None:
-        judged = with_reject_reasons(batch).withColumn("rejected", F.size("reject_reasons") > 0)
+        outcome = F.when(F.size("reject_reasons") > 0, "rejected").otherwise("good")
+        judged = with_reject_reasons(batch).withColumn("outcome", outcome)
         target = f"{out}/dt={day}/batch={batch_id}"
-        judged.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("rejected").parquet(target)
+        judged.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("outcome").parquet(target)
 
     return (
         raw.writeStream.foreachBatch(land)
