@@ -12,8 +12,9 @@ from pyspark.sql import types as T
 from talkmart.operators import facts, upsert, views
 from talkmart.plans.text_job import days_between, scope
 from talkmart.schemas import MART, STAGING, STAGING_DIRS, staged
+from talkmart.session import size_shuffles, stored_bytes
 from talkmart.sources.readers import read_snapshot
-from talkmart.sources.writers import append_facts, clear_partitions, write_snapshot
+from talkmart.sources.writers import append_facts, clear_partitions, scope_bytes, write_snapshot
 
 SMALL_SOURCE_BYTES = 64 * 1024 * 1024
 
@@ -152,6 +153,10 @@ def load_days(
     """
     days = days_between(first, last)
     version = snapshot_id or (days[-1] if cars is None else f"{days[-1]}-{'-'.join(sorted(cars))}")
+    arriving = sum(scope_bytes(spark, f"{staging_base}/{d}", days, cars) for d, _ in STAGING_DIRS.values())
+    # Snapshots are counted whole: a merge may have to move the newest one.
+    standing = max(stored_bytes(spark, f"{mart}/tb_posts"), stored_bytes(spark, f"{mart}/tb_comments"))
+    size_shuffles(spark, max(arriving, standing))
     staging = read_staging_days(spark, staging_base, days, cars)
     upsert_dimensions(spark, staging, mart, version)
     append_day_facts(spark, staging, mart, days, cars)

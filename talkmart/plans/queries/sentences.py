@@ -229,7 +229,7 @@ _INT = "CASE WHEN {x} BETWEEN -2147483648 AND 2147483647 THEN CAST({x} AS INTEGE
     "ingest_raw_json",
     f"""SELECT 'doc_' || doc_id AS id, {_INT.format(x='n_chars * 1000000')} AS view_count,
       CASE WHEN lang <> 'de' THEN CAST(n_chars % 100 AS INTEGER) END AS like_count,
-      len(string_split(text, chr(10))) AS n_comments,
+      CAST(len(string_split(text, chr(10))) AS INTEGER) AS n_comments,
       n_chars * 1000000 > 2147483647 OR lang = 'de' AS rejected
     FROM documents""",
 )

@@ -12,7 +12,8 @@ from pyspark.sql import functions as F
 from talkmart.operators import scoring
 from talkmart.plans.text_job import PARTITIONS, days_between, scope
 from talkmart.schemas import CLASSIFIED_FAILED, SENTENCE_DATA, staged
-from talkmart.sources.writers import clear_partitions, write_partitions
+from talkmart.session import size_shuffles
+from talkmart.sources.writers import clear_partitions, scope_bytes, write_partitions
 
 
 def file_count(sentences: DataFrame, at_least: int = 10, rows_per_file: int = 500_000) -> int:
@@ -36,6 +37,7 @@ def run_scoring(
     """
     days = days_between(first, last)
     inside = scope(days, cars)
+    size_shuffles(spark, scope_bytes(spark, f"{out}/sentence_data", days, cars))
     sentences = spark.read.schema(staged(SENTENCE_DATA)).parquet(f"{out}/sentence_data").filter(inside)
     sentences = sentences.select("sentence_uuid", "sentence", *PARTITIONS)
     parsed = scoring.score_sentences(

@@ -13,7 +13,8 @@ from talkmart.functions import text as X
 from talkmart.functions.timefn import SEOUL, as_date, to_local_date, within_days
 from talkmart.operators import normalize, quarantine
 from talkmart.schemas import RAW
-from talkmart.sources.writers import clear_partitions, path_exists, write_partitions
+from talkmart.session import size_shuffles
+from talkmart.sources.writers import clear_partitions, path_exists, scope_bytes, write_partitions
 
 PARTITIONS = ("dt", "car_name")
 
@@ -73,6 +74,7 @@ def run_text_job(
     numbered = raw.filter(inside).withColumn("record_no", F.monotonically_increasing_id())
     judged = numbered.withColumn("reject_reasons", quarantine.reject_reasons(raw.drop("dt")))
     landed = replace(judged, "landed")
+    size_shuffles(spark, scope_bytes(spark, f"{out}/landed", days, cars))
     rejected = F.size("reject_reasons") > 0
     replace(landed.filter(rejected).drop("record_no"), "failed_raw")
 

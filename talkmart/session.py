@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import tempfile
+from math import ceil
 
 from pyspark.sql import SparkSession
 
@@ -16,8 +16,6 @@ SETTINGS = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
-    # Arrow batches small enough for pages of several MB each.
-    "spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
 }
 
 
@@ -30,16 +28,25 @@ def build_session(app_name: str = "talkmart", master: str | None = None, **extra
     return builder.getOrCreate()
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """Folder for intermediate tables: the cluster's checkpoint folder.
+def stored_bytes(spark: SparkSession, *paths: str) -> int:
+    """Bytes under the paths, as the file system reports them; missing paths count 0."""
+    total = 0
+    for path in paths:
+        root = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        if fs.exists(root):
+            total += fs.getContentSummary(root).getLength()
+    return total
 
-    A private folder is made only where none is set, which is the local test case.
+
+def size_shuffles(spark: SparkSession, input_bytes: int, partition_bytes: int = 256 * 1024 * 1024) -> int:
+    """Raise the number of shuffle partitions to suit the input; never lower it.
+
+    AQE joins partitions that turn out small, but it splits only skewed joins and
+    rebalances, so a large input needs enough partitions from the start. Stored
+    data counts four times, for what compression saves.
     """
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
-    folder = tempfile.mkdtemp(prefix="talkmart-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    configured = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    wanted = max(configured, ceil(4 * input_bytes / partition_bytes))
+    spark.conf.set("spark.sql.shuffle.partitions", str(wanted))
+    return wanted
