@@ -179,11 +179,12 @@ def _(spark, folder):
 
 
 def _keyword_facts(spark, folder):
+    posts, comments = S.staged_posts(spark, folder), S.staged_comments(spark, folder)
     return facts.keyword_facts(
-        S.staged_sentences(spark, folder),
-        S.staged_keywords(spark, folder),
-        S.dated(S.staged_posts(spark, folder)),
-        S.staged_comments(spark, folder),
+        S.staged_sentences(posts, comments),
+        S.staged_keywords(posts, comments),
+        S.dated(posts),
+        comments,
         day_column="created_on",
     )
 
@@ -223,14 +224,18 @@ cte(
 )
 
 
-def _post_facts(spark, folder):
-    return facts.post_metrics(S.dated(S.staged_posts(spark, folder)), day_column="created_on")
+def _metric_facts(spark, folder):
+    posts, comments = S.staged_posts(spark, folder), S.staged_comments(spark, folder)
+    return (
+        facts.post_metrics(S.dated(posts), day_column="created_on"),
+        facts.comment_metrics(S.dated(comments), posts, day_column="created_on"),
+    )
 
 
 @query("social_attention", with_ctes("SELECT * FROM attention", "attention"))
 def _(spark, folder):
     return views.social_attention(
-        _post_facts(spark, folder), _comment_facts(spark, folder), *_dims(spark, folder)
+        *_metric_facts(spark, folder), *_dims(spark, folder)
     )
 
 
@@ -250,7 +255,7 @@ def _(spark, folder):
 )
 def _(spark, folder):
     return views.social_attention(
-        _post_facts(spark, folder), _comment_facts(spark, folder), *_dims(spark, folder), same_day=True
+        *_metric_facts(spark, folder), *_dims(spark, folder), same_day=True
     )
 
 
@@ -311,5 +316,5 @@ def _(spark, folder):
 )
 def _(spark, folder):
     return views.attention_daily(
-        _post_facts(spark, folder), _comment_facts(spark, folder), *_dims(spark, folder)
+        *_metric_facts(spark, folder), *_dims(spark, folder)
     )

@@ -192,10 +192,9 @@ cte(
 )
 
 
-def staged_sentences(spark: SparkSession, folder: str) -> DataFrame:
+def staged_sentences(posts: DataFrame, comments: DataFrame) -> DataFrame:
     """Cleaned sentences of the staged posts and comments."""
-    rows = normalize.sentence_rows(staged_posts(spark, folder), staged_comments(spark, folder))
-    return clean_sentences(rows, script=LATIN)
+    return clean_sentences(normalize.sentence_rows(posts, comments), script=LATIN)
 
 
 cte(
@@ -219,13 +218,13 @@ cte(
 _KINDS = ("design", "function", "reliability", "other")
 
 
-def staged_keywords(spark: SparkSession, folder: str) -> DataFrame:
+def staged_keywords(posts: DataFrame, comments: DataFrame) -> DataFrame:
     """A score, category and keyword for every sentence before cleaning, from its key.
 
     Sentences that cleaning drops stay in here, so the join with sentences has
     rows on this side without a partner.
     """
-    rows = normalize.sentence_rows(staged_posts(spark, folder), staged_comments(spark, folder))
+    rows = normalize.sentence_rows(posts, comments)
     digits = F.conv(F.substring("sentence_uuid", 1, 6), 16, 10).cast("int")
     category = F.element_at(F.array(*map(F.lit, _KINDS)), F.pmod(digits, F.lit(4)) + 1)
     return rows.select(
