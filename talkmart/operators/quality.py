@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from talkmart.functions.once import computed_once
 from talkmart.schemas import RAW, Table
 
 
@@ -61,13 +62,15 @@ def _field(value: Column, name: str) -> Column:
 def json_violations(
     docs: DataFrame, column: str = "json", schema: T.StructType = RAW, key: Sequence[str] = ()
 ) -> DataFrame:
-    """Checks every JSON text against a record schema, nested arrays of structs included.
+    """Checks every JSON text or variant against a record schema, nested arrays of structs included.
 
     One row per violation: the key columns, the path, and what was expected and
     found. Keys beyond the schema are allowed. All rows are checked, not a sample.
     """
     root = F.col("_v")
-    parsed = docs.select(*key, F.try_parse_json(column).alias("_v"))
+    is_text = isinstance(docs.schema[column].dataType, T.StringType)
+    value = F.try_parse_json(column) if is_text else F.col(column)
+    parsed = computed_once(docs, key, {"_v": value})
     checks = [F.array(_check(root, F.lit("root"), "dict"))]
     is_object = _kind(root) == "OBJECT"
     for field, (name, expected) in zip(schema.fields, _expected_kinds(schema), strict=True):

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from talkmart.operators import facts, upsert, views
+from talkmart.operators.selection import check_parameters
 from talkmart.plans.text_job import days_between, scope
 from talkmart.schemas import MART, STAGING, STAGING_DIRS, staged
 from talkmart.session import size_shuffles, stored_bytes
@@ -95,6 +96,13 @@ def append_day_facts(
         append_facts(df, f"{mart}/{name}")
 
 
+def create_fact_tables(spark: SparkSession, mart: str) -> None:
+    """Catalog entries over the fact folders, for SQL users of the mart."""
+    for name in ("tb_posts_metric", "tb_comments_metric", "tb_keywords"):
+        spark.sql(MART[name].ddl(f"{mart}/{name}"))
+        spark.catalog.recoverPartitions(name)
+
+
 def read_fact(spark: SparkSession, mart: str, name: str) -> DataFrame:
     return spark.read.schema(MART[name].schema).parquet(f"{mart}/{name}").select(*MART[name].columns)
 
@@ -151,6 +159,7 @@ def load_days(
     ``snapshot_id`` orders the dimension versions and defaults to the last day.
     Loads of single cars of one day need ids of their own, such as ``<day>-<car>``.
     """
+    check_parameters(staging_base=staging_base, mart=mart, first=first)
     days = days_between(first, last)
     version = snapshot_id or (days[-1] if cars is None else f"{days[-1]}-{'-'.join(sorted(cars))}")
     arriving = sum(scope_bytes(spark, f"{staging_base}/{d}", days, cars) for d, _ in STAGING_DIRS.values())

@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 from talkmart.functions import text as X
 from talkmart.functions.timefn import SEOUL, as_date, to_local_date, within_days
 from talkmart.operators import normalize, quarantine
+from talkmart.operators.selection import check_parameters
 from talkmart.schemas import RAW
 from talkmart.session import size_shuffles
 from talkmart.sources.writers import clear_partitions, path_exists, scope_bytes, write_partitions
@@ -62,6 +63,7 @@ def run_text_job(
     A rerun replaces the (day, car) partitions of its scope. ``files`` fixes the
     number of sentence files; otherwise their size decides.
     """
+    check_parameters(out=out, first=first)
     days = days_between(first, last)
     inside = scope(days, cars)
 

@@ -100,13 +100,16 @@ class Table:
     def columns(self) -> list[str]:
         return self.schema.fieldNames()
 
-    def ddl(self) -> str:
+    def ddl(self, location: str | None = None) -> str:
         """``CREATE TABLE`` text for a catalog that keeps the mart as Parquet."""
         lines = [
             f"{f.name} {f.dataType.simpleString()}{' NOT NULL' if f.name in self.not_null else ''}"
             for f in self.schema.fields
         ]
-        return f"CREATE TABLE IF NOT EXISTS {self.name} ({', '.join(lines)}) USING parquet"
+        text = f"CREATE TABLE IF NOT EXISTS {self.name} ({', '.join(lines)}) USING parquet"
+        if "ingestion_date" in self.columns:
+            text += " PARTITIONED BY (ingestion_date, car_name)"
+        return text if location is None else f"{text} LOCATION '{location}'"
 
 
 def _table(name, ddl, key=(), nullable=(), long_text=(), fks=()) -> Table:

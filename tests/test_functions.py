@@ -35,7 +35,7 @@ def test_spelling(values):
     assert values(lambda c: text.clean(c, text.SPELLING), ["투산투산 투산산산"]) == ["투싼투싼 투싼"]
 
 
-def _reference_clean(s: str) -> str:
+def _plain_clean(s: str) -> str:
     """The cleaning rules in plain Python, for comparison."""
     s = s.lower()
     space = "[ \t\n\x0b\f\r]"
@@ -57,7 +57,7 @@ def test_clean_against_plain_python(values):
         texts.append(s)
 
     gather()
-    assert values(text.clean, texts) == [_reference_clean(s) for s in texts]
+    assert values(text.clean, texts) == [_plain_clean(s) for s in texts]
 
 
 def test_length_and_script_filters(spark):

@@ -9,7 +9,7 @@ from functools import partial
 
 from talkmart import schemas
 from talkmart.operators import pages, quality
-from talkmart.plans import collect, load, prototype, score, text_job
+from talkmart.plans import collect, load, prototype, score, text_job, validate
 from talkmart.sources import readers, writers
 from talkmart.streaming import landing
 from tests.test_pages import COMMENT, PROFILE, frame
@@ -125,6 +125,8 @@ def test_days_to_mart(spark, tmp_path):
     whole = load.refresh_views(spark, mart, cars, sources, "full")
     assert whole is None and spark.read.parquet(f"{mart}/vw_social_listening").count() == 10
 
+    load.create_fact_tables(spark, mart)
+    assert spark.table("tb_keywords").count() == 10
     tables = _mart(spark, mart)
     report = quality.constraint_report(tables["tb_keywords"], schemas.MART["tb_keywords"], tables | {"tb_car": cars, "tb_web_source": sources})
     assert {r.rule: r.violations for r in report.collect() if r.violations} == {}
@@ -164,6 +166,24 @@ def test_scoring_failures_and_retry(spark, tmp_path):
     assert again.count() == 3
 
 
+def test_validation_of_raw_files_and_stage_tables(spark, tmp_path):
+    good, bad = _post("k", comments=[("u", "x")]), _post("v", like_count="5")
+    _write_raw(tmp_path, DAY, "a.json", [good, bad])
+    _write_raw(tmp_path, DAY, "b.json", {"no": "array"})
+    rows = validate.raw_violations(spark, str(tmp_path / "raw" / "dt=*" / "*.json")).collect()
+    assert [(r.pos, r.path, r.found) for r in rows if r.file.endswith("a.json")] == [(1, "root.like_count", "string")]
+    assert any(r.file.endswith("b.json") for r in rows)
+    (tmp_path / "lines.json").write_text(json.dumps(good) + "\n" + json.dumps(bad) + "\nnonsense\n", encoding="utf8")
+    lines = validate.raw_violations(spark, str(tmp_path / "lines.json"), json_lines=True).collect()
+    assert sorted(r.path for r in lines) == ["root", "root.like_count"]
+
+    _write_raw(tmp_path, DAY, "b.json", [])
+    _run(spark, tmp_path)
+    stage = str(tmp_path / "stage")
+    score.run_scoring(spark, stage, DAY)
+    assert sorted(validate.stage_differences(spark, stage).select("table_name", "column").collect()) == []
+
+
 def test_collect_and_retry(spark, tmp_path):
     good = PROFILE.format(comments=COMMENT.format(who="a", when="25.02.01 12:00", text="x"))
     broken = good.replace("25.02.01", "??")

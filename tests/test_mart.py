@@ -166,3 +166,39 @@ def test_many_posts_without_comment_do_not_meet_in_one_partition(spark):
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
         spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+
+
+def test_a_hot_post_is_split_over_tasks(spark):
+    """A third of all comments on one post: the join splits them, and the result is whole."""
+    hot = spark.range(120_000).select(F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id") % 4000).alias("n"), "id")
+    comments = hot.select(
+        F.concat(F.lit("u"), "n").alias("post_uuid"), F.concat(F.lit("k"), "id").alias("comment_uuid"),
+        F.concat(F.lit("c"), "id").alias("comment_id"), F.sha2(F.col("id").cast("string"), 256).alias("content"),
+        F.col("id").alias("like_cnt"), F.lit(1).alias("dislike_cnt"),
+    ).repartition(8)
+    posts = spark.range(4000).select(
+        F.concat(F.lit("u"), "id").alias("post_uuid"), F.concat(F.lit("p"), "id").alias("post_id"),
+        F.lit("Kona").alias("car_name"), F.lit("clien").alias("source"), *(F.lit(1).cast("bigint").alias(c) for c in ("like_cnt", "dislike_cnt", "view_cnt", "comment_cnt")),
+    )
+    small = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "100KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "100KB",
+        "spark.sql.shuffle.partitions": "16",
+    }
+    before = {k: spark.conf.get(k) if k != "spark.sql.adaptive.autoBroadcastJoinThreshold" else None for k in small}
+    try:
+        for k, v in small.items():
+            spark.conf.set(k, v)
+        metrics = facts.comment_metrics(comments, posts, "2025-02-02")
+        rows = metrics.collect()
+        assert len(rows) == 120_000 and len({r.comment_id for r in rows}) == 120_000
+        assert "skew=true" in plan_of(metrics)
+        view = views.social_attention(facts.post_metrics(posts, "2025-02-02"), metrics, *_dims(spark))
+        assert len(view.collect()) == 120_000 + 4000 - metrics.select("post_id").distinct().count()
+        assert plan_of(view).count("skew=true") >= 2
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)

@@ -67,6 +67,7 @@ def test_constraints(spark):
 def test_table_definitions(spark):
     ddl = schemas.MART["tb_car"].ddl()
     assert ddl.startswith("CREATE TABLE IF NOT EXISTS tb_car (car_name string NOT NULL, pre_car_name string, ")
+    assert schemas.MART["tb_keywords"].ddl("/x").endswith("PARTITIONED BY (ingestion_date, car_name) LOCATION '/x'")
     assert len(schemas.STAGING) == 4 and len(schemas.MART) == 7
     assert schemas.STAGING["posts"].max_length["post_uuid"] == 36
     assert schemas.MART["tb_posts"].max_length["article"] == 65535
