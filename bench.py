@@ -40,7 +40,6 @@ HEADLINE = (
     "upsert_comments",
     "append_comment_metric",
     "append_keywords",
-    "social_listening",
     "social_attention",
     "facelift_sentiment",
     "attention_daily",
