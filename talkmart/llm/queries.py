@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from talkmart.llm import decontamination, licenses, pii, quality
+from talkmart.llm import decontamination, jaccard, licenses, packing, pii, quality
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -22,6 +22,19 @@ def query(build: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSes
     return build
 
 
+def tokenizer_path() -> str:
+    """The vocabulary file of the installed tokenizers package that the packing query uses."""
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+@query
+def op1_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
+    # As few sequences as can be: documents and attention cost are bound by the tokens alone.
+    return packing.pack_documents(_table(spark, folder, "documents"), tokenizer_path(), packing.Capacity(2048), keep_ids=False)
+
+
 @query
 def op4_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     out = decontamination.contamination(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"))
@@ -46,6 +59,11 @@ def op6_licenses(spark: SparkSession, folder: str) -> DataFrame:
     return licenses.licenses(_table(spark, folder, "documents"))
 
 
+@query
+def op9_ngram_jaccard(spark: SparkSession, folder: str) -> DataFrame:
+    return jaccard.near_duplicates(_table(spark, folder, "documents")).drop("class")
+
+
 @query
 def op10_quality(spark: SparkSession, folder: str) -> DataFrame:
     trusted = _table(spark, folder, "labels").filter("quality = 1")
@@ -56,10 +74,10 @@ def op10_quality(spark: SparkSession, folder: str) -> DataFrame:
 
 SQL["op4_decontamination"] = r"""
 WITH d AS (SELECT row_number() OVER () AS r, doc_id,
-    list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), x -> x <> '') AS w
+    list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') AS w
   FROM documents),
 b AS (SELECT CAST(item_id AS VARCHAR) AS item_id,
-    list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), x -> x <> '') AS w
+    list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') AS w
   FROM benchmark),
 win AS (SELECT DISTINCT item_id, least(13, len(w)) AS n, array_to_string(w[i:i + least(13, len(w)) - 1], ' ') AS g
   FROM (SELECT *, unnest(range(1, len(w) - least(13, len(w)) + 2)) AS i FROM b WHERE len(w) > 0)),
@@ -74,3 +92,23 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIG
   coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
 FROM d LEFT JOIN hit USING (r) LEFT JOIN its USING (r)
 """
+
+SQL["op9_ngram_jaccard"] = r"""
+WITH RECURSIVE d AS (SELECT row_number() OVER () AS r, doc_id,
+    list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w
+  FROM documents),
+s AS (SELECT DISTINCT r, array_to_string(w[i:i + 4], ' ') AS g
+  FROM (SELECT r, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS i FROM d WHERE len(w) > 0)),
+n AS (SELECT r, count(*) AS n FROM s GROUP BY r),
+keyed AS (SELECT r, md5(string_agg(g, chr(10) ORDER BY g)) AS k FROM s GROUP BY r),
+rep AS (SELECT k, min(r) AS r FROM keyed GROUP BY k),
+c AS (SELECT s.* FROM s JOIN rep USING (r)),
+common AS (SELECT a.r AS a, b.r AS b, count(*) AS o FROM c a JOIN c b ON a.g = b.g AND a.r < b.r GROUP BY ALL),
+link AS (SELECT a, b FROM common JOIN n x ON x.r = a JOIN n y ON y.r = b WHERE 100 * o >= 80 * (x.n + y.n - o)),
+both_ways AS (SELECT a, b FROM link UNION ALL SELECT b, a FROM link),
+reach AS (SELECT r AS a, r AS b FROM rep UNION SELECT reach.a, l.b FROM reach JOIN both_ways l ON l.a = reach.b),
+least AS (SELECT k, min(doc_id) AS doc_id FROM keyed JOIN d USING (r) GROUP BY k),
+comp AS (SELECT x.k, min(least.doc_id) AS component_id FROM reach JOIN rep x ON x.r = reach.a JOIN rep y ON y.r = reach.b JOIN least ON least.k = y.k GROUP BY x.k)
+SELECT doc_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_shingles, coalesce(component_id, doc_id) AS component_id
+FROM d LEFT JOIN n USING (r) LEFT JOIN keyed USING (r) LEFT JOIN comp USING (k)
+"""

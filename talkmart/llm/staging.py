@@ -12,8 +12,8 @@ BROADCAST_ROWS = 200_000
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """``spark.checkpoint.dir`` of the session; where it is unset (tests), the warehouse folder."""
-    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    """``spark.checkpoint.dir`` of the session; where it is unset (tests), the checkpoint or warehouse folder set."""
+    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     return named or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/checkpoints"
 
 

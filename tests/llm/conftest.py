@@ -1,7 +1,7 @@
 import pytest
 
 
-@pytest.fixture(autouse=True)
+@pytest.fixture(scope="session", autouse=True)
 def shared_folder(spark, tmp_path_factory):
     """Staged tables go to a folder of the test run."""
-    spark.conf.set("spark.checkpoint.dir", f"file://{tmp_path_factory.getbasetemp()}/shared")
+    spark.sparkContext.setCheckpointDir(f"file://{tmp_path_factory.getbasetemp()}/shared")
