@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from talkmart.llm import decontamination, jaccard, licenses, packing, pii, quality
+from talkmart.llm import decontamination, jaccard, language, licenses, packing, pii, quality, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -35,6 +35,13 @@ def op1_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack_documents(_table(spark, folder, "documents"), tokenizer_path(), packing.Capacity(2048), keep_ids=False)
 
 
+@query
+def op2_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    model = language.fit_text_model(_table(spark, folder, "documents"))
+    out = language.identify_pages(_table(spark, folder, "pages"), model)
+    return out.select("key.page_id", "key.url", "declared", "text_lang", "lang", "probability", "accepted")
+
+
 @query
 def op4_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     out = decontamination.contamination(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"))
@@ -59,6 +66,11 @@ def op6_licenses(spark: SparkSession, folder: str) -> DataFrame:
     return licenses.licenses(_table(spark, folder, "documents"))
 
 
+@query
+def op7_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    return toxicity.toxicity(_table(spark, folder, "documents"), _table(spark, folder, "labels"))
+
+
 @query
 def op9_ngram_jaccard(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard.near_duplicates(_table(spark, folder, "documents")).drop("class")
