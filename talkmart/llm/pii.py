@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from talkmart.functions.once import computed_once
+from talkmart.llm.text import matches
 
 #: Characters on either side of a span in which context words count.
 NEARBY = 48
@@ -117,30 +118,8 @@ CONTEXT_BONUS = 0.3
 
 
 def _spans(text: Column, kind: Kind) -> Column:
-    """The matches of a kind in ``text`` as structs of kind, start, end (code points, end exclusive) and raw text."""
-    pattern = F.lit(kind.pattern)
-    cut = F.struct(F.split(text, kind.pattern, -1).alias("gaps"), F.regexp_extract_all(text, pattern, F.lit(0)).alias("found"))
-
-    def place(cut: Column) -> Column:
-        empty = F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("starts"))
-
-        def step(state: Column, i: Column) -> Column:
-            start = state["at"] + F.length(F.get(cut["gaps"], i))
-            return F.struct((start + F.length(F.get(cut["found"], i))).alias("at"), F.concat(state["starts"], F.array(start)).alias("starts"))
-
-        starts = F.aggregate(F.sequence(F.lit(0), F.size(cut["found"]) - 1), empty, step, lambda state: state["starts"])
-        spans = F.zip_with(
-            starts,
-            cut["found"],
-            lambda start, raw: F.struct(
-                F.lit(kind.name).alias("kind"), start.alias("start"), (start + F.length(raw)).alias("end"), raw.alias("raw")
-            ),
-        )
-        return F.filter(spans, lambda x: kind.valid(x["raw"]))
-
-    placed = F.element_at(F.transform(F.array(cut), lambda c: F.when(F.size(c["found"]) > 0, place(c))), 1)
-    none = F.array().cast("array<struct<kind:string,start:int,end:int,raw:string>>")
-    return F.coalesce(F.when(text.rlike(kind.gate), placed), none)
+    """The matches of a kind that its validator confirms."""
+    return F.filter(matches(text, kind.pattern, kind.gate), lambda x: kind.valid(x["raw"]))
 
 
 def _scored(text: Column, spans: Column, kind: Kind) -> Column:
@@ -152,7 +131,7 @@ def _scored(text: Column, spans: Column, kind: Kind) -> Column:
             F.substring(text, first, x["start"] + 1 - first), F.lit(" "), F.substring(text, x["end"] + 1, F.lit(NEARBY))
         )
         points = F.when(F.lower(near).rlike(kind.context), min(1.0, kind.score + CONTEXT_BONUS)).otherwise(kind.score)
-        return F.struct(x["kind"].alias("kind"), x["start"].alias("start"), x["end"].alias("end"), x["raw"].alias("raw"), points.alias("score"))
+        return F.struct(F.lit(kind.name).alias("kind"), x["start"].alias("start"), x["end"].alias("end"), x["raw"].alias("raw"), points.alias("score"))
 
     return F.transform(spans, score)
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from talkmart.llm import decontamination, jaccard, language, licenses, packing, pii, quality, toxicity
+from talkmart.llm import decontamination, jaccard, language, licenses, packing, pii, quality, secrets, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -71,6 +71,12 @@ def op7_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity.toxicity(_table(spark, folder, "documents"), _table(spark, folder, "labels"))
 
 
+@query
+def op8_secrets(spark: SparkSession, folder: str) -> DataFrame:
+    out = secrets.scan(_table(spark, folder, "documents"))
+    return out.select("doc_id", "start", "end", F.sha2("raw", 256).alias("fingerprint"), "score", "is_secret")
+
+
 @query
 def op9_ngram_jaccard(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard.near_duplicates(_table(spark, folder, "documents")).drop("class")

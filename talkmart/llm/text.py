@@ -60,3 +60,29 @@ def free_name(docs: DataFrame, wish: str) -> str:
     while wish.lower() in taken:
         wish += "_"
     return wish
+
+
+def matches(text: Column, pattern: str, gate: str) -> Column:
+    """All matches of ``pattern`` in ``text``, leftmost first and apart: an array of (start, end, raw).
+
+    Start and end count code points, end is exclusive. The pattern cuts the text into gaps and matches whose
+    lengths, added up, give the places. ``gate`` is a cheap pattern without which there is no match.
+    """
+    cut = F.struct(
+        F.split(text, pattern, -1).alias("gaps"), F.regexp_extract_all(text, F.lit(pattern), F.lit(0)).alias("found")
+    )
+
+    def place(cut: Column) -> Column:
+        empty = F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("starts"))
+
+        def step(state: Column, i: Column) -> Column:
+            start = state["at"] + F.length(F.get(cut["gaps"], i))
+            end = start + F.length(F.get(cut["found"], i))
+            return F.struct(end.alias("at"), F.concat(state["starts"], F.array(start)).alias("starts"))
+
+        starts = F.aggregate(F.sequence(F.lit(0), F.size(cut["found"]) - 1), empty, step, lambda state: state["starts"])
+        span = lambda start, raw: F.struct(start.alias("start"), (start + F.length(raw)).alias("end"), raw.alias("raw"))
+        return F.zip_with(starts, cut["found"], span)
+
+    placed = F.element_at(F.transform(F.array(cut), lambda c: F.when(F.size(c["found"]) > 0, place(c))), 1)
+    return F.coalesce(F.when(text.rlike(gate), placed), F.array().cast("array<struct<start:int,end:int,raw:string>>"))
