@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from talkmart.llm import decontamination, jaccard, language, licenses, packing, pii, quality, secrets, toxicity
+from talkmart.llm import decontamination, extraction, jaccard, language, licenses, packing, pii, quality, secrets, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -42,6 +42,12 @@ def op2_language_id(spark: SparkSession, folder: str) -> DataFrame:
     return out.select("key.page_id", "key.url", "declared", "text_lang", "lang", "probability", "accepted")
 
 
+@query
+def op3_html_extraction(spark: SparkSession, folder: str) -> DataFrame:
+    pages = _table(spark, folder, "pages")
+    return extraction.extract(pages, extraction.train(pages))
+
+
 @query
 def op4_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     out = decontamination.contamination(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"))
