@@ -19,11 +19,12 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from talkmart.llm.components import components
 from talkmart.llm.staging import stage
+from talkmart.llm.text import free_name, row_key
 
 WIDTH = 5
 #: Similarity in per cent.
@@ -37,7 +38,7 @@ LEADER_ROUNDS = 3
 
 _LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 _MULTIPLIER, _MIX = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
-_SIGNATURES = "doc_id long, class long, n long, cells binary"
+_SIGNATURES = "doc_id long, row_key string, class long, n long, cells binary"
 _POSTINGS = "token long, class long, n int, place int"
 _SETS = "doc_id long, class long, n int, grams array<long>"
 
@@ -90,7 +91,9 @@ def _prefix_size(n: int) -> int:
 def _signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """A row per document, and at the end of the task one with its counts per cell of the sketch."""
     hashes, cells = _Hashes(), np.zeros(CELLS, np.uint32)
-    schema = pa.schema([("doc_id", pa.int64()), ("class", pa.int64()), ("n", pa.int64()), ("cells", pa.binary())])
+    schema = pa.schema(
+        [("doc_id", pa.int64()), ("row_key", pa.string()), ("class", pa.int64()), ("n", pa.int64()), ("cells", pa.binary())]
+    )
     for batch in batches:
         classes, sizes, seen = [], [], set()
         for text in batch["text"]:
@@ -102,7 +105,8 @@ def _signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if name not in seen:  # copies in a batch count once
                 seen.add(name)
                 np.add.at(cells, _cell(grams), 1)
-        columns = [batch["doc_id"], pa.array(_signed(classes)), pa.array(sizes, pa.int64()), pa.nulls(len(sizes), pa.binary())]
+        own = [pa.array(_signed(classes)), pa.array(sizes, pa.int64()), pa.nulls(len(sizes), pa.binary())]
+        columns = [batch["doc_id"], batch["row_key"].cast(pa.string()), *own]
         yield pa.RecordBatch.from_arrays(columns, schema=schema)
     if cells.any():
         yield pa.RecordBatch.from_pylist([{"n": -1, "cells": cells.tobytes()}], schema=schema)
@@ -247,8 +251,7 @@ def _verified(pairs: DataFrame, docs: DataFrame, firsts: DataFrame) -> DataFrame
     for row in packed:
         table[row["word"]] = row["bits"]
     bits = np.unpackbits(table.view(np.uint8), bitorder="little").astype(bool)
-    texts = _texts(docs)
-    sets = texts.mapInArrow(_sets(bits), _SETS).join(members.select("class").distinct(), "class", "left_semi").drop("doc_id")
+    sets = docs.mapInArrow(_sets(bits), _SETS).join(members.select("class").distinct(), "class", "left_semi").drop("doc_id")
     sets = stage(sets, "sets")
     prefix = F.col("n") - F.ceil(F.col("n") * PERCENT / 100) + 1
     # Ascending and descending order of a set sorted by hash: its first and its last tokens.
@@ -264,27 +267,27 @@ def _verified(pairs: DataFrame, docs: DataFrame, firsts: DataFrame) -> DataFrame
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
-    """One row per document: doc_id, class, n_shingles, component_id.
+    """One row per document: doc_id, row_key, n_shingles, component_id, group.
 
-    ``component_id`` is the smallest id among all documents reachable by links. Documents without words have no
-    shingles, class NULL and their own id. Repeated rows and several texts under one id are kept; NULL ids join
-    groups but do not name them (a group of NULL ids only has component NULL). Other columns go.
+    ``component_id`` is the smallest id among all documents reachable by links, ``group`` a number for the same
+    documents. Documents without words have no shingles, no group and their own id. Repeated rows and several texts
+    under one id are kept; NULL ids join groups but do not name them (a group of NULL ids only has component NULL).
+    Other columns go.
 
     A class is a 64-bit hash of a text's words. Staged tables hold ids, hashes and candidates' sets, no texts.
     """
     texts = _texts(docs)
-    signatures = stage(texts.mapInArrow(_signatures, _SIGNATURES), "signatures")
+    keys = texts.withColumn("row_key", row_key())
+    signatures = stage(keys.mapInArrow(_signatures, _SIGNATURES), "signatures")
     levels = _levels(signatures)
-    rows = signatures.filter("n >= 0").select("doc_id", "class", "n")
-    firsts = rows.filter("n > 0").groupBy("class").agg(F.min("doc_id").alias("doc_id"))
+    rows = signatures.filter("n >= 0").select("doc_id", "row_key", "class", "n")
+    ids = rows.filter("n > 0").groupBy("class").agg(F.min("doc_id").alias("doc_id"))
 
     postings = texts.mapInArrow(_postings(levels), _POSTINGS)
     shared = postings.groupBy("token").agg(F.min("class").alias("low"), F.max("class").alias("high")).filter("low <> high")
     postings = stage(postings.join(shared.select("token"), "token").distinct(), "postings")
 
-    known = None  # (class, component) of the classes that have links
-    links = None
-    tried = None
+    known = links = tried = None  # known: (class, component) of the classes that have links
     for round_no in range(LEADER_ROUNDS + 1):
         placed = postings.withColumn("component", F.col("class"))
         if known is not None:
@@ -295,20 +298,38 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         if pairs.isEmpty():
             continue
         tried = pairs if tried is None else tried.unionByName(pairs)
-        found = stage(_verified(pairs, docs, firsts), "links")
+        found = stage(_verified(pairs, texts, ids), "links")
         links = found if links is None else links.unionByName(found)
         known = stage(components(links).select(F.col("node").alias("class"), "component"), "components")
 
-    ids = rows.filter("n > 0").groupBy("class").agg(F.min("doc_id").alias("least"))
+    ids = ids.withColumn("group", F.col("class"))
     if known is not None:
-        ids = ids.join(known, "class", "left").withColumn("component", F.coalesce("component", "class"))
-        least = ids.groupBy("component").agg(F.min("least").alias("least"))
-        ids = ids.drop("least").join(least, "component").drop("component")
-    ids = ids.withColumnRenamed("class", "id_class")
+        ids = ids.join(known, "class", "left").withColumn("group", F.coalesce("component", "class")).drop("component")
+    least = ids.groupBy("group").agg(F.min("doc_id").alias("component_id"))
+    ids = ids.select(F.col("class").alias("id_class"), "group").join(least, "group")
     has_words = F.col("n") > 0
     return rows.join(ids, has_words & (F.col("class") == F.col("id_class")), "left").select(
         "doc_id",
-        F.when(has_words, F.col("class")).alias("class"),
+        "row_key",
         F.col("n").alias("n_shingles"),
-        F.when(has_words, F.col("least")).otherwise(F.col("doc_id")).alias("component_id"),
+        F.when(has_words, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"),
+        "group",
     )
+
+
+def one_of_each(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs`` with one document left of each group, the one with the smallest id.
+
+    Of a document's repeated rows one stays. Documents without words all stay. All columns are kept.
+    """
+    marked = stage(near_duplicates(docs), "groups")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("unknown"), "doc_id", "row_key"))
+    chosen = marked.filter("n_shingles > 0").groupBy("group").agg(first.alias("first")).select("first.row_key", F.lit(1).alias("copies"))
+    empty = marked.filter("n_shingles = 0").select("row_key", F.lit(None).cast("int").alias("copies")).distinct()
+    key, copies, copy = (free_name(docs, name) for name in ("chosen_key", "copies", "copy_no"))
+    chosen = chosen.unionByName(empty).select(F.col("row_key").alias(key), F.col("copies").alias(copies))
+    numbered = docs.withColumn(key, row_key())
+    others = [c for c in ("lang", "source", "n_chars") if c in docs.columns]
+    alike = Window.partitionBy(key).orderBy(*(others or [key]))
+    kept = numbered.join(chosen, key).withColumn(copy, F.row_number().over(alike))
+    return kept.filter(F.col(copies).isNull() | (F.col(copy) <= F.col(copies))).select(*docs.columns)

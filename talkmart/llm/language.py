@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from talkmart.llm.staging import stage
+from talkmart.llm.text import free_name
 
 CELLS = 1 << 14
 #: Labelled documents the text model is fitted on, taken by the hash of their ids.
@@ -231,3 +232,14 @@ def identify_documents(docs: DataFrame, model: TextModel, key: Column, accept: f
         model,
         accept,
     )
+
+
+def known_language(docs: DataFrame, model: TextModel, accept: float = ACCEPT) -> DataFrame:
+    """The rows of ``docs`` whose language is accepted, ``lang`` set to it; all other columns as they are."""
+    mark = lambda c: F.coalesce(F.col(c).cast("string"), F.lit("NULL"))
+    row = F.md5(F.concat_ws("|", mark("doc_id"), mark("lang"), mark("source"), F.coalesce("text", F.lit(""))).cast("binary"))
+    found = identify_documents(docs, model, row, accept).filter("accepted")
+    key, lang = free_name(docs, "language_key"), free_name(docs, "language_found")
+    found = found.groupBy(F.col("key").alias(key)).agg(F.max("lang").alias(lang))  # equal rows have equal answers
+    kept = docs.join(found, row == F.col(key))
+    return kept.select(*(F.col(lang).alias("lang") if c == "lang" else docs[c] for c in docs.columns))

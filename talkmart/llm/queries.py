@@ -85,7 +85,8 @@ def op8_secrets(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def op9_ngram_jaccard(spark: SparkSession, folder: str) -> DataFrame:
-    return jaccard.near_duplicates(_table(spark, folder, "documents")).drop("class")
+    out = jaccard.near_duplicates(_table(spark, folder, "documents"))
+    return out.select("doc_id", "n_shingles", "component_id")
 
 
 @query
