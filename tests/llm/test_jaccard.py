@@ -1,6 +1,7 @@
 """The n-gram join against all pairs in plain Python."""
 
 import random
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
@@ -22,10 +23,14 @@ def brute(rows):
             i = group[i]
         return i
 
-    for i in range(len(rows)):
-        for j in range(i):
-            if sets[i] and sets[j] and 100 * len(sets[i] & sets[j]) >= 80 * len(sets[i] | sets[j]):
+    holders = {}
+    for i, own in enumerate(sets):
+        shared = Counter(j for g in own for j in holders.get(g, ()))
+        for j, n in shared.items():
+            if 100 * n >= 80 * (len(own) + len(sets[j]) - n):
                 group[root(i)] = root(j)
+        for g in own:
+            holders.setdefault(g, []).append(i)
     least = {}
     for i, (doc_id, _) in enumerate(rows):
         if doc_id is not None:
