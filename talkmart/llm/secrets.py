@@ -190,16 +190,12 @@ def redact(docs: DataFrame, found: DataFrame, mark: str = "<secret>") -> DataFra
     end = lambda i: F.coalesce(F.get(spans, i)["start"], F.length(text))
     pieces = F.transform(F.sequence(F.lit(0), F.size(spans)), lambda i: F.substring(text, start(i) + 1, end(i) - start(i)))
     clean = F.when(spans.isNull(), F.col("text")).otherwise(F.array_join(pieces, mark))
-    joined = docs.join(cuts, row_key() == F.col(key), "left")
-    columns = []
-    for c in docs.columns:
-        if c == "text":
-            columns.append(clean.alias("text"))
-        elif c == "n_chars":
-            columns.append(F.when(spans.isNull(), F.col(c)).otherwise(F.length(clean)).cast(docs.schema[c].dataType).alias(c))
-        else:
-            columns.append(docs[c])
-    return joined.select(*columns)
+    # A column of its own first: inside a lambda, "text" would mean the new column of the same select.
+    new = free_name(docs, "clean_text")
+    joined = docs.join(cuts, row_key() == F.col(key), "left").withColumn(new, clean)
+    n_chars = F.when(spans.isNull(), F.col("n_chars")).otherwise(F.length(new)) if "n_chars" in docs.columns else None
+    changed = {"text": F.col(new), "n_chars": n_chars}
+    return joined.select(*(changed[c].cast(docs.schema[c].dataType).alias(c) if c in changed else docs[c] for c in docs.columns))
 
 
 def scan(docs: DataFrame, labelled: DataFrame | None = None) -> DataFrame:
