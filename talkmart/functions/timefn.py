@@ -51,6 +51,23 @@ def within_days(epoch: Column, first, last=None, zone: str = SEOUL) -> Column:
     return epoch.between(F.lit(lo), F.lit(hi))
 
 
+def _utc(epoch: int) -> Column:
+    """A literal wall-clock timestamp in UTC."""
+    return F.expr(f"TIMESTAMP_NTZ '{datetime.fromtimestamp(epoch, timezone.utc):%Y-%m-%d %H:%M:%S}'")
+
+
+def between_days(utc: Column, first, last=None, zone: str = SEOUL) -> Column:
+    """A UTC timestamp without zone inside the civil days of ``zone``; literal bounds on the column, for the scan."""
+    lo, hi = day_bounds(first, last, zone)
+    return (utc >= _utc(lo)) & (utc < _utc(hi + 1))
+
+
+def in_month(utc: Column, day: str | date, zone: str = SEOUL) -> Column:
+    """A UTC timestamp without zone inside the month of ``day`` in ``zone``."""
+    first, following = month_bounds(day)
+    return (utc >= _utc(_midnight(first, zone))) & (utc < _utc(_midnight(following, zone)))
+
+
 def within_lookback(day_col: Column, day: str | date, days: int = 7) -> Column:
     """A date (or ``yyyy-MM-dd`` text) from ``days`` before ``day`` up to ``day``."""
     end = as_date(day)

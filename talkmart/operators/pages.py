@@ -85,33 +85,41 @@ def _any_incomplete(comments: Column, *fields: str) -> Column:
 
 
 def profile_pages(pages: DataFrame, car_name: str | Column, source: str = "bobae", zone: str = SEOUL) -> DataFrame:
-    """Forum pages with a writer profile and one ``|``-separated count line."""
+    """Forum pages with a writer profile and one ``|``-separated count line.
+
+    A page without its comment box, or with a comment that lacks a part or its vote
+    box, is ``failed`` and comes again. So is one with a list inside a comment: its
+    entries cannot be told from comments. A box without a list has no comments.
+    """
     html = F.col("html")
 
     def comment(item: Column) -> Column:
         head = M.leaf(item, "dt")
-        votes = M.sections(M.element(item, "div", "updownbox"), "a")
+        box = M.element(item, "div", "updownbox")
+        votes = M.sections(box, "a")
 
         def vote(n: int) -> Column:
             label = M.text_of(F.split(F.try_element_at(votes, F.lit(n)), "(?i)</a", 2)[0])
-            return parse_count(F.try_element_at(F.split(label, " "), F.lit(2)))
+            return F.when(box.isNotNull(), parse_count(F.try_element_at(F.split(label, " "), F.lit(2))))
 
         return _comment(
             M.text_of(M.leaf(item, "dd")),
-            M.text_of(M.leaf(head, "span", "author")),
-            parse_epoch(M.text_of(M.leaf(head, "span", "date")), DOT_SHORT, zone=zone),
+            M.text_of(M.element(head, "span", "author")),
+            parse_epoch(M.text_of(M.element(head, "span", "date")), DOT_SHORT, zone=zone),
             vote(1),
             vote(2),
         )
 
-    items = M.sections(M.leaf(M.element(html, "div", "commentlistbox"), "ul", "basiclist"), "li")
+    comment_box = M.element(html, "div", "commentlistbox")
+    items = M.sections(M.element(comment_box, "ul", "basiclist"), "li")
     boxes = {
         "profile": M.element(html, "div", "writerProfile"),
         "body": let(
             M.element(html, "div", "content02"),
             lambda box: F.coalesce(M.element(box, "div", "bodyCont"), M.element(box, "div", "mycarCont")),
         ),
-        "counts": M.text_of(M.leaf(html, "span", "countGroup")),
+        "counts": M.text_of(M.element(html, "span", "countGroup")),
+        "boxless": comment_box.isNull(),
         "comments": F.coalesce(F.transform(items, comment), F.array()).cast(_COMMENTS),
     }
     counts, profile = F.col("counts"), F.col("profile")
@@ -125,10 +133,9 @@ def profile_pages(pages: DataFrame, car_name: str | Column, source: str = "bobae
         "date": parse_epoch(F.concat_ws(" ", token(stamp, (" ", 0)), token(stamp, (" ", 2))), DOT_LONG, zone=zone),
         "deleted": profile.isNull(),
     }
-    found = computed_once(computed_once(pages, ["url"], boxes), ["url", "comments"], fields)
-    bad = _any_missing("title", "article", "date") | _any_incomplete(
-        F.col("comments"), "comment_content", "comment_nickname", "comment_date"
-    )
+    found = computed_once(computed_once(pages, ["url"], boxes), ["url", "comments", "boxless"], fields)
+    parts = ("comment_content", "comment_nickname", "comment_date", "comment_like_count")
+    bad = _any_missing("title", "article", "date") | _any_incomplete(F.col("comments"), *parts) | F.col("boxless")
     parsed = found.select(
         "url",
         F.concat(F.lit(source + "_"), query_id(F.col("url"))).alias("id"),

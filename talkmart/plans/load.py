@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 from datetime import date
 
@@ -13,11 +14,20 @@ from talkmart.operators import facts, upsert, views
 from talkmart.operators.selection import check_parameters
 from talkmart.plans.text_job import days_between, scope
 from talkmart.schemas import MART, STAGING, STAGING_DIRS, staged
-from talkmart.session import size_shuffles, stored_bytes
-from talkmart.sources.readers import read_snapshot
-from talkmart.sources.writers import append_facts, clear_partitions, scope_bytes, write_snapshot
+from talkmart.session import sized_shuffles, stored_bytes
+from talkmart.sources.readers import next_snapshot_id, read_snapshot, snapshot_ids
+from talkmart.sources.writers import (
+    append_facts,
+    drop_folder,
+    drop_snapshots,
+    replaced_partitions,
+    scope_bytes,
+    write_snapshot,
+)
 
 SMALL_SOURCE_BYTES = 64 * 1024 * 1024
+#: Newest versions of a table that stay after a load.
+KEPT_VERSIONS = 3
 
 
 def measured_bytes(df: DataFrame) -> int:
@@ -49,27 +59,42 @@ def read_staging_days(
     return tables
 
 
-def upsert_dimensions(
-    spark: SparkSession, staging: dict[str, DataFrame], mart: str, snapshot_id: str
-) -> None:
-    """New snapshots of posts and comments: the newest older one, merged with staging.
+def stored_dimension(name: str) -> T.StructType:
+    """A dimension as its snapshots hold it: with the day and car of the load each row came from."""
+    loaded = [T.StructField("load_day", T.DateType()), T.StructField("load_car", T.StringType())]
+    return T.StructType([*MART[name].schema.fields, *loaded])
+
+
+def upsert_dimensions(spark: SparkSession, staging: dict[str, DataFrame], mart: str) -> dict[str, str]:
+    """New versions of posts and comments: the newest one there is, merged with staging.
+
+    A version's number is above all others', whatever days or cars it loads, so no
+    load is lost to a later number. A row changes only if it comes from the same or
+    a later day (within a day: the same or a later car by name), so days and cars
+    may be loaded in any order, and a late day fills in what is missing without
+    setting newer rows back.
 
-    The deduplicated source is written first: its size is then known exactly, and
-    a small one is broadcast instead of moving the dimension.
+    The deduplicated source is written first, under a number of its own: its size is
+    then known exactly, and a small one is broadcast instead of moving the dimension.
     """
     sources = {
-        "tb_posts": upsert.posts_to_load(staging["posts"]),
-        "tb_comments": upsert.comments_to_load(staging["comments"], staging["posts"]),
+        "tb_posts": upsert.posts_to_load(staging["posts"], loaded=True),
+        "tb_comments": upsert.comments_to_load(staging["comments"], staging["posts"], loaded=True),
     }
     mergers = {"tb_posts": upsert.merge_posts, "tb_comments": upsert.merge_comments}
+    run, versions = uuid.uuid4().hex, {}
     for name, incoming in sources.items():
-        schema = MART[name].schema
-        landed = f"{mart}/incoming/{name}"
-        incoming.write.mode("overwrite").parquet(landed)
+        schema, base = stored_dimension(name), f"{mart}/{name}"
+        landed = f"{mart}/incoming/{run}/{name}"
+        incoming.write.parquet(landed)
         source = spark.read.schema(schema).parquet(landed)
-        target = read_snapshot(spark, f"{mart}/{name}", schema, before=snapshot_id)
-        merged = mergers[name](target, source, small_source=is_small(source))
-        write_snapshot(merged, f"{mart}/{name}", snapshot_id)
+        target = read_snapshot(spark, base, schema)
+        versions[name] = next_snapshot_id(spark, base)
+        merged = mergers[name](target, source, small_source=is_small(source), order=upsert.LOADED)
+        write_snapshot(merged, base, versions[name])
+        drop_snapshots(spark, base, snapshot_ids(spark, base)[:-KEPT_VERSIONS])
+    drop_folder(spark, f"{mart}/incoming/{run}")
+    return versions
 
 
 def append_day_facts(
@@ -92,8 +117,8 @@ def append_day_facts(
         ),
     }
     for name, df in new_facts.items():
-        clear_partitions(spark, f"{mart}/{name}", days, cars, day_column="ingestion_date")
-        append_facts(df, f"{mart}/{name}")
+        with replaced_partitions(spark, f"{mart}/{name}", days, cars, day_column="ingestion_date"):
+            append_facts(df, f"{mart}/{name}")
 
 
 def create_fact_tables(spark: SparkSession, mart: str) -> None:
@@ -107,32 +132,48 @@ def read_fact(spark: SparkSession, mart: str, name: str) -> DataFrame:
     return spark.read.schema(MART[name].schema).parquet(f"{mart}/{name}").select(*MART[name].columns)
 
 
+def dimensions_digest(cars: DataFrame, sources: DataFrame) -> str:
+    """A digest of the rows of both small dimensions, in any order."""
+    parts = []
+    for df in (cars, sources):
+        row = F.xxhash64(*(F.struct(F.lit(c), F.col(c)) for c in sorted(df.columns)))
+        sums = df.agg(F.count(F.lit(1)), F.sum(row.cast("decimal(38,0)")), F.bit_xor(row)).first()
+        parts.append(":".join(map(str, sums)))
+    return "|".join(parts)
+
+
 def refresh_views(
     spark: SparkSession,
     mart: str,
     cars: DataFrame,
     sources: DataFrame,
-    snapshot_id: str,
     days: Sequence[str] | None = None,
-    same_day: bool = False,
+    same_day: bool = True,
 ) -> None:
     """Write both views again.
 
-    A listening row depends on one keyword fact and the dimensions only, so with
-    ``days`` and unchanged dimensions just those days are replaced. The attention
-    view matches snapshots across days and is rebuilt as a whole.
+    A listening row depends on one keyword fact and the dimensions only. A digest
+    of the dimensions is kept with the view: with ``days`` and an equal digest just
+    those days are replaced, otherwise the view is built anew.
+
+    The attention view is rebuilt as a whole. ``same_day=False`` gives its full
+    form, in which all snapshots of a post meet all snapshots of its comments; its
+    rows per post grow with the square of the days loaded.
     """
+    listening, mark = f"{mart}/vw_social_listening", f"{mart}/vw_social_listening_dims"
+    digest = dimensions_digest(cars, sources)
+    seen = read_snapshot(spark, mark, T.StructType([T.StructField("digest", T.StringType())])).first()
     keywords = read_fact(spark, mart, "tb_keywords")
-    if days is not None:
+    if days is not None and seen is not None and seen["digest"] == digest:
         keywords = keywords.filter(F.col("ingestion_date").between(days[0], days[-1]))
-        clear_partitions(spark, f"{mart}/vw_social_listening", days, None, day_column="ingestion_date")
-    listening = views.social_listening(keywords, cars, sources)
-    if days is None:
-        listening.hint("rebalance", "ingestion_date", "car_name").write.mode("overwrite").option(
-            "partitionOverwriteMode", "static"
-        ).partitionBy("ingestion_date", "car_name").parquet(f"{mart}/vw_social_listening")
+        with replaced_partitions(spark, listening, days, None, day_column="ingestion_date"):
+            append_facts(views.social_listening(keywords, cars, sources), listening)
     else:
-        append_facts(listening, f"{mart}/vw_social_listening")
+        whole = views.social_listening(keywords, cars, sources).hint("rebalance", "ingestion_date", "car_name")
+        out = whole.write.mode("overwrite").option("partitionOverwriteMode", "static")
+        out.partitionBy("ingestion_date", "car_name").parquet(listening)
+        write_snapshot(spark.range(1).select(F.lit(digest).alias("digest")), mark, next_snapshot_id(spark, mark))
+        drop_snapshots(spark, mark, snapshot_ids(spark, mark)[:-KEPT_VERSIONS])
     attention = views.social_attention(
         read_fact(spark, mart, "tb_posts_metric"),
         read_fact(spark, mart, "tb_comments_metric"),
@@ -140,7 +181,9 @@ def refresh_views(
         sources,
         same_day,
     )
-    write_snapshot(attention, f"{mart}/vw_social_attention", snapshot_id)
+    base = f"{mart}/vw_social_attention"
+    write_snapshot(attention, base, next_snapshot_id(spark, base))
+    drop_snapshots(spark, base, snapshot_ids(spark, base)[:-KEPT_VERSIONS])
 
 
 def load_days(
@@ -152,21 +195,18 @@ def load_days(
     first: str | date,
     last: str | date | None = None,
     cars: Sequence[str] | None = None,
-    snapshot_id: str | None = None,
+    same_day: bool = True,
 ) -> None:
-    """Dimensions, then facts, then views, for one day or a range of days.
+    """Dimensions, then facts, then views, for one day or a range of days, of all or some cars.
 
-    ``snapshot_id`` orders the dimension versions and defaults to the last day.
-    Loads of single cars of one day need ids of their own, such as ``<day>-<car>``.
+    Days and cars may come in any order and again; the end result is the same.
     """
     check_parameters(staging_base=staging_base, mart=mart, first=first)
     days = days_between(first, last)
-    version = snapshot_id or (days[-1] if cars is None else f"{days[-1]}-{'-'.join(sorted(cars))}")
     arriving = sum(scope_bytes(spark, f"{staging_base}/{d}", days, cars) for d, _ in STAGING_DIRS.values())
-    # Snapshots are counted whole: a merge may have to move the newest one.
-    standing = max(stored_bytes(spark, f"{mart}/tb_posts"), stored_bytes(spark, f"{mart}/tb_comments"))
-    size_shuffles(spark, max(arriving, standing))
-    staging = read_staging_days(spark, staging_base, days, cars)
-    upsert_dimensions(spark, staging, mart, version)
-    append_day_facts(spark, staging, mart, days, cars)
-    refresh_views(spark, mart, car_dim, source_dim, version, days)
+    newest = [f"{base}/snapshot={i}" for base in (f"{mart}/tb_posts", f"{mart}/tb_comments") for i in snapshot_ids(spark, base)[-1:]]
+    with sized_shuffles(spark, max([arriving, *(stored_bytes(spark, path) for path in newest)])):
+        staging = read_staging_days(spark, staging_base, days, cars)
+        upsert_dimensions(spark, staging, mart)
+        append_day_facts(spark, staging, mart, days, cars)
+        refresh_views(spark, mart, car_dim, source_dim, days, same_day)

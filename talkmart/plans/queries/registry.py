@@ -7,7 +7,6 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from talkmart.functions import text as X
-from talkmart.sources.readers import read_spread
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -29,7 +28,7 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return read_spread(spark, f"{folder}/{name}.parquet")
+    return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
 def sql_key(*parts: str) -> str:
@@ -80,5 +79,6 @@ def with_ctes(select: str, *names: str) -> str:
 
     for name in names:
         add(name)
-    parts = ",\n".join(f"{name} AS ({_CTES[name][1]})" for name in order)
+    # Each is worked out once, however many others use it.
+    parts = ",\n".join(f"{name} AS MATERIALIZED ({_CTES[name][1]})" for name in order)
     return f"WITH {parts}\n{select}"

@@ -24,7 +24,7 @@ _EVENTS = f"(SELECT *, {sql_epoch('ts')} AS create_timestamp FROM events)"
     WHERE create_timestamp BETWEEN 1704898800 AND 1704985199""",
 )
 def _(spark, folder):
-    rows = _events(spark, folder).filter(D.within_days(F.col("create_timestamp"), "2024-01-11"))
+    rows = _events(spark, folder).filter(D.between_days(F.col("ts"), "2024-01-11"))
     return rows.select("event_id", "create_timestamp")
 
 
@@ -45,7 +45,7 @@ def _(spark, folder):
 )
 def _(spark, folder):
     orders = table(spark, folder, "orders")
-    kept = orders.filter(D.within_month(D.to_epoch(F.col("o_orderdate")), "1996-12-15"))
+    kept = orders.filter(D.in_month(F.col("o_orderdate"), "1996-12-15"))
     day = F.to_date("o_orderdate")
     return kept.select(
         "o_orderkey", day.alias("day"), F.add_months(F.trunc(day, "month"), 1).alias("next_month")
@@ -60,7 +60,7 @@ def _(spark, folder):
 def _(spark, folder):
     """A range of days in one job, every day and group at once."""
     when = F.col("create_timestamp")
-    rows = _events(spark, folder).filter(D.within_days(when, "2024-01-08", "2024-01-19"))
+    rows = _events(spark, folder).filter(D.between_days(F.col("ts"), "2024-01-08", "2024-01-19"))
     return rows.groupBy(D.to_local_date(when).alias("dt"), "event_type").agg(F.count(F.lit(1)).alias("rows"))
 
 

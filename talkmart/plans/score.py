@@ -11,9 +11,9 @@ from pyspark.sql import functions as F
 
 from talkmart.operators import scoring
 from talkmart.plans.text_job import PARTITIONS, days_between, scope
-from talkmart.schemas import CLASSIFIED_FAILED, SENTENCE_DATA, staged
-from talkmart.session import size_shuffles
-from talkmart.sources.writers import clear_partitions, scope_bytes, write_partitions
+from talkmart.schemas import CLASSIFIED, CLASSIFIED_FAILED, SENTENCE_DATA, staged
+from talkmart.session import sized_shuffles
+from talkmart.sources.writers import path_exists, replaced_partitions, scope_bytes, write_partitions
 
 
 def file_count(sentences: DataFrame, at_least: int = 10, rows_per_file: int = 500_000) -> int:
@@ -36,22 +36,20 @@ def run_scoring(
     same prompt differently a second time.
     """
     days = days_between(first, last)
-    inside = scope(days, cars)
-    size_shuffles(spark, scope_bytes(spark, f"{out}/sentence_data", days, cars))
-    sentences = spark.read.schema(staged(SENTENCE_DATA)).parquet(f"{out}/sentence_data").filter(inside)
-    sentences = sentences.select("sentence_uuid", "sentence", *PARTITIONS)
-    parsed = scoring.score_sentences(
-        sentences, scorer, file_count(sentences), strict, carry=PARTITIONS
-    )
+    with sized_shuffles(spark, scope_bytes(spark, f"{out}/sentence_data", days, cars)):
+        sentences = spark.read.schema(staged(SENTENCE_DATA)).parquet(f"{out}/sentence_data").filter(scope(days, cars))
+        sentences = sentences.select("sentence_uuid", "sentence", *PARTITIONS)
+        parsed = scoring.score_sentences(sentences, scorer, file_count(sentences), strict, carry=PARTITIONS)
+        scored = _replace(spark, parsed, f"{out}/scored", days, cars)
+        _replace(spark, scoring.classified(scored, PARTITIONS), f"{out}/classified", days, cars)
+        _replace(spark, scoring.classified_failed(scored, PARTITIONS), f"{out}/classified_failed", days, cars)
 
-    def replace(df: DataFrame, table: str) -> DataFrame:
-        clear_partitions(spark, f"{out}/{table}", days, cars)
-        write_partitions(df, f"{out}/{table}", PARTITIONS)
-        return spark.read.schema(df.schema).parquet(f"{out}/{table}").filter(inside)
 
-    scored = replace(parsed, "scored")
-    replace(scoring.classified(scored, PARTITIONS), "classified")
-    replace(scoring.classified_failed(scored, PARTITIONS), "classified_failed")
+def _replace(spark: SparkSession, df: DataFrame, path: str, days: Sequence[str], cars: Sequence[str] | None) -> DataFrame:
+    """Write the scope's partitions and give back what was written."""
+    with replaced_partitions(spark, path, days, cars):
+        write_partitions(df, path, PARTITIONS)
+    return spark.read.schema(df.schema).parquet(path).filter(scope(days, cars))
 
 
 def retry_failed(
@@ -62,7 +60,19 @@ def retry_failed(
     scorer: Callable[[str], str] | None = None,
     strict: bool = False,
 ) -> DataFrame:
-    """Scores the failed sentences again; the caller appends what is now ``ok``."""
-    failed = spark.read.schema(staged(CLASSIFIED_FAILED)).parquet(f"{out}/classified_failed")
-    failed = failed.filter(scope(days_between(first, last)))
-    return scoring.score_sentences(failed, scorer, file_count(failed), strict, carry=PARTITIONS).filter(F.col("ok"))
+    """Score the failed sentences again and land the results; gives back the sentences scored now.
+
+    Replies are written first (``scored_retry``). What succeeded is added to ``classified``, once even if a retry is
+    repeated half-way, and ``classified_failed`` keeps what failed again.
+    """
+    days = days_between(first, last)
+    failed = spark.read.schema(staged(CLASSIFIED_FAILED)).parquet(f"{out}/classified_failed").filter(scope(days))
+    again = scoring.score_sentences(failed, scorer, file_count(failed), strict, carry=PARTITIONS)
+    again = _replace(spark, again, f"{out}/scored_retry", days, None)
+    good = scoring.classified(again, PARTITIONS)
+    if path_exists(spark, f"{out}/classified"):
+        known = spark.read.schema(staged(CLASSIFIED)).parquet(f"{out}/classified").filter(scope(days))
+        good = good.join(known.select("sentence_uuid"), "sentence_uuid", "left_anti").select(*good.columns)
+    good.write.mode("append").partitionBy(*PARTITIONS).parquet(f"{out}/classified")
+    _replace(spark, scoring.classified_failed(again, PARTITIONS), f"{out}/classified_failed", days, None)
+    return again.filter(F.col("ok"))

@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from datetime import date, timedelta
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -14,8 +14,8 @@ from talkmart.functions.timefn import SEOUL, as_date, to_local_date, within_days
 from talkmart.operators import normalize, quarantine
 from talkmart.operators.selection import check_parameters
 from talkmart.schemas import RAW
-from talkmart.session import size_shuffles
-from talkmart.sources.writers import clear_partitions, path_exists, scope_bytes, write_partitions
+from talkmart.session import sized_shuffles
+from talkmart.sources.writers import path_exists, replaced_partitions, scope_bytes, write_partitions
 
 PARTITIONS = ("dt", "car_name")
 
@@ -43,6 +43,18 @@ def read_raw_days(
     return reader.json(paths)
 
 
+def numbered_records(raw: DataFrame) -> DataFrame:
+    """Adds ``record_digest`` and ``record_no``, which tell records of one day and id apart.
+
+    The digest is of the whole record; only equal records of a day get different
+    numbers. Neither depends on what else a run reads or how it is partitioned,
+    so a rerun, also of one car, gives each record its old key.
+    """
+    digested = raw.withColumn("record_digest", F.md5(F.to_json(F.struct(*(raw[c] for c in raw.columns)))))
+    alike = Window.partitionBy("dt", "id", "record_digest").orderBy("record_digest")
+    return digested.withColumn("record_no", F.row_number().over(alike))
+
+
 def run_text_job(
     spark: SparkSession,
     raw: DataFrame,
@@ -57,8 +69,8 @@ def run_text_job(
     """Raw records with ``dt`` -> the tables of one day, or of all days ``first`` .. ``last``.
 
     Raw JSON is parsed once and landed as Parquet together with its reject reasons
-    and a row number. All later steps read written tables, so keys are the same in
-    each of them, and a lost executor costs one task, not the job.
+    and a digest. All later steps read written tables, so a lost executor costs one
+    task, not the job; keys depend on the records alone.
 
     A rerun replaces the (day, car) partitions of its scope. ``files`` fixes the
     number of sentence files; otherwise their size decides.
@@ -69,18 +81,33 @@ def run_text_job(
 
     def replace(df: DataFrame, table: str) -> DataFrame:
         """Write the scope's partitions and give back what was written."""
-        clear_partitions(spark, f"{out}/{table}", days, cars)
-        write_partitions(df, f"{out}/{table}", PARTITIONS)
+        with replaced_partitions(spark, f"{out}/{table}", days, cars):
+            write_partitions(df, f"{out}/{table}", PARTITIONS)
         return spark.read.schema(df.schema).parquet(f"{out}/{table}").filter(inside)
 
-    numbered = raw.filter(inside).withColumn("record_no", F.monotonically_increasing_id())
-    judged = numbered.withColumn("reject_reasons", quarantine.reject_reasons(raw.drop("dt")))
+    judged = numbered_records(raw.filter(inside)).withColumn("reject_reasons", quarantine.reject_reasons(raw.drop("dt")))
     landed = replace(judged, "landed")
-    size_shuffles(spark, scope_bytes(spark, f"{out}/landed", days, cars))
+    with sized_shuffles(spark, scope_bytes(spark, f"{out}/landed", days, cars)):
+        _split(spark, landed, out, days, cars, replace, files, script, zone)
+
+
+def _split(
+    spark: SparkSession,
+    landed: DataFrame,
+    out: str,
+    days: Sequence[str],
+    cars: Sequence[str] | None,
+    replace: Callable[[DataFrame, str], DataFrame],
+    files: int | None,
+    script: str,
+    zone: str,
+) -> None:
+    """Rejects, posts, comments and sentences out of the landed records."""
     rejected = F.size("reject_reasons") > 0
-    replace(landed.filter(rejected).drop("record_no"), "failed_raw")
+    replace(landed.filter(rejected).drop("record_digest", "record_no"), "failed_raw")
 
-    keyed = normalize.with_post_key(landed.filter(~rejected), F.col("dt").cast("string"), ["record_no"])
+    position = ["record_digest", "record_no"]
+    keyed = normalize.with_post_key(landed.filter(~rejected), F.col("dt").cast("string"), position)
     posts = replace(normalize.post_rows(keyed, carry=["dt"]), "post_data")
     comments = replace(normalize.comment_rows(keyed, carry=PARTITIONS), "comment_data")
 
@@ -92,6 +119,6 @@ def run_text_job(
     if files is None:
         replace(clean, "sentence_data")
     else:
-        clear_partitions(spark, f"{out}/sentence_data", days, cars)
         spread = clean.repartition(files)
-        spread.write.mode("append").partitionBy(*PARTITIONS).parquet(f"{out}/sentence_data")
+        with replaced_partitions(spark, f"{out}/sentence_data", days, cars):
+            spread.write.mode("append").partitionBy(*PARTITIONS).parquet(f"{out}/sentence_data")

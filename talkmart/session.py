@@ -2,7 +2,12 @@
 
 from __future__ import annotations
 
+import tempfile
+import zipfile
+from collections.abc import Iterator
+from contextlib import contextmanager
 from math import ceil
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
@@ -25,7 +30,9 @@ def build_session(app_name: str = "talkmart", master: str | None = None, **extra
         builder = builder.master(master)
     for key, value in {**SETTINGS, **extra}.items():
         builder = builder.config(key, value)
-    return builder.getOrCreate()
+    spark = builder.getOrCreate()
+    ship_package(spark)
+    return spark
 
 
 def stored_bytes(spark: SparkSession, *paths: str) -> int:
@@ -39,14 +46,37 @@ def stored_bytes(spark: SparkSession, *paths: str) -> int:
     return total
 
 
-def size_shuffles(spark: SparkSession, input_bytes: int, partition_bytes: int = 256 * 1024 * 1024) -> int:
-    """Raise the number of shuffle partitions to suit the input; never lower it.
+#: More shuffle partitions than this are too many for one driver; beyond it partitions grow instead.
+MAX_PARTITIONS = 20_000
+
+
+@contextmanager
+def sized_shuffles(
+    spark: SparkSession, input_bytes: int, partition_bytes: int = 256 * 1024 * 1024
+) -> Iterator[int]:
+    """Shuffle partitions that suit the input, while the job runs; the old number afterwards.
 
     AQE joins partitions that turn out small, but it splits only skewed joins and
     rebalances, so a large input needs enough partitions from the start. Stored
-    data counts four times, for what compression saves.
+    data counts four times, for what compression saves. The number is never below
+    the configured one and never above ``MAX_PARTITIONS``.
     """
     configured = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    wanted = max(configured, ceil(4 * input_bytes / partition_bytes))
+    wanted = max(configured, min(MAX_PARTITIONS, ceil(4 * input_bytes / partition_bytes)))
     spark.conf.set("spark.sql.shuffle.partitions", str(wanted))
-    return wanted
+    try:
+        yield wanted
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", str(configured))
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Give the executors this package: functions that run there are sent by module name."""
+    root = Path(__file__).resolve().parent
+    if not root.is_dir():  # already inside an archive that was shipped
+        return
+    archive = Path(tempfile.mkdtemp(prefix="talkmart-")) / "talkmart.zip"
+    with zipfile.ZipFile(archive, "w") as out:
+        for file in sorted(root.rglob("*.py")):
+            out.write(file, Path(root.name) / file.relative_to(root))
+    spark.sparkContext.addPyFile(str(archive))

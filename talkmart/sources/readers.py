@@ -50,23 +50,6 @@ def read_failure_lists(spark: SparkSession, pattern: str, name: str = "target")
     return read_lines(spark, pattern, name).distinct()
 
 
-SPREAD_FROM_BYTES = 256 * 1024
-SPREAD_UP_TO_BYTES = 1024 * 1024 * 1024
-
-
-def read_spread(spark: SparkSession, path: str) -> DataFrame:
-    """Parquet whose rows are dealt out to all cores when the table is small.
-
-    A small table is often one file with one row group, which a single task would
-    read and process. Between 256 KB and 1 GB its rows are dealt out first. Larger
-    tables have parts enough, and are left as they are.
-    """
-    df = spark.read.parquet(path)
-    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
-    cores = spark.sparkContext.defaultParallelism
-    return df.repartition(cores) if SPREAD_FROM_BYTES <= size <= SPREAD_UP_TO_BYTES else df
-
-
 def register_staging(spark: SparkSession, tables: Mapping[str, DataFrame]) -> None:
     """Staging tables as temporary views ``staging_<name>`` for SQL users."""
     for name, df in tables.items():
@@ -87,6 +70,10 @@ def input_files(df: DataFrame) -> DataFrame:
 
 def snapshot_ids(spark: SparkSession, base: str) -> list[str]:
     """Ids of the complete snapshots under ``base``, oldest first."""
+    return _snapshots(spark, base, complete=True)
+
+
+def _snapshots(spark: SparkSession, base: str, complete: bool) -> list[str]:
     jvm = spark.sparkContext._jvm
     root = jvm.org.apache.hadoop.fs.Path(base)
     fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
@@ -96,13 +83,27 @@ def snapshot_ids(spark: SparkSession, base: str) -> list[str]:
     for status in fs.listStatus(root):
         path = status.getPath()
         done = fs.exists(jvm.org.apache.hadoop.fs.Path(path, "_SUCCESS"))
-        if path.getName().startswith("snapshot=") and done:
+        if path.getName().startswith("snapshot=") and (done or not complete):
             found.append(path.getName().removeprefix("snapshot="))
     return sorted(found)
 
 
+def all_snapshot_ids(spark: SparkSession, base: str) -> list[str]:
+    """Ids of all snapshots under ``base``, unfinished ones included."""
+    return _snapshots(spark, base, complete=False)
+
+
+def next_snapshot_id(spark: SparkSession, base: str) -> str:
+    """A version number above all that are there, complete or not."""
+    taken = [int(i) for i in all_snapshot_ids(spark, base) if i.isdigit()]
+    return f"{max(taken, default=0) + 1:010d}"
+
+
 def read_snapshot(spark: SparkSession, base: str, schema: T.StructType, before: str | None = None) -> DataFrame:
-    """The newest complete snapshot, or the newest one older than ``before``; empty if none."""
+    """The newest complete snapshot, or the newest one older than ``before``; empty if none.
+
+    Columns of ``schema`` that a snapshot does not have are NULL, others of its own are not read.
+    """
     ids = [i for i in snapshot_ids(spark, base) if before is None or i < before]
     if not ids:
         return spark.createDataFrame([], schema)

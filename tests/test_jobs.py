@@ -7,7 +7,7 @@ from collections import Counter
 from datetime import date
 from functools import partial
 
-from talkmart import schemas
+from talkmart import schemas, session
 from talkmart.operators import pages, quality
 from talkmart.plans import collect, load, prototype, score, text_job, validate
 from talkmart.sources import readers, writers
@@ -21,7 +21,7 @@ NOON = 1738335600 + 43200
 
 def _post(id_, car="Kona", when=NOON, comments=(), **more):
     text = "연비가 정말 좋아요 추천합니다\nshort\n고장이 자주 나서 불편합니다!!!"
-    rec = record(id_, comments, car_name=car, title="디자인이 예쁘네요 새로운 모델", article=text, date=when, **more)
+    rec = record(id_, comments, **{"car_name": car, "title": "디자인이 예쁘네요 새로운 모델", "article": text, "date": when, **more})
     for c in rec["comments"]:
         c["comment_date"] = when
     return rec
@@ -120,10 +120,14 @@ def test_days_to_mart(spark, tmp_path):
     listening = spark.read.parquet(f"{mart}/vw_social_listening")
     assert listening.count() == 10 and {r.age for r in listening.collect()} == {"30s"}
     attention = readers.read_snapshot(spark, f"{mart}/vw_social_attention", _attention_schema(spark, mart))
+    assert Counter(r.post_id for r in attention.collect()) == {"clien_1": 2, "clien_2": 1, "clien_3": 1}
+    load.refresh_views(spark, mart, cars, sources, same_day=False)
+    attention = readers.read_snapshot(spark, f"{mart}/vw_social_attention", _attention_schema(spark, mart))
     # clien_1: two post snapshots by two comment snapshots.
     assert Counter(r.post_id for r in attention.collect()) == {"clien_1": 4, "clien_2": 1, "clien_3": 1}
-    whole = load.refresh_views(spark, mart, cars, sources, "full")
-    assert whole is None and spark.read.parquet(f"{mart}/vw_social_listening").count() == 10
+    assert spark.read.parquet(f"{mart}/vw_social_listening").count() == 10
+    # Versions are numbers, the newest three stay.
+    assert len(readers.snapshot_ids(spark, f"{mart}/tb_posts")) == 3
 
     load.create_fact_tables(spark, mart)
     assert spark.table("tb_keywords").count() == 10
@@ -164,6 +168,71 @@ def test_scoring_failures_and_retry(spark, tmp_path):
     assert spark.read.parquet(f"{stage}/classified_failed").count() == 3
     again = score.retry_failed(spark, stage, DAY)
     assert again.count() == 3
+    landed = spark.read.parquet(f"{stage}/classified")
+    assert landed.count() == landed.select("sentence_uuid").distinct().count() == 3
+    assert spark.read.schema("sentence_uuid string, dt date, car_name string").parquet(f"{stage}/classified_failed").count() == 0
+    assert score.retry_failed(spark, stage, DAY).count() == 0
+    assert spark.read.parquet(f"{stage}/classified").count() == 3
+
+
+def test_any_order_of_days_and_cars_gives_the_same_mart(spark, tmp_path):
+    _write_raw(tmp_path, DAY, "a.json", [_post("x", comments=[("u", "저도 연비가 만족스럽습니다 정말")]), _post("y", "Venue"), _post("z", "Venue", title="오래된 제목")])
+    _write_raw(tmp_path, NEXT, "a.json", [_post("x", title="새로운 제목"), _post("z", "Kona", title="코나 제목"), _post("z", "Venue", title="베뉴 제목")])
+    stage = str(tmp_path / "stage")
+    _run(spark, tmp_path, DAY, NEXT)
+    score.run_scoring(spark, stage, DAY, NEXT)
+    sources = spark.createDataFrame([("clien", "30s")], schemas.MART["tb_web_source"].schema)
+    cars = spark.createDataFrame([("Kona", None, None), ("Venue", None, None)], schemas.MART["tb_car"].schema)
+    orders = {
+        "days": [(DAY, None), (NEXT, None)],
+        "late day": [(NEXT, None), (DAY, None)],
+        "cars": [(DAY, ["Venue"]), (DAY, ["Kona"]), (NEXT, ["Kona"]), (NEXT, ["Venue"])],
+        "mixed": [(NEXT, ["Venue"]), (DAY, ["Kona"]), (NEXT, ["Kona"]), (DAY, ["Venue"]), (DAY, None)],
+    }
+    found = {}
+    for name, loads in orders.items():
+        mart = str(tmp_path / f"mart {name}")
+        for day, some in loads:
+            load.load_days(spark, stage, mart, cars, sources, day, cars=some)
+        found[name] = {n: Counter(map(str, df.collect())) for n, df in _mart(spark, mart).items()}
+        titles = {r.post_id: r.title for r in _mart(spark, mart)["tb_posts"].collect()}
+        assert titles == {"x": "새로운 제목", "y": titles["y"], "z": "베뉴 제목"}
+    assert all(f == found["days"] for f in found.values())
+
+
+def test_a_new_car_reaches_the_days_already_loaded(spark, tmp_path):
+    cars, sources = _days(spark, tmp_path)
+    stage, mart = str(tmp_path / "stage"), str(tmp_path / "mart")
+    for day in (DAY, NEXT):
+        _run(spark, tmp_path, day)
+        score.run_scoring(spark, stage, day)
+    load.load_days(spark, stage, mart, cars.filter("car_name = 'Kona'"), sources, DAY)
+    load.load_days(spark, stage, mart, cars, sources, NEXT)
+    assert spark.read.parquet(f"{mart}/vw_social_listening").count() == 10
+
+
+def test_keys_of_a_rerun(spark, tmp_path):
+    copies = [_post("k"), _post("k"), _post("v", "Venue"), _post("v", "Venue", title="다른 제목")]
+    _write_raw(tmp_path, DAY, "a.json", copies)
+
+    def keys():
+        return {(r.post_id, r.title, r.post_uuid) for r in _table(spark, tmp_path, "post_data").collect()}
+
+    _run(spark, tmp_path)
+    first = keys()
+    assert len(first) == 4
+    _run(spark, tmp_path, cars=["Venue"])
+    assert keys() == first
+    raw = text_job.read_raw_days(spark, str(tmp_path / "raw"), [DAY]).repartition(7)
+    text_job.run_text_job(spark, raw, str(tmp_path / "stage"), DAY)
+    assert keys() == first
+
+
+def test_shuffle_width_is_bounded_and_put_back(spark):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    with session.sized_shuffles(spark, 10**15) as width:
+        assert width == session.MAX_PARTITIONS == int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert spark.conf.get("spark.sql.shuffle.partitions") == before
 
 
 def test_validation_of_raw_files_and_stage_tables(spark, tmp_path):

@@ -24,11 +24,17 @@ def test_profile_page(spark):
         ("/view?No=8", "<html>gone</html>"),
         ("/view?No=9", PROFILE.format(comments=COMMENT.format(who="a", when="yesterday", text="x"))),
         ("/view?No=10", PROFILE.format(comments="").replace("2025.01.30", "2025-01-30")),
+        ("/view?No=11", PROFILE.format(comments="").replace("commentlistbox", "x")),
+        ("/view?No=12", PROFILE.format(comments=COMMENT.format(who="a", when="25.01.30 12:00", text="x").replace("updownbox", "x"))),
+        ("/view?No=13", PROFILE.format(comments=2 * COMMENT.format(who="a", when="25.01.30 12:00", text="<ul><li>p</li></ul>"))),
+        ("/view?No=14", PROFILE.format(comments=2 * COMMENT.format(who="<span>[lv]</span> name", when="25.01.30 12:00", text="x"))),
     )
     rows = {r.url: r for r in P.profile_pages(df, "Kona").collect()}
     assert {u: r.status for u, r in rows.items()} == {
         "/view?No=7": "ok", "/view?No=8": "deleted", "/view?No=9": "failed", "/view?No=10": "failed",
+        "/view?No=11": "failed", "/view?No=12": "failed", "/view?No=13": "failed", "/view?No=14": "ok",
     }
+    assert [c.comment_nickname for c in rows["/view?No=14"].comments] == ["[lv] name"] * 2
     post = rows["/view?No=7"]
     assert (post.id, post.title, post.nickname, post.source) == ("bobae_7", "It's a \"title\"", "", "bobae")
     assert post.article == "one\ntwo <b>\nthree"
@@ -38,8 +44,8 @@ def test_profile_page(spark):
     assert (comment.comment_content, comment.comment_nickname) == ("hi you", "a&b")
     assert (comment.comment_like_count, comment.comment_dislike_count) == (1002, 0)
     extracted = P.profile_pages(df, "Kona")
-    assert [r.url for r in P.to_retry(extracted).orderBy("url").collect()] == ["/view?No=10", "/view?No=9"]
-    assert P.usable(extracted).count() == 1
+    assert [r.url for r in P.to_retry(extracted).orderBy("url").collect()] == [f"/view?No={n}" for n in (10, 11, 12, 13, 9)]
+    assert P.usable(extracted).count() == 2
 
 
 VIEW = """<div class="content_view"><div class="post_title"><h3 class="post_subject"><span class="c">cat</span><span> T &amp; t </span></h3>

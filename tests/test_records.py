@@ -103,20 +103,21 @@ def test_flatten(spark):
     )
 
 
-def test_nesting_splits_a_hot_post_and_loses_nothing(spark):
+def test_nesting_in_parts_deals_out_equal_comments_and_loses_nothing(spark):
     posts = spark.createDataFrame([("hot",), ("cold",), ("none",)], "post string")
     sizes = {"hot": 1000, "cold": 7}
-    rows = [(p, i, f"text {i}") for p, n in sizes.items() for i in range(n)]
+    rows = [(p, 5, "same") if p == "hot" and i % 2 else (p, i, f"text {i}") for p, n in sizes.items() for i in range(n)]
     comments = spark.createDataFrame(rows, "post string, pos int, content string")
-    nested = normalize.nest_comments(posts, comments, "post", ["pos"], ["pos", "content"], per_record=100).collect()
+    nested = normalize.nest_comments(posts, comments, "post", ["pos"], ["pos", "content"], parts=10).collect()
     parts = Counter(r.post for r in nested)
-    assert parts["cold"] == parts["none"] == 1 and parts["hot"] == 10
-    assert max(len(r.comments) for r in nested) < 200
+    assert parts["cold"] == parts["none"] == parts["hot"] == 10
+    assert {len(r.comments) for r in nested if r.post == "hot"} == {100}
     assert {r.post: r.comment_count for r in nested} == {"hot": 1000, "cold": 7, "none": 0}
     back = [(r.post, c.pos, c.content) for r in nested for c in r.comments]
     assert sorted(back) == sorted(rows)
     assert all([c.pos for c in r.comments] == sorted(c.pos for c in r.comments) for r in nested)
     again = normalize.nest_comments(posts, comments, "post", ["pos"], ["pos", "content"])
+    assert again.count() == 3
     assert normalize.count_comments(again).filter("post = 'hot'").first().comment_count == 1000
 
 
