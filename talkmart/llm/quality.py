@@ -22,6 +22,8 @@ THRESHOLD = -0.05
 #: Counts added to each bucket, in shares of the corpus.
 SMOOTHING = 1.0
 MIN_WORDS = 50
+#: Weights are added as whole millionths, so the sums do not depend on their order.
+PARTS = 1_000_000
 
 
 def shape(docs: DataFrame) -> DataFrame:
@@ -94,9 +96,9 @@ def scores(docs: DataFrame, weights: DataFrame, buckets: int = BUCKETS) -> DataF
     """(row_key, score): the mean weight of the n-grams of each document that has words."""
     return (
         _features(docs, buckets, "row_key")
-        .join(F.broadcast(weights), "bucket")
+        .join(F.broadcast(weights.select("bucket", F.round(F.col("weight") * PARTS).cast("long").alias("points"))), "bucket")
         .groupBy("row_key")
-        .agg(F.avg(F.round("weight", 6).cast("decimal(12,6)")).cast("double").alias("score"))
+        .agg((F.sum("points") / F.count(F.lit(1)) / PARTS).alias("score"))
     )
 
 
@@ -113,7 +115,7 @@ def quality(
     ``base_failed``: fewer than ``min_words`` words, or more than half of them in repeated three-word windows.
     Other documents are kept when their score reaches ``threshold``. NULL and empty texts have no words, fail
     the base rules and have a NULL score. Rows with the same id and text get equal answers. With no trusted
-    documents all scores are 0. Weights are added as decimals, so the sums do not depend on their order.
+    documents all scores are 0.
     """
     docs = keyed(docs)
     weights = log_ratios(docs, trusted, buckets, trusted_rows)
