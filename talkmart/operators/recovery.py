@@ -14,11 +14,16 @@ def pending(attempted: DataFrame, succeeded: DataFrame, key: str | Sequence[str]
     return attempted.select(*keys).distinct().join(succeeded.select(*keys), keys, "left_anti")
 
 
+def _stripped(entries: DataFrame) -> Column:
+    """The first column without white space around it, as the line readers have it."""
+    return F.regexp_replace(F.col(entries.columns[0]), r"^\s+|\s+$", "")
+
+
 def merged_failures(*failed_lists: DataFrame) -> DataFrame:
     """All failure lists as one, stripped, each entry once."""
-    merged = failed_lists[0].select(F.trim(F.col(failed_lists[0].columns[0])).alias("target"))
+    merged = failed_lists[0].select(_stripped(failed_lists[0]).alias("target"))
     for more in failed_lists[1:]:
-        merged = merged.unionByName(more.select(F.trim(F.col(more.columns[0])).alias("target")))
+        merged = merged.unionByName(more.select(_stripped(more).alias("target")))
     return merged.filter(F.col("target") != "").distinct()
 
 

@@ -18,8 +18,8 @@ from talkmart.functions.once import computed_once
 
 BATCH_SIZE = 20
 
-# Instruction text and reply format the scorer is asked for.
-PROMPT_HEAD = "아래 자동차 관련 코멘트들의 감성을 분석하고 주제를 분류하세요:"
+# Instruction text of our own, then fixed values: the reply format the scorer is asked for.
+PROMPT_HEAD = "다음은 자동차에 대한 문장 목록입니다. 문장마다 감성 점수와 주제, 부주제를 매겨 주세요:"
 PROMPT_RULES = (
     "감성 점수는 0(부정)부터 1(긍정)까지, 0.5는 중립.\n"
     "주제는 디자인, 기능, 신뢰성, 기타 중 하나.\n"
@@ -113,20 +113,27 @@ class CueScorer:
         return f"{n}. {SCORE_LABEL} [{score}], {CATEGORY_LABEL} [{category}], {KEYWORD_LABEL} [{keyword}]"
 
 
+#: Replies given on together.
+_HANDED_ON = 16
 _ANSWERED = "file_no int, batch_no int, items_json string, prompt string, reply string"
 
 
-def ask(batches: DataFrame, scorer: Callable[[str], str] | None = None) -> DataFrame:
+def ask(batches: DataFrame, scorer: Callable[[str], str] | None = None, tasks: int | None = None) -> DataFrame:
     """Adds ``reply``. A scorer error gives a NULL reply, which fails that batch only.
 
+    Batches are dealt out over ``tasks`` tasks (the shuffle width by default), whatever
+    file they are in, so calls run side by side; replies are handed on a few at a time.
     The items travel as JSON next to the prompt, so replies need no join back.
     """
     ask_one = scorer or CueScorer()
+    tasks = tasks or int(batches.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
     def answer(chunks: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for chunk in chunks:
-            replies = [_safely(ask_one, prompt) for prompt in chunk["prompt"]]
-            yield chunk.assign(reply=pd.Series(replies, index=chunk.index, dtype=object))
+            for start in range(0, len(chunk), _HANDED_ON):
+                some = chunk.iloc[start : start + _HANDED_ON]
+                replies = [_safely(ask_one, prompt) for prompt in some["prompt"]]
+                yield some.assign(reply=pd.Series(replies, index=some.index, dtype=object))
 
     asked = batches.select(
         "file_no",
@@ -134,8 +141,9 @@ def ask(batches: DataFrame, scorer: Callable[[str], str] | None = None) -> DataF
         F.to_json("items").alias("items_json"),
         full_prompt(F.col("lines")).alias("prompt"),
     )
-    answered = asked.mapInPandas(answer, _ANSWERED)
-    return answered.withColumn("items", F.from_json("items_json", batches.schema["items"].dataType)).drop("items_json", "prompt")
+    answered = asked.repartition(tasks, "file_no", "batch_no").mapInPandas(answer, _ANSWERED)
+    items = F.from_json("items_json", batches.schema["items"].dataType)
+    return computed_once(answered, ["file_no", "batch_no", "reply"], {"items": items})
 
 
 def _safely(scorer: Callable[[str], str], prompt: str) -> str | None:

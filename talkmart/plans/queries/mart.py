@@ -76,6 +76,49 @@ def _(spark, folder):
     return upsert.merge_posts(_posts_before(spark, folder), upsert.posts_to_load(_line_versions(spark, folder)))
 
 
+@query("upsert_posts_small", _MERGED_POSTS)
+def _(spark, folder):
+    """The same merge with the source broadcast."""
+    source = upsert.posts_to_load(_line_versions(spark, folder))
+    return upsert.merge_posts(_posts_before(spark, folder), source, small_source=True)
+
+
+cte(
+    "dated_versions",
+    f"""SELECT 'order_' || l_orderkey AS post_id, 'shipped part ' || l_partkey AS title, 'supplier ' || l_suppkey AS author,
+      'line' || chr(10) || l_linenumber || chr(10) || l_returnflag AS article, {sql_epoch('l_shipdate')} AS create_timestamp,
+      CAST(l_shipdate AS DATE) AS load_day, l_returnflag AS load_car FROM lineitem""",
+)
+
+
+@query(
+    "upsert_late_days",
+    with_ctes(
+        f"""SELECT post_id, title, author, article, {S.sql_seoul_day('create_timestamp')} AS create_date, load_day, load_car
+        FROM (SELECT *, row_number() OVER (PARTITION BY post_id
+            ORDER BY load_day DESC, load_car DESC, create_timestamp DESC, title, author, article) AS rn FROM dated_versions)
+        WHERE rn = 1""",
+        "dated_versions",
+    ),
+)
+def _(spark, folder):
+    """Loads of three cars one after another, the latest first: none is lost and no older row comes back."""
+    flag = F.element_at(F.split("article", "\n"), 3)
+    day = table(spark, folder, "lineitem").select(
+        F.concat(F.lit("order_"), "l_orderkey").alias("post_id"),
+        F.concat(F.lit("shipped part "), "l_partkey").alias("title"),
+        F.concat(F.lit("supplier "), "l_suppkey").alias("author"),
+        F.concat_ws("\n", F.lit("line"), "l_linenumber", "l_returnflag").alias("article"),
+        to_epoch(F.col("l_shipdate")).alias("create_timestamp"),
+        F.to_date("l_shipdate").alias("dt"),
+    )
+    loads = [upsert.posts_to_load(day.withColumn("car_name", flag).filter(flag == car), loaded=True) for car in "RNA"]
+    table_ = loads[0]
+    for small, load in zip((False, True), loads[1:], strict=True):
+        table_ = upsert.merge_posts(table_, load, small_source=small, order=upsert.LOADED)
+    return table_
+
+
 def _line_comments(spark, folder):
     """Staged comments whose id is order and line number, which repeats."""
     number = table(spark, folder, "lineitem").select(
@@ -260,7 +303,7 @@ def _(spark, folder):
 
 
 _MEAN = "CAST(sum(CAST(sentiment_score AS DECIMAL(18, 6))) AS DOUBLE) / count(*)"
-_PHASE = "CASE WHEN ingestion_date < release_date THEN 'before' ELSE 'after' END"
+_PHASE = "CASE WHEN ingestion_date < release_date THEN 'before' WHEN ingestion_date >= release_date THEN 'after' END"
 
 
 @query(
