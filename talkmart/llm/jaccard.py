@@ -18,8 +18,9 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from talkmart.llm.components import components
@@ -31,16 +32,18 @@ WIDTH = 5
 PERCENT = 80
 #: Counters of the frequency sketch. Its size does not grow with the corpus; it only shapes the first order.
 CELLS = 1 << 20
-#: Bits of the filter that picks out candidates' texts. More candidates than that only make it pass more texts.
-FILTER_BITS = 4_194_301  # a prime, so that ids with a stride do not meet
+#: Bits of the filters that pick out shared tokens and candidates' texts. More of these than bits only make the
+#: filters pass more. Primes, so that numbers with a stride do not meet.
+TOKEN_BITS, FILTER_BITS = 33_554_393, 4_194_301
 #: Rounds with leaders before the pairs across components.
-LEADER_ROUNDS = 3
+LEADER_ROUNDS = 2
 
 _LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 _MULTIPLIER, _MIX = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
 _SIGNATURES = "doc_id long, row_key string, class long, n long, cells binary"
+_PREFIXES = "class long, n int, tokens array<long>"
 _POSTINGS = "token long, class long, n int, place int"
-_SETS = "doc_id long, class long, n int, grams array<long>"
+_SETS = "class long, n int, grams array<long>"
 
 
 class _Hashes(dict):
@@ -90,21 +93,24 @@ def _prefix_size(n: int) -> int:
 
 def _signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """A row per document, and at the end of the task one with its counts per cell of the sketch."""
-    hashes, cells = _Hashes(), np.zeros(CELLS, np.uint32)
+    hashes, cells, held = _Hashes(), np.zeros(CELLS, np.uint32), []
     schema = pa.schema(
         [("doc_id", pa.int64()), ("row_key", pa.string()), ("class", pa.int64()), ("n", pa.int64()), ("cells", pa.binary())]
     )
     for batch in batches:
-        classes, sizes, seen = [], [], set()
+        classes, sizes, seen = [], [], {}
         for text in batch["text"]:
             words = _words(text.as_py())
-            grams = _grams(words, hashes)
             name = _class(words)
-            classes.append(name)
-            sizes.append(len(grams))
             if name not in seen:  # copies in a batch count once
-                seen.add(name)
-                np.add.at(cells, _cell(grams), 1)
+                grams = _grams(words, hashes)
+                seen[name] = len(grams)
+                held.append(_cell(grams))
+            classes.append(name)
+            sizes.append(seen[name])
+        if held:
+            cells += np.bincount(np.concatenate(held), minlength=CELLS).astype(np.uint32)
+            held.clear()
         own = [pa.array(_signed(classes)), pa.array(sizes, pa.int64()), pa.nulls(len(sizes), pa.binary())]
         columns = [batch["doc_id"], batch["row_key"].cast(pa.string()), *own]
         yield pa.RecordBatch.from_arrays(columns, schema=schema)
@@ -138,14 +144,13 @@ def _levels(signatures: DataFrame) -> np.ndarray:
     return np.floor(np.log2(1 + above)).astype(np.uint8)
 
 
-def _postings(levels: np.ndarray):
-    """Tokens of each document's prefix under the first order, with their places in it."""
+def _prefixes(levels: np.ndarray):
+    """Each class with its prefix under the first order; copies within a batch once."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = _Hashes()
-        names = ["token", "class", "n", "place"]
         for batch in batches:
-            tokens, classes, sizes, places, seen = [], [], [], [], set()
+            tokens, classes, sizes, seen = [], [], [], set()
             for text in batch["text"]:
                 words = _words(text.as_py())
                 name = _class(words)
@@ -153,21 +158,46 @@ def _postings(levels: np.ndarray):
                     continue
                 seen.add(name)
                 grams = _grams(words, hashes)
-                size = _prefix_size(len(grams))
-                order = np.argsort(levels[_cell(grams)], kind="stable")[:size]
+                order = np.argsort(levels[_cell(grams)], kind="stable")[: _prefix_size(len(grams))]
                 tokens.append(grams[order])
-                classes.append(np.full(size, name, np.uint64))
-                sizes.append(np.full(size, len(grams), np.int32))
-                places.append(np.arange(size, dtype=np.int32))
+                classes.append(name)
+                sizes.append(len(grams))
             if tokens:
-                columns = [_signed(np.concatenate(tokens)), _signed(np.concatenate(classes)), np.concatenate(sizes), np.concatenate(places)]
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=names)
+                columns = [pa.array(_signed(classes)), pa.array(sizes, pa.int32()), _lists(tokens)]
+                yield pa.RecordBatch.from_arrays(columns, names=["class", "n", "tokens"])
+
+    return run
+
+
+def _lists(arrays: list[np.ndarray]) -> pa.Array:
+    offsets = np.concatenate([[0], np.cumsum([len(a) for a in arrays])]).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(_signed(np.concatenate(arrays))))
+
+
+def _postings(bits: np.ndarray):
+    """A row per prefix token that passes the filter of shared tokens, with its place in the prefix."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lists = batch["tokens"]
+            tokens, sizes = lists.flatten().to_numpy(), pa.compute.list_value_length(lists).to_numpy()
+            row = np.repeat(np.arange(len(sizes)), sizes)
+            place = np.arange(len(tokens)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+            kept = bits[tokens % TOKEN_BITS]
+            columns = [tokens[kept], batch["class"].to_numpy()[row[kept]], batch["n"].to_numpy()[row[kept]], place[kept].astype(np.int32)]
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["token", "class", "n", "place"])
 
     return run
 
 
-def _filter_slot(ids: np.ndarray) -> np.ndarray:
-    return ids % FILTER_BITS
+def _bits(values: DataFrame, size: int) -> np.ndarray:
+    """Which remainders modulo ``size`` a column ``value`` takes: ``size`` bits to the driver, however many rows."""
+    slot = values.select(F.pmod(F.coalesce("value", F.lit(-1)), F.lit(size)).alias("slot"))
+    words = slot.groupBy((F.col("slot") / 64).cast("int").alias("word"))
+    packed = words.agg(F.bit_or(F.expr("shiftleft(1L, cast(slot % 64 as int))")).alias("bits")).toArrow()
+    table = np.zeros(size // 64 + 1, np.int64)
+    table[packed["word"].to_numpy()] = packed["bits"].to_numpy()
+    return np.unpackbits(table.view(np.uint8), bitorder="little").astype(bool)
 
 
 def _sets(bits: np.ndarray):
@@ -177,23 +207,17 @@ def _sets(bits: np.ndarray):
         hashes = _Hashes()
         for batch in batches:
             ids = batch["doc_id"].fill_null(-1).to_numpy(zero_copy_only=False).astype(np.int64)
-            rows = np.flatnonzero(bits[_filter_slot(ids)])
-            classes, sizes, grams = [], [], []
-            for row in rows.tolist():
+            classes, grams, seen = [], [], set()
+            for row in np.flatnonzero(bits[ids % FILTER_BITS]).tolist():
                 words = _words(batch["text"][row].as_py())
-                own = _grams(words, hashes)
-                classes.append(_class(words))
-                sizes.append(len(own))
-                grams.append(own)
-            if len(rows):
-                flat, offsets = np.concatenate(grams), np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
-                columns = [
-                    batch["doc_id"].take(pa.array(rows)),
-                    pa.array(_signed(classes)),
-                    pa.array(sizes, pa.int32()),
-                    pa.ListArray.from_arrays(pa.array(offsets), pa.array(_signed(flat))),
-                ]
-                yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "class", "n", "grams"])
+                name = _class(words)
+                if words and name not in seen:
+                    seen.add(name)
+                    classes.append(name)
+                    grams.append(_grams(words, hashes))
+            if grams:
+                columns = [pa.array(_signed(classes)), pa.array([len(g) for g in grams], pa.int32()), _lists(grams)]
+                yield pa.RecordBatch.from_arrays(columns, names=["class", "n", "grams"])
 
     return run
 
@@ -214,55 +238,82 @@ def _may_be_alike():
     return lengths & _alike(F.least(left, right), F.col("n"), F.col("other_n"))
 
 
-def _other(postings: DataFrame) -> DataFrame:
-    return postings.select("token", *(F.col(c).alias(f"other_{c}") for c in ("class", "n", "place", "component")))
+def _mixed(postings: DataFrame, round_no: int) -> DataFrame:
+    """The postings of tokens that still join different components, with the token's leader as ``lead``."""
+    order = F.struct(F.xxhash64("class", F.lit(round_no)).alias("rank"), "class", "n", "place", "component")
+    tokens = postings.groupBy("token").agg(
+        F.min(order).alias("lead"), F.min("component").alias("low"), F.max("component").alias("high")
+    )
+    return postings.join(tokens.filter("low <> high").select("token", "lead"), "token")
+
+
+def _least_shared() -> Column:
+    """How many prefix tokens two sets must have in common at least.
+
+    Sets that are alike share so many tokens in all; those outside a set's prefix are at most its size less the
+    prefix, and the shared tokens inside both prefixes come first in the order.
+    """
+    need = F.ceil(PERCENT * (F.col("n") + F.col("other_n")) / (100 + PERCENT))
+    inside = lambda n: need - F.ceil(n * PERCENT / 100) + 1
+    return F.greatest(F.lit(1), F.least(inside(F.col("n")), inside(F.col("other_n"))))
 
 
-def _candidates(postings: DataFrame, round_no: int) -> DataFrame:
-    """Pairs (a, b) of classes with a prefix token in common and no component.
+def _candidates(mixed: DataFrame, round_no: int) -> DataFrame:
+    """Pairs of classes (low, high) with a prefix token in common and no component, ``a`` the one that leads.
 
-    Before the last round each token pairs its classes with one of them, in another order each time. The last
-    round takes all pairs across components: those outside a token's largest-numbered component meet everyone.
+    Before the last round each token offers one of its classes as leader, in another order each time, and a class
+    takes the leader that most of its tokens offer. The last round takes all pairs across components that share as
+    many prefix tokens as they must: the classes outside a token's main component meet everyone.
     """
-    order = F.struct(F.xxhash64("class", F.lit(round_no)).alias("rank"), "class", "n", "place", "component")
-    tokens = (
-        postings.groupBy("token")
-        .agg(F.min(order).alias("lead"), F.min("component").alias("low"), F.max("component").alias("high"))
-        .filter("low <> high")
-    )
+    across = (F.col("component") != F.col("other_component")) & _may_be_alike()
     if round_no < LEADER_ROUNDS:
-        lead = tokens.select("token", *(F.col(f"lead.{c}").alias(f"other_{c}") for c in ("class", "n", "place", "component")))
-        pairs = postings.join(lead, "token")
+        lead = mixed.select("token", "class", "n", "place", "component", *(F.col(f"lead.{c}").alias(f"other_{c}") for c in ("class", "n", "place", "component")))
+        offers = lead.filter(across).groupBy("class", "other_class").agg(F.count(F.lit(1)).alias("offers"))
+        pairs = offers.groupBy("class").agg(F.max(F.struct("offers", "other_class")).alias("best")).select("class", "best.other_class")
     else:
-        mixed = postings.join(tokens.select("token", F.col("lead.component").alias("main")), "token")
-        few = mixed.filter("component <> main").drop("main")
-        pairs = few.join(_other(mixed), "token")
-    pairs = pairs.filter((F.col("component") != F.col("other_component")) & _may_be_alike())
-    return pairs.select(F.least("class", "other_class").alias("a"), F.greatest("class", "other_class").alias("b")).distinct()
-
-
-def _verified(pairs: DataFrame, docs: DataFrame, firsts: DataFrame) -> DataFrame:
-    """The pairs (a, b) whose sets are alike enough, compared as a whole."""
-    members = stage(pairs.select(F.explode(F.array("a", "b")).alias("class")).distinct().join(firsts, "class"), "members")
-    slot = F.pmod(F.coalesce("doc_id", F.lit(-1)), F.lit(FILTER_BITS))
-    words = members.select(slot.cast("int").alias("slot")).groupBy((F.col("slot") / 64).cast("int").alias("word"))
-    packed = words.agg(F.bit_or(F.expr("shiftleft(1L, slot % 64)")).alias("bits")).collect()  # FILTER_BITS / 64 rows at most
-    table = np.zeros(FILTER_BITS // 64 + 1, np.int64)
-    for row in packed:
-        table[row["word"]] = row["bits"]
-    bits = np.unpackbits(table.view(np.uint8), bitorder="little").astype(bool)
-    sets = docs.mapInArrow(_sets(bits), _SETS).join(members.select("class").distinct(), "class", "left_semi").drop("doc_id")
-    sets = stage(sets, "sets")
+        mixed = mixed.withColumn("is_main", F.col("component") == F.col("lead.component")).drop("lead")
+        others = mixed.select("token", *(F.col(c).alias(f"other_{c}") for c in ("class", "n", "place", "component", "is_main")))
+        once = F.col("other_is_main") | (F.col("class") < F.col("other_class"))
+        rows = mixed.filter(~F.col("is_main")).join(others, "token").filter((F.col("component") != F.col("other_component")) & once)
+        rows = rows.withColumn("fits", _may_be_alike())
+        shared = rows.groupBy("class", "other_class", "n", "other_n").agg(F.count(F.lit(1)).alias("shared"), F.max("fits").alias("fits"))
+        pairs = shared.filter(F.col("fits") & (F.col("shared") >= _least_shared()))
+    ends = (F.least("class", "other_class").alias("low"), F.greatest("class", "other_class").alias("high"))
+    return pairs.groupBy(*ends).agg(F.min("other_class").alias("a"))
+
+
+def _passing(bits: np.ndarray):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.filter(pa.array(bits[batch["class"].to_numpy() % FILTER_BITS]))
+
+    return run
+
+
+def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """The pairs (a, b) whose sets are alike enough, compared as a whole.
+
+    Sets that no pair of the round names are filtered out before they are shuffled. Many pairs have few leaders, so
+    the members' sets move to their leaders'.
+    """
+    pairs = pairs.select("a", F.when(F.col("a") == F.col("low"), F.col("high")).otherwise(F.col("low")).alias("b"))
     prefix = F.col("n") - F.ceil(F.col("n") * PERCENT / 100) + 1
+
+    def side(name: str) -> DataFrame:
+        named = sets.mapInArrow(_passing(_bits(pairs.select(F.col(name).alias("value")), FILTER_BITS)), _SETS)
+        return named.select(
+            F.col("class").alias(name),
+            F.col("n").alias(f"{name}_n"),
+            F.col("grams").alias(f"{name}_grams"),
+            prefix.cast("int").alias(f"{name}_size"),
+        )
+
     # Ascending and descending order of a set sorted by hash: its first and its last tokens.
-    sets = sets.select("class", "n", "grams", prefix.cast("int").alias("size"))
-    left = sets.select(*(F.col(c).alias(f"a_{c}") for c in sets.columns)).withColumnRenamed("a_class", "a")
-    right = sets.select(*(F.col(c).alias(f"b_{c}") for c in sets.columns)).withColumnRenamed("b_class", "b")
     first = lambda s: F.slice(f"{s}_grams", F.lit(1), F.col(f"{s}_size"))
     last = lambda s: F.slice(f"{s}_grams", F.col(f"{s}_n") - F.col(f"{s}_size") + 1, F.col(f"{s}_size"))
     shared = F.arrays_overlap(first("a"), first("b")) & F.arrays_overlap(last("a"), last("b"))
     overlap = F.when(shared, F.size(F.array_intersect("a_grams", "b_grams"))).otherwise(0)
-    both = pairs.join(left, "a").join(right, "b")
+    both = pairs.join(side("b"), "b").join(side("a"), "a")
     return both.filter(_alike(overlap, F.col("a_n"), F.col("b_n"))).select("a", "b").distinct()
 
 
@@ -283,22 +334,35 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     rows = signatures.filter("n >= 0").select("doc_id", "row_key", "class", "n")
     ids = rows.filter("n > 0").groupBy("class").agg(F.min("doc_id").alias("doc_id"))
 
-    postings = texts.mapInArrow(_postings(levels), _POSTINGS)
-    shared = postings.groupBy("token").agg(F.min("class").alias("low"), F.max("class").alias("high")).filter("low <> high")
-    postings = stage(postings.join(shared.select("token"), "token").distinct(), "postings")
+    prefixes = stage(texts.mapInArrow(_prefixes(levels), _PREFIXES), "prefixes")
+    tokens = prefixes.select("class", F.explode("tokens").alias("value")).groupBy("value")
+    shared = tokens.agg(F.min("class").alias("low"), F.max("class").alias("high")).filter("low <> high")
+    postings = prefixes.mapInArrow(_postings(_bits(shared.select("value"), TOKEN_BITS)), _POSTINGS)
+    postings = stage(postings.distinct(), "postings")
 
-    known = links = tried = None  # known: (class, component) of the classes that have links
+    known = links = tried = sets = None  # known: (class, component) of the classes that have links
     for round_no in range(LEADER_ROUNDS + 1):
         placed = postings.withColumn("component", F.col("class"))
         if known is not None:
             placed = postings.join(known.withColumnRenamed("component", "joined"), "class", "left")
             placed = placed.withColumn("component", F.coalesce("joined", "class")).drop("joined")
-        pairs = _candidates(placed, round_no)
-        pairs = stage(pairs if tried is None else pairs.join(tried, ["a", "b"], "left_anti"), "pairs")
+        # Tokens within one component stay there: later rounds need not look at them.
+        mixed = stage(_mixed(placed, round_no), "mixed")
+        postings = mixed.select("token", "class", "n", "place")
+        pairs = _candidates(mixed, round_no)
+        pairs = stage(pairs if tried is None else pairs.join(tried, ["low", "high"], "left_anti"), "pairs")
         if pairs.isEmpty():
             continue
-        tried = pairs if tried is None else tried.unionByName(pairs)
-        found = stage(_verified(pairs, texts, ids), "links")
+        done = pairs.select("low", "high")
+        tried = done if tried is None else tried.unionByName(done)
+        members = pairs.select(F.explode(F.array("low", "high")).alias("class")).distinct()
+        if sets is not None:
+            members = members.join(sets.select("class"), "class", "left_anti")
+        members = stage(members.join(ids, "class"), "members")
+        new = texts.mapInArrow(_sets(_bits(members.select(F.col("doc_id").alias("value")), FILTER_BITS)), _SETS)
+        new = stage(new.join(members.select("class"), "class", "left_semi"), "sets")
+        sets = new if sets is None else sets.unionByName(new)
+        found = stage(_verified(pairs, sets), "links")
         links = found if links is None else links.unionByName(found)
         known = stage(components(links).select(F.col("node").alias("class"), "component"), "components")
 
