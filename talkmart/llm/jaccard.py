@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from talkmart.llm.components import components
-from talkmart.llm.staging import stage
+from talkmart.llm.staging import small, stage
 from talkmart.llm.text import free_name, row_key
 
 WIDTH = 5
@@ -313,7 +313,7 @@ def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     last = lambda s: F.slice(f"{s}_grams", F.col(f"{s}_n") - F.col(f"{s}_size") + 1, F.col(f"{s}_size"))
     shared = F.arrays_overlap(first("a"), first("b")) & F.arrays_overlap(last("a"), last("b"))
     overlap = F.when(shared, F.size(F.array_intersect("a_grams", "b_grams"))).otherwise(0)
-    both = pairs.join(side("b"), "b").join(side("a"), "a")
+    both = side("b").join(small(pairs), "b").join(side("a"), "a")
     return both.filter(_alike(overlap, F.col("a_n"), F.col("b_n"))).select("a", "b").distinct()
 
 
@@ -344,7 +344,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     for round_no in range(LEADER_ROUNDS + 1):
         placed = postings.withColumn("component", F.col("class"))
         if known is not None:
-            placed = postings.join(known.withColumnRenamed("component", "joined"), "class", "left")
+            placed = postings.join(small(known).withColumnRenamed("component", "joined"), "class", "left")
             placed = placed.withColumn("component", F.coalesce("joined", "class")).drop("joined")
         # Tokens within one component stay there: later rounds need not look at them.
         mixed = stage(_mixed(placed, round_no), "mixed")
@@ -355,12 +355,13 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
             continue
         done = pairs.select("low", "high")
         tried = done if tried is None else tried.unionByName(done)
-        members = pairs.select(F.explode(F.array("low", "high")).alias("class")).distinct()
+        members = pairs.select(F.col("low").alias("class")).union(pairs.select("high")).distinct()
         if sets is not None:
             members = members.join(sets.select("class"), "class", "left_anti")
         members = stage(members.join(ids, "class"), "members")
         new = texts.mapInArrow(_sets(_bits(members.select(F.col("doc_id").alias("value")), FILTER_BITS)), _SETS)
-        new = stage(new.join(members.select("class"), "class", "left_semi"), "sets")
+        # A few sets pass the filter by chance, or again for a repeated row: they meet no pair, or give a link twice.
+        new = stage(new, "sets")
         sets = new if sets is None else sets.unionByName(new)
         found = stage(_verified(pairs, sets), "links")
         links = found if links is None else links.unionByName(found)
