@@ -276,7 +276,12 @@ def _candidates(mixed: DataFrame, round_no: int) -> DataFrame:
         once = F.col("other_is_main") | (F.col("class") < F.col("other_class"))
         rows = mixed.filter(~F.col("is_main")).join(others, "token").filter((F.col("component") != F.col("other_component")) & once)
         rows = rows.withColumn("fits", _may_be_alike())
-        shared = rows.groupBy("class", "other_class", "n", "other_n").agg(F.count(F.lit(1)).alias("shared"), F.max("fits").alias("fits"))
+        # Which of two classes comes first differs from token to token: both orders count as one pair.
+        in_order = F.col("class") < F.col("other_class")
+        pick = lambda a, b, name: F.when(in_order, F.col(a)).otherwise(F.col(b)).alias(name)
+        ends = [pick(a, b, a) for a, b in (("class", "other_class"), ("other_class", "class"), ("n", "other_n"), ("other_n", "n"))]
+        shared = rows.select(*ends, "fits").groupBy("class", "other_class", "n", "other_n")
+        shared = shared.agg(F.count(F.lit(1)).alias("shared"), F.max("fits").alias("fits"))
         pairs = shared.filter(F.col("fits") & (F.col("shared") >= _least_shared()))
     ends = (F.least("class", "other_class").alias("low"), F.greatest("class", "other_class").alias("high"))
     return pairs.groupBy(*ends).agg(F.min("other_class").alias("a"))

@@ -73,6 +73,36 @@ def test_all_links(spark, seed):
     assert sorted(got, key=key) == sorted(brute(rows), key=key)
 
 
+def weak_links(rng):
+    """Chains and trees of 25 to 60 texts whose neighbours are only 0.80 to 0.83 alike."""
+    texts = []
+    for kind, size, words in (("chain", 60, 130), ("tree", 60, 130), ("chain", 40, 220), ("tree", 40, 220), ("tree", 25, 90), ("chain", 25, 90)) * 3:
+        word = lambda: f"v{rng.randint(0, 10**7)}"
+        made = [[word() for _ in range(words)]]
+        while len(made) < size:
+            copy = list(made[-1] if kind == "chain" else rng.choice(made))
+            # d of n shingles changed: (n - d) / (n + d) is 0.80 to 0.83; words far apart change five shingles each.
+            n, places = words - 4, []
+            while (n - 5 * len(places) - 5) / (n + 5 * len(places) + 5) >= 0.8:
+                place = rng.randrange(5, words - 5)
+                if all(abs(place - p) > 5 for p in places):
+                    places.append(place)
+            for place in places:
+                copy[place] = word()
+            made.append(copy)
+        texts += [" ".join(words) for words in made]
+    rng.shuffle(texts)
+    return texts
+
+
+@pytest.mark.parametrize("seed", [5])
+def test_links_just_above_the_bound(spark, seed):
+    rows = list(enumerate(weak_links(random.Random(seed))))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    got = [(r.doc_id, r.n_shingles, r.component_id) for r in jaccard.near_duplicates(docs).collect()]
+    assert sorted(got) == sorted(brute(rows))
+
+
 def test_empty(spark):
     docs = spark.createDataFrame([], "doc_id long, text string")
     assert jaccard.near_duplicates(docs).collect() == []
