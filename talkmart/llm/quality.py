@@ -11,12 +11,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from talkmart.functions.once import computed_once
-from talkmart.llm.staging import stage
+from talkmart.llm.staging import BROADCAST_ROWS, stage
 from talkmart.llm.text import keyed, shingles, space_words
 
 BUCKETS = 16_384
-#: Trusted documents of which the target is counted, taken by the hash of their ids.
-TRUSTED_ROWS = 100_000
 #: Mean log ratio per n-gram below which a document is dropped.
 THRESHOLD = -0.05
 #: Counts added to each bucket, in shares of the corpus.
@@ -69,16 +67,27 @@ def _features(docs: DataFrame, buckets: int, *keep: str) -> DataFrame:
     return words.select(*keep, F.explode(grams).alias("gram")).select(*keep, F.pmod("gram", F.lit(buckets)).alias("bucket"))
 
 
-def log_ratios(docs: DataFrame, trusted: DataFrame, buckets: int = BUCKETS, trusted_rows: int = TRUSTED_ROWS) -> DataFrame:
+def _with_target(docs: DataFrame, trusted: DataFrame) -> DataFrame:
+    """(text, is_target): all rows of ``docs``, ``is_target`` NULL where the id is not among the trusted ones.
+
+    Few ids are broadcast. Many are shuffled and hashed, so that texts are shuffled but not sorted; rows with a NULL
+    id, which are never trusted, get a key of their own and are dealt out.
+    """
+    ids = stage(trusted.select("doc_id").filter(F.col("doc_id").isNotNull()).distinct(), "trusted-ids")
+    sent = F.broadcast(ids) if ids.count() <= BROADCAST_ROWS else ids.hint("shuffle_hash")
+    spread = F.when(F.col("doc_id").isNull(), F.xxhash64("text")).otherwise(F.lit(0).cast("long"))
+    keys = sent.select("doc_id", F.lit(0).cast("long").alias("spread"), F.lit(1).alias("is_target"))
+    rows = docs.select("doc_id", "text", spread.alias("spread"))
+    return rows.join(keys, ["doc_id", "spread"], "left").select("text", "is_target")
+
+
+def log_ratios(docs: DataFrame, trusted: DataFrame, buckets: int = BUCKETS) -> DataFrame:
     """(bucket, weight) for all buckets: log of the target's share over the corpus' share, smoothed.
 
-    ``trusted`` has a doc_id per trusted document; the ``trusted_rows`` with the smallest hashes make the target,
-    so the table sent to the executors has a fixed bound. The corpus is every row of ``docs``.
+    ``trusted`` has a doc_id per trusted document; all of them make the target. The corpus is every row of ``docs``.
     """
-    ids = trusted.select("doc_id").filter(F.col("doc_id").isNotNull()).distinct()
-    ids = ids.orderBy(F.xxhash64("doc_id"), "doc_id").limit(trusted_rows).withColumn("is_target", F.lit(1))
     counted = (
-        _features(docs.join(F.broadcast(ids), "doc_id", "left"), buckets, "is_target")
+        _features(_with_target(docs, trusted), buckets, "is_target")
         .groupBy("bucket")
         .agg(F.count(F.lit(1)).alias("corpus"), F.count("is_target").alias("target"))
     )
@@ -107,7 +116,6 @@ def quality(
     trusted: DataFrame,
     threshold: float = THRESHOLD,
     buckets: int = BUCKETS,
-    trusted_rows: int = TRUSTED_ROWS,
     min_words: int = MIN_WORDS,
 ) -> DataFrame:
     """One row per document: doc_id, n_words, the four counts of ``shape``, base_failed, score, kept.
@@ -118,7 +126,7 @@ def quality(
     documents all scores are 0.
     """
     docs = keyed(docs)
-    weights = log_ratios(docs, trusted, buckets, trusted_rows)
+    weights = log_ratios(docs, trusted, buckets)
     failed = (F.col("n_words") < min_words) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
     return (
         shape(docs)

@@ -125,3 +125,14 @@ def test_quality_scores(spark):
     assert out[1] == pytest.approx(weight(1, 2), abs=1e-6) and out[2] == pytest.approx(weight(0, 2), abs=1e-6)
     flat = quality.quality(docs, docs.limit(0)).filter("doc_id < 4").collect()
     assert {r.score for r in flat} == {0.0}
+
+
+@pytest.mark.parametrize("many", [120_000, 210_000])
+def test_quality_counts_every_trusted_document(spark, many):
+    """Where all documents with an id are trusted, target and corpus differ by the rows without an id only."""
+    n = F.col("id")
+    docs = spark.range(many + 100).select(F.when(n < many, n).alias("doc_id"), F.concat_ws(" ", F.lit("w"), n % 977).alias("text"))
+    trusted = docs.filter("doc_id is not null").select("doc_id")
+    assert {r.weight for r in quality.log_ratios(trusted.join(docs, "doc_id"), trusted).collect()} == {0.0}
+    ((target, every),) = quality._with_target(docs, trusted).agg(F.count("is_target"), F.count("text")).collect()
+    assert (target, every) == (many, many + 100)
