@@ -17,12 +17,16 @@ from talkmart.functions.once import computed_once
 from talkmart.llm.staging import stage
 from talkmart.llm.text import free_name, matches, row_key
 
-#: Runs of key characters with a digit, and values given to something named like a secret. Possessive, so linear.
+#: What is assigned to something named like a secret, to its end, or else runs of key characters with a digit. ``=``
+#: parts names from values and belongs to a run only as padding at its end. Possessive, so linear; the short look
+#: behind for the sign comes before the long one for the name.
 CANDIDATE = (
-    r"(?<![A-Za-z0-9+/_=.-])(?=[A-Za-z+/_=.-]{0,64}[0-9])[A-Za-z0-9+/_=.-]{16,}+"
-    r"|(?<=(?i:password|passwd|secret)[\x20]{0,2}[:=][\x20]{0,2}[\x22']?)[^\s\x22'<>]{8,128}"
+    r"(?<=[:=][\x20\t]{0,4}[\x22']?)(?![:=])"
+    r"(?<=(?i:token|secret|passw|passphrase|pwd|api.?key|auth(?!ors?\b)|bearer|credential|private.?key|access.?key)"
+    r"[A-Za-z0-9_-]{0,20}[\x22']?[\x20\t]{0,4}[:=]{1,2}[\x20\t]{0,4}[\x22']?)[^\s\x22'<>]{8,}+"
+    r"|(?<![A-Za-z0-9+/_.-])(?=[A-Za-z+/_.-]{0,64}[0-9])[A-Za-z0-9+/_.-]{16,}+(?:={1,2}+(?![A-Za-z0-9+/_.-]))?"
 )
-GATE = r"[A-Za-z0-9+/_=.-]{16}|(?i)password|passwd|secret"
+GATE = r"[A-Za-z0-9+/_.-]{16}|[:=][\x20\t]{0,4}[\x22']?[^\s\x22'<>]{8}"
 NEARBY = 40
 SCORE = 0.5
 #: Common words that cover candidates, counted in the corpus; findings the forest is trained on; its size.
@@ -98,11 +102,30 @@ def with_features(rows: DataFrame, words: list[str]) -> DataFrame:
     return computed_once(rows, rows.columns, {name: values[name].cast("double") for name in FEATURES})
 
 
+def _candidates(rows: DataFrame, *keep: str) -> DataFrame:
+    """A row per candidate of ``rows`` (keep, text): the columns to keep, start, end, raw, before and after."""
+    text = F.col("text")
+    rows = computed_once(rows, [*keep, "text"], {"found": matches(text, CANDIDATE, GATE)})
+    first = lambda x: F.greatest(F.lit(1), x["start"] + 1 - NEARBY)
+    around = F.transform(
+        "found",
+        lambda x: F.struct(
+            x["start"].alias("start"),
+            x["end"].alias("end"),
+            x["raw"].alias("raw"),
+            F.substring(text, first(x), x["start"] + 1 - first(x)).alias("before"),
+            F.substring(text, x["end"] + 1, F.lit(NEARBY)).alias("after"),
+        ),
+    )
+    return rows.filter(F.size("found") > 0).select(*keep, F.inline(around))
+
+
 def labelled_findings(spark: SparkSession, rows: int = FINDINGS) -> DataFrame:
     """(raw, before, after, path, label): findings as reviewers label them, made by rule from hashes of row numbers.
 
-    Secrets: random keys of usual shapes that something is given or called. Others: checksums, identifiers,
-    numbers, versions, paths, placeholders and compound words, some of them quoted or assigned as well.
+    Whole texts are made and cut as those of a corpus are. Secrets: random keys of usual shapes and passwords that
+    something is given or called, quoted or not. Others: checksums, identifiers, numbers, versions, paths,
+    placeholders and compound words, some of them quoted or assigned, also to names of secrets.
     """
     n = F.col("id")
     pick = lambda salt, *options: F.element_at(F.array(*map(F.lit, options)), (F.pmod(F.xxhash64(n, F.lit(salt)), F.lit(len(options))) + 1).cast("int"))
@@ -117,6 +140,7 @@ def labelled_findings(spark: SparkSession, rows: int = FINDINGS) -> DataFrame:
         .when(shapes < 4, F.substring(hexes, 1, 32))
         .when(shapes < 5, hexes)
         .when(shapes < 6, F.concat(F.lit("AKIA"), F.upper(F.substring(keys, 1, 16))))
+        .when(shapes < 7, F.concat(F.substring(keys, F.lit(1), size - 6), pick("sign", "!", "#", "$", "%", "&"), F.substring(keys, F.lit(41), F.pmod(n, F.lit(4)).cast("int"))))
         .otherwise(F.substring(keys, F.lit(1), size))
     )
     uuid = F.concat_ws("-", *(F.substring(hexes, a, b) for a, b in ((1, 8), (9, 4), (13, 4), (17, 4), (21, 12))))
@@ -128,19 +152,29 @@ def labelled_findings(spark: SparkSession, rows: int = FINDINGS) -> DataFrame:
         .when(shapes < 9, F.concat(F.lit("example-key-000000"), n % 10))
         .otherwise(F.concat(F.lit("v2."), n % 30, F.lit(".0-build.2024"), n % 100))
     )
-    called = pick("name", "token = ", "api_key: ", "secret=", "Authorization: Bearer ", "password = ", "access_key = ", "private key: ", "auth_token=")
+    called = pick("name", "token = ", "api_key: ", "secret=", "Authorization: Bearer ", "password = ", "access_key = ", "private key: ", "auth_token=", "token=", "api_key=", "AWS_SECRET_ACCESS_KEY=", "password=", "password: ", "DB_PASSWORD=")
+    word = pick("word", "required", "string", "disabled", "configured", "placeholder", "changeable", "parameter", "environment")
+    named = F.pmod(F.xxhash64(n, F.lit("named")), F.lit(4)) == 0
+    described = F.element_at(
+        F.array(compound, F.concat(word, pick("join", "_", "-", "."), pick("word2", "value", "field", "option")), word, F.concat(F.lit("YOUR_"), F.upper(word), F.lit("_HERE"))),
+        (F.pmod(F.xxhash64(n, F.lit("described")), F.lit(4)) + 1).cast("int"),
+    )
     around = F.when(
         shapes < 2, pick("sum", "commit ", "sha1 checksum ", "digest: ", "md5 = ")
     ).otherwise(pick("text", "the order ", "see ", "build = ", "uuid: ", "version ", "number ", "ident ", "id = "))
     quote = F.when(F.pmod(F.xxhash64(n, F.lit("quote")), F.lit(3)) > 0, F.lit('"')).otherwise("")
     path = F.when(secret, pick("path", "src0", "config/app.env", "deploy/main.yml")).otherwise(pick("path", "src0", "docs/readme.md", "tests/data.txt"))
-    return spark.range(rows).select(
-        F.when(secret, key).otherwise(other).alias("raw"),
-        F.concat(pick("lead", "", "and then ", "of the "), F.when(secret, called).otherwise(around), quote).alias("before"),
-        F.concat(quote, pick("tail", "", " and", "\n")).alias("after"),
+    lead = F.concat(pick("lead", "", "and then ", "of the "), F.when(secret | named, called).otherwise(around), quote)
+    made = spark.range(rows).select(
+        F.when(secret, key).when(named, described).otherwise(other).alias("value"),
+        lead.alias("lead"),
+        F.concat(quote, pick("tail", "", " and", "\n")).alias("tail"),
         path.alias("path"),
-        secret.cast("double").alias("label"),
+        secret.alias("secret"),
     )
+    texts = made.select("value", "path", "secret", F.concat("lead", "value", "tail").alias("text"))
+    label = (F.col("secret") & F.col("raw").contains(F.col("value"))).cast("double").alias("label")
+    return _candidates(texts, "value", "path", "secret").select("raw", "before", "after", "path", label)
 
 
 def train(findings: DataFrame, words: list[str]) -> RandomForestClassificationModel:
@@ -156,23 +190,10 @@ def findings(docs: DataFrame, model: RandomForestClassificationModel, words: lis
     ``docs`` has doc_id, text and, as the path, source (NULL counts as empty). Texts without candidates, NULL and
     empty ones give no rows. Rows with the same id and text give the same findings, each row its own.
     """
-    text = F.col("text")
     path = F.col("source").cast("string") if "source" in docs.columns else F.lit(None).cast("string")
     texts = F.coalesce(F.col("text"), F.lit(""))
     rows = docs.select(F.col("doc_id"), texts.alias("text"), row_key().alias("row_key"), path.alias("path"))
-    rows = computed_once(rows, ["doc_id", "row_key", "path", "text"], {"found": matches(text, CANDIDATE, GATE)})
-    first = lambda x: F.greatest(F.lit(1), x["start"] + 1 - NEARBY)
-    around = F.transform(
-        "found",
-        lambda x: F.struct(
-            x["start"].alias("start"),
-            x["end"].alias("end"),
-            x["raw"].alias("raw"),
-            F.substring(text, first(x), x["start"] + 1 - first(x)).alias("before"),
-            F.substring(text, x["end"] + 1, F.lit(NEARBY)).alias("after"),
-        ),
-    )
-    rows = rows.filter(F.size("found") > 0).select("doc_id", "row_key", "path", F.inline(around))
+    rows = _candidates(rows, "doc_id", "row_key", "path")
     rows = with_features(rows, words)
     table = VectorAssembler(inputCols=list(FEATURES), outputCol="features", handleInvalid="keep").transform(rows)
     scored = model.transform(table).withColumn("score", F.round(vector_to_array("probability")[1], 6))

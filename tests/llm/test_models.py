@@ -214,3 +214,26 @@ def test_secrets_and_redaction(spark):
     assert by[0].text == 'x token = "<secret>" and api_key: <secret>' and by[0].n_chars == len(by[0].text)
     assert by[1].text == texts[1] and by[5].text == "é\U0001f600 " * 30 + 'token = "<secret>" end'
     assert secrets.scan(docs.limit(0)).collect() == []
+
+
+def test_assigned_secrets_are_found_whole(spark):
+    key, plain = "24be64439e3e49cf46b2d7c90f3602a3d0b907ff", "".join("kQzXwVbNmRtPLs"[i * i % 14] + "qWxZ"[i % 4] for i in range(40))
+    assigned = {
+        f"token={key}": key,
+        f"export api_key={key} ok": key,
+        "AWS_SECRET_ACCESS_KEY=wJalrXUtnFEMI/K7MDENG+bPxRfiCYzz0q1Kd8Ta": "wJalrXUtnFEMI/K7MDENG+bPxRfiCYzz0q1Kd8Ta",
+        "password=x9Kq27LmZt84RwPv": "x9Kq27LmZt84RwPv",
+        "password: Abcdef1234567890!rest end": "Abcdef1234567890!rest",
+        f"password = {key * 5} end": key * 5,
+        f"token: {plain}": plain,
+        f'{{"api_key": "{key}"}}': key,
+        f"secret=dGhpcyBpcyBhIGtleSBvZiAzMg{key[:5]}== end": f"dGhpcyBpcyBhIGtleSBvZiAzMg{key[:5]}==",
+    }
+    others = ["password: required_value", "token=placeholder", "the author: Shakespeare wrote", "api_key=YOUR_PARAMETER_HERE", "secret: configured.option"]
+    texts = [*assigned, *others]
+    docs = spark.createDataFrame([(i, t, "src") for i, t in enumerate(texts)], "doc_id long, text string, source string")
+    found = secrets.scan(docs).filter("is_secret")
+    got = {(r.doc_id, r.raw) for r in found.collect()}
+    assert got == set(enumerate(assigned.values()))
+    clean = {r.doc_id: r.text for r in secrets.redact(docs, found).collect()}
+    assert [clean[i] for i in range(len(texts))] == [t.replace(v, "<secret>") for t, v in assigned.items()] + others
