@@ -96,6 +96,8 @@ def blocks(page: str) -> list[Block]:
                     out.append(Block(" ".join(html.unescape(page[at : end.start() if end else size]).split()), (*path, (name, ())), 0))
             at = end.end() if end else size
             continue
+        if name == "svg" and tag[3].endswith("/"):
+            continue  # closes itself and hides nothing
         if name in HIDDEN:
             flush()
             hidden = max(0, hidden + (-1 if closing else 1)) if name not in ("head",) or closing or not hidden else hidden

@@ -129,6 +129,11 @@ def test_odd_pages(spark, field):
     assert extraction.extract(df.limit(0), field).collect() == []
 
 
+def test_self_closed_svg_hides_nothing():
+    page = '<body><p>One <svg class="icon" href="#x" /> two.</p><svg/><p>Three.</p><svg><text>no</text><svg/></svg><p>Four.</p></body>'
+    assert [b.text for b in extraction.blocks(page)] == ["One two.", "Three.", "Four."]
+
+
 def test_viterbi_and_likelihood(field):
     """The decoded path is the best of all paths, and training raises the likelihood of its pages."""
     rng = random.Random(2)
