@@ -7,7 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from talkmart.llm import decontamination, extraction, jaccard, language, licenses, packing, pii, quality, secrets, toxicity
+from talkmart.llm import (
+    decontamination,
+    extraction,
+    jaccard,
+    language,
+    licenses,
+    packing,
+    pii,
+    prefix_trie,
+    quality,
+    quality_net,
+    secrets,
+    toxicity,
+    whitening,
+)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -97,6 +111,21 @@ def op10_quality(spark: SparkSession, folder: str) -> DataFrame:
     return out.select("doc_id", *counts, "base_failed", "score", "kept")
 
 
+@query
+def op11_quality_net(spark: SparkSession, folder: str) -> DataFrame:
+    return quality_net.quality_scores(_table(spark, folder, "documents"), _table(spark, folder, "labels"))
+
+
+@query
+def op12_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
+    return prefix_trie.prefix_trie(_table(spark, folder, "conversations"))
+
+
+@query
+def op13_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    return whitening.whiten(_table(spark, folder, "embeddings"))
+
+
 SQL["op4_decontamination"] = r"""
 WITH d AS (SELECT row_number() OVER () AS r, doc_id,
     list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') AS w
@@ -137,3 +166,35 @@ comp AS (SELECT x.k, min(least.doc_id) AS component_id FROM reach JOIN rep x ON
 SELECT doc_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_shingles, coalesce(component_id, doc_id) AS component_id
 FROM d LEFT JOIN n USING (r) LEFT JOIN keyed USING (r) LEFT JOIN comp USING (k)
 """
+
+# The byte table of the checksum is worked out bit by bit; each conversation's id then takes one step per digit.
+SQL["op12_prefix_trie"] = r"""
+WITH RECURSIVE bit_steps AS (SELECT range AS byte, CAST(range AS BIGINT) AS v, 0 AS bits FROM range(256)
+  UNION ALL SELECT byte, xor(v >> 1, CASE WHEN v & 1 = 1 THEN 3988292384 ELSE 0 END), bits + 1 FROM bit_steps WHERE bits < 8),
+bytes AS (SELECT byte, v FROM bit_steps WHERE bits = 8),
+ids AS (SELECT DISTINCT CAST(conv_id AS BIGINT) AS c FROM conversations WHERE conv_id IS NOT NULL),
+digits AS (SELECT c, 0 AS i, 4294967295 AS v FROM ids
+  UNION ALL SELECT c, i + 1, xor(digits.v >> 8, bytes.v) FROM digits JOIN bytes ON byte = xor(digits.v & 255, ascii(substr(CAST(c AS VARCHAR), i + 1, 1)))
+  WHERE i < length(CAST(c AS VARCHAR))),
+heads AS (SELECT c, xor(v, 4294967295) % 4 AS h FROM digits WHERE i = length(CAST(c AS VARCHAR))),
+t AS (SELECT CAST(conv_id AS BIGINT) AS c, coalesce(role, '') AS role, coalesce(text, '') AS text,
+    row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST) AS i FROM conversations WHERE conv_id IS NOT NULL),
+kinds AS (SELECT role, text, row_number() OVER () AS k, len(list_filter(regexp_split_to_array(text, '[\x20\x09-\x0D]+'), lambda x: x <> '')) AS words
+  FROM (SELECT DISTINCT role, text FROM t)),
+coded AS (SELECT c, i, k FROM t JOIN kinds USING (role, text)),
+parts AS (SELECT heads.c, 0 AS part, i, k FROM heads JOIN coded ON coded.c = heads.c - heads.c % 20 AND i <= h
+  UNION ALL SELECT heads.c, 1, i, k FROM heads JOIN coded ON coded.c = heads.c AND i > h),
+placed AS (SELECT c, k, row_number() OVER (PARTITION BY c ORDER BY part, i) AS d FROM parts),
+begun AS (SELECT c, d, k, string_agg(CAST(k AS VARCHAR), '/') OVER (PARTITION BY c ORDER BY d) || '/' AS p FROM placed
+  UNION ALL SELECT c, 0, NULL, '' FROM ids),
+size AS (SELECT c, max(d) AS n FROM begun GROUP BY c),
+node AS (SELECT p, d, min(c) AS conv_id, count(*) AS n_convs, any_value(k) AS k,
+    coalesce(string_agg(CAST(c AS VARCHAR), ',' ORDER BY c) FILTER (WHERE d = n), '') AS ends
+  FROM begun JOIN size USING (c) GROUP BY p, d),
+child AS (SELECT a.p, count(b.p) AS n_children FROM node a LEFT JOIN node b ON b.d = a.d + 1 AND starts_with(b.p, a.p) GROUP BY a.p),
+own AS (SELECT node.*, n_children, (n_convs - 1) * coalesce(words, 0) AS saved FROM node JOIN child USING (p) LEFT JOIN kinds USING (k)),
+below AS (SELECT a.p, count(*) FILTER (WHERE b.n_children = 0) AS n_leaves, sum(b.saved) AS saved_tokens FROM own a JOIN own b ON starts_with(b.p, a.p) GROUP BY a.p)
+SELECT own.conv_id, CAST(own.d AS BIGINT) AS depth, up.conv_id AS parent_conv_id, own.n_convs, own.n_children, n_leaves,
+  CAST(saved_tokens AS BIGINT) AS saved_tokens, sha256(own.ends) AS ends_sha256
+FROM own JOIN below USING (p) LEFT JOIN node up ON own.d > 0 AND up.p = regexp_replace(own.p, '[0-9]+/$', '')
+"""
