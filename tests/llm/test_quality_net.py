@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import random
 import zlib
+from dataclasses import replace
 
 import numpy as np
 import pyarrow as pa
@@ -83,8 +84,11 @@ def test_network_learns_and_temperature_corrects_it():
     y = (rng.random(3000) < chance).astype(int)
     fitted = net.train_network(x[:1000], y[:1000])
     loss = lambda n: -np.mean(np.log(np.where(y[2000:] == 1, n.probability(x[2000:]), 1 - n.probability(x[2000:]))))
-    better = net.calibrated(fitted, x[1000:2000], y[1000:2000])
-    assert better.temperature > 1 and loss(better) < loss(fitted)  # a network fitted to few rows is too sure
+    assert loss(fitted) < 0.6
+    sure = replace(fitted, second=6 * fitted.second)
+    better = net.calibrated(sure, x[1000:2000], y[1000:2000])
+    own = net.calibrated(fitted, x[1000:2000], y[1000:2000])
+    assert abs(better.temperature - 6 * own.temperature) < 1e-3 and loss(better) < loss(sure)
 
 
 def test_held_out_documents_of_the_given_table(spark):
