@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 from datetime import date
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,21 +15,23 @@ from pyspark.sql import types as T
 from talkmart.operators import facts, upsert, views
 from talkmart.operators.selection import check_parameters
 from talkmart.plans.text_job import days_between, scope
-from talkmart.schemas import MART, STAGING, STAGING_DIRS, staged
+from talkmart.schemas import MART, STAGING, STAGING_DIRS, VIEWS, staged
 from talkmart.session import sized_shuffles, stored_bytes
+from talkmart.sources import versions
 from talkmart.sources.readers import next_snapshot_id, read_snapshot, snapshot_ids
 from talkmart.sources.writers import (
     append_facts,
     drop_folder,
     drop_snapshots,
+    path_exists,
     replaced_partitions,
     scope_bytes,
     write_snapshot,
 )
 
 SMALL_SOURCE_BYTES = 64 * 1024 * 1024
-#: Newest versions of a table that stay after a load.
-KEPT_VERSIONS = 3
+#: What a dimension's rows are merged by.
+DIMENSION_KEYS = {"tb_posts": ("post_id",), "tb_comments": ("comment_id",)}
 
 
 def measured_bytes(df: DataFrame) -> int:
@@ -65,6 +69,12 @@ def stored_dimension(name: str) -> T.StructType:
     return T.StructType([*MART[name].schema.fields, *loaded])
 
 
+def read_dimension(spark: SparkSession, mart: str, name: str, version: str | None = None) -> DataFrame:
+    """The post or comment dimension, in its newest or a given version."""
+    rows = versions.read_keyed(spark, f"{mart}/{name}", stored_dimension(name), DIMENSION_KEYS[name], version)
+    return rows.select(*MART[name].columns)
+
+
 def upsert_dimensions(spark: SparkSession, staging: dict[str, DataFrame], mart: str) -> dict[str, str]:
     """New versions of posts and comments: the newest one there is, merged with staging.
 
@@ -72,29 +82,30 @@ def upsert_dimensions(spark: SparkSession, staging: dict[str, DataFrame], mart:
     load is lost to a later number. A row changes only if it comes from the same or
     a later day (within a day: the same or a later car by name), so days and cars
     may be loaded in any order, and a late day fills in what is missing without
-    setting newer rows back.
+    setting newer rows back. A version writes the rows that change; see ``sources.versions``.
 
     The deduplicated source is written first, under a number of its own: its size is
     then known exactly, and a small one is broadcast instead of moving the dimension.
+    A mart that still holds whole snapshots is taken over by its first load.
     """
     sources = {
         "tb_posts": upsert.posts_to_load(staging["posts"], loaded=True),
         "tb_comments": upsert.comments_to_load(staging["comments"], staging["posts"], loaded=True),
     }
     mergers = {"tb_posts": upsert.merge_posts, "tb_comments": upsert.merge_comments}
-    run, versions = uuid.uuid4().hex, {}
+    run, numbers = uuid.uuid4().hex, {}
     for name, incoming in sources.items():
         schema, base = stored_dimension(name), f"{mart}/{name}"
         landed = f"{mart}/incoming/{run}/{name}"
         incoming.write.parquet(landed)
         source = spark.read.schema(schema).parquet(landed)
-        target = read_snapshot(spark, base, schema)
-        versions[name] = next_snapshot_id(spark, base)
-        merged = mergers[name](target, source, small_source=is_small(source), order=upsert.LOADED)
-        write_snapshot(merged, base, versions[name])
-        drop_snapshots(spark, base, snapshot_ids(spark, base)[:-KEPT_VERSIONS])
+        small = is_small(source)
+        merger = partial(mergers[name], small_source=small, order=upsert.LOADED)
+        old = read_snapshot(spark, base, schema) if snapshot_ids(spark, base) else None
+        numbers[name] = versions.upsert_keyed(source, base, schema, DIMENSION_KEYS[name], merger, small, initial=old)
+        drop_snapshots(spark, base, snapshot_ids(spark, base))
     drop_folder(spark, f"{mart}/incoming/{run}")
-    return versions
+    return numbers
 
 
 def append_day_facts(
@@ -142,6 +153,35 @@ def dimensions_digest(cars: DataFrame, sources: DataFrame) -> str:
     return "|".join(parts)
 
 
+def read_view(spark: SparkSession, mart: str, name: str, days: Sequence[str] | None = None) -> DataFrame:
+    """An analysis view, all days or some; empty before the first refresh."""
+    return versions.read_units(spark, f"{mart}/{name}", VIEWS[name].schema, days)
+
+
+def _facts_of(spark: SparkSession, mart: str, name: str, days: Sequence[str], cars: Sequence[str] | None = None) -> DataFrame:
+    if not path_exists(spark, f"{mart}/{name}"):
+        return spark.createDataFrame([], MART[name].schema)
+    mine = F.col("ingestion_date").isin(*(date.fromisoformat(d) for d in days))
+    return read_fact(spark, mart, name).filter(mine if cars is None else mine & F.col("car_name").isin(*cars))
+
+
+@contextmanager
+def recorded_changes(spark: SparkSession, mart: str, days: Sequence[str], cars: Sequence[str] | None = None) -> Iterator[str]:
+    """Around the writing of facts: the (day, post) whose metric facts it changes, at the path given.
+
+    Only the run's own partitions are read, once before and once after. The table is there after the block.
+    """
+    run = f"{mart}/changes/{uuid.uuid4().hex}"
+    both = lambda: views.fact_fingerprints(
+        *(_facts_of(spark, mart, n, days, cars) for n in ("tb_posts_metric", "tb_comments_metric"))
+    )
+    both().write.parquet(f"{run}/before")
+    yield f"{run}/posts"
+    before = spark.read.parquet(f"{run}/before")
+    views.changed_posts(before, both()).write.parquet(f"{run}/posts")
+    drop_folder(spark, f"{run}/before")
+
+
 def refresh_views(
     spark: SparkSession,
     mart: str,
@@ -149,41 +189,60 @@ def refresh_views(
     sources: DataFrame,
     days: Sequence[str] | None = None,
     same_day: bool = True,
+    changed: DataFrame | None = None,
 ) -> None:
-    """Write both views again.
+    """Bring both views up to date.
 
-    A listening row depends on one keyword fact and the dimensions only. A digest
-    of the dimensions is kept with the view: with ``days`` and an equal digest just
-    those days are replaced, otherwise the view is built anew.
+    Views are stored by day, in versions. A listening row depends on one keyword fact and the dimensions only; with
+    ``days`` those days are drawn anew. A row of the same-day attention view depends on the facts of one day and post;
+    with ``changed``, the (ingestion_date, post_id) whose facts are different now, only the days they name are read and
+    written, and only their rows are drawn anew. With each view a digest of the small dimensions and its form is kept:
+    where it differs, or without ``days`` or ``changed``, the view is built as a whole.
 
-    The attention view is rebuilt as a whole. ``same_day=False`` gives its full
-    form, in which all snapshots of a post meet all snapshots of its comments; its
-    rows per post grow with the square of the days loaded.
+    ``same_day=False`` gives the attention view's full form, in which all snapshots of a post meet all snapshots of its
+    comments; it is always built as a whole, and its rows per post grow with the square of the days loaded.
     """
-    listening, mark = f"{mart}/vw_social_listening", f"{mart}/vw_social_listening_dims"
     digest = dimensions_digest(cars, sources)
-    seen = read_snapshot(spark, mark, T.StructType([T.StructField("digest", T.StringType())])).first()
-    keywords = read_fact(spark, mart, "tb_keywords")
-    if days is not None and seen is not None and seen["digest"] == digest:
-        keywords = keywords.filter(F.col("ingestion_date").between(days[0], days[-1]))
-        with replaced_partitions(spark, listening, days, None, day_column="ingestion_date"):
-            append_facts(views.social_listening(keywords, cars, sources), listening)
+    listening, attention = f"{mart}/vw_social_listening", f"{mart}/vw_social_attention"
+    day = F.col("ingestion_date").cast("string")
+    if days is not None and _made_with(spark, listening) == digest:
+        keywords = _facts_of(spark, mart, "tb_keywords", days)
+        versions.replace_units(views.social_listening(keywords, cars, sources), listening, day, days)
     else:
-        whole = views.social_listening(keywords, cars, sources).hint("rebalance", "ingestion_date", "car_name")
-        out = whole.write.mode("overwrite").option("partitionOverwriteMode", "static")
-        out.partitionBy("ingestion_date", "car_name").parquet(listening)
-        write_snapshot(spark.range(1).select(F.lit(digest).alias("digest")), mark, next_snapshot_id(spark, mark))
-        drop_snapshots(spark, mark, snapshot_ids(spark, mark)[:-KEPT_VERSIONS])
-    attention = views.social_attention(
-        read_fact(spark, mart, "tb_posts_metric"),
-        read_fact(spark, mart, "tb_comments_metric"),
-        cars,
-        sources,
-        same_day,
-    )
-    base = f"{mart}/vw_social_attention"
-    write_snapshot(attention, base, next_snapshot_id(spark, base))
-    drop_snapshots(spark, base, snapshot_ids(spark, base)[:-KEPT_VERSIONS])
+        whole = views.social_listening(read_fact(spark, mart, "tb_keywords"), cars, sources)
+        versions.replace_units(whole, listening, day)
+        _mark(spark, listening, digest)
+    form = f"{digest}|{'same day' if same_day else 'all snapshots'}"
+    names = ("tb_posts_metric", "tb_comments_metric")
+    if same_day and changed is not None and _made_with(spark, attention) == form:
+        touched = sorted(str(r["ingestion_date"]) for r in changed.select("ingestion_date").distinct().collect())
+        if touched:
+            rows = views.apply_changes(
+                read_view(spark, mart, "vw_social_attention", touched),
+                changed,
+                *(_facts_of(spark, mart, n, touched) for n in names),
+                cars,
+                sources,
+            )
+            versions.replace_units(rows, attention, day, touched)
+    else:
+        whole = views.social_attention(*(read_fact(spark, mart, n) for n in names), cars, sources, same_day)
+        versions.replace_units(whole, attention, day)
+        _mark(spark, attention, form)
+
+
+def _made_with(spark: SparkSession, view: str) -> str | None:
+    """What the view was made with; None where it has no version."""
+    if not versions.has_versions(spark, view):
+        return None
+    row = read_snapshot(spark, f"{view}/made_with", T.StructType([T.StructField("digest", T.StringType())])).first()
+    return row and row["digest"]
+
+
+def _mark(spark: SparkSession, view: str, digest: str) -> None:
+    mark = f"{view}/made_with"
+    write_snapshot(spark.range(1).select(F.lit(digest).alias("digest")), mark, next_snapshot_id(spark, mark))
+    drop_snapshots(spark, mark, snapshot_ids(spark, mark)[:-1])
 
 
 def load_days(
@@ -204,9 +263,11 @@ def load_days(
     check_parameters(staging_base=staging_base, mart=mart, first=first)
     days = days_between(first, last)
     arriving = sum(scope_bytes(spark, f"{staging_base}/{d}", days, cars) for d, _ in STAGING_DIRS.values())
-    newest = [f"{base}/snapshot={i}" for base in (f"{mart}/tb_posts", f"{mart}/tb_comments") for i in snapshot_ids(spark, base)[-1:]]
-    with sized_shuffles(spark, max([arriving, *(stored_bytes(spark, path) for path in newest)])):
+    with sized_shuffles(spark, max([arriving, *(stored_bytes(spark, f"{mart}/{name}/data") for name in DIMENSION_KEYS)])):
         staging = read_staging_days(spark, staging_base, days, cars)
         upsert_dimensions(spark, staging, mart)
-        append_day_facts(spark, staging, mart, days, cars)
-        refresh_views(spark, mart, car_dim, source_dim, days, same_day)
+        with recorded_changes(spark, mart, days, cars) as changes:
+            append_day_facts(spark, staging, mart, days, cars)
+        changed = spark.read.schema("ingestion_date date, post_id string").parquet(changes)
+        refresh_views(spark, mart, car_dim, source_dim, days, same_day, changed)
+        drop_folder(spark, changes.rsplit("/", 1)[0])

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -31,6 +32,13 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def scratch_folder(spark: SparkSession, name: str) -> str:
+    """A new folder that driver and executors share: in the checkpoint folder, where none is set in the warehouse."""
+    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    base = named or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/scratch"
+    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
 def sql_key(*parts: str) -> str:
     """SQL text of ``functions.keys.stable_key``."""
     marked = [

@@ -208,3 +208,17 @@ MART = {
         ),
     )
 }
+
+_LISTENING_ROW = (
+    "post_id string, comment_id string, type string, sentence string, category string, keyword string,"
+    " sentiment_score double, ingestion_date date, car_name string, pre_car_name string, release_date date,"
+    " source string, age string"
+)
+_ATTENTION_ROW = (
+    "post_id string, comment_id string, like_cnt bigint, dislike_cnt bigint, view_cnt bigint, comment_cnt bigint,"
+    " ingestion_date date, car_name string, pre_car_name string, release_date date, source string, age string"
+)
+VIEWS = {
+    name: Table(name, _schema(columns))
+    for name, columns in (("vw_social_listening", _LISTENING_ROW), ("vw_social_attention", _ATTENTION_ROW))
+}

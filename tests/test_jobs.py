@@ -8,9 +8,9 @@ from datetime import date
 from functools import partial
 
 from talkmart import schemas, session
-from talkmart.operators import pages, quality
+from talkmart.operators import pages, quality, views
 from talkmart.plans import collect, load, prototype, score, text_job, validate
-from talkmart.sources import readers, writers
+from talkmart.sources import readers, versions, writers
 from talkmart.streaming import landing
 from tests.test_pages import COMMENT, PROFILE, frame
 from tests.test_records import record
@@ -93,7 +93,7 @@ def _days(spark, root):
 
 def _mart(spark, mart):
     facts = {n: load.read_fact(spark, mart, n) for n in ("tb_posts_metric", "tb_comments_metric", "tb_keywords")}
-    dims = {n: readers.read_snapshot(spark, f"{mart}/{n}", schemas.MART[n].schema) for n in ("tb_posts", "tb_comments")}
+    dims = {n: load.read_dimension(spark, mart, n) for n in ("tb_posts", "tb_comments")}
     return facts | dims
 
 
@@ -117,17 +117,17 @@ def test_days_to_mart(spark, tmp_path):
     load.load_days(spark, stage, mart, cars, sources, NEXT)
     assert {n: Counter(map(str, df.collect())) for n, df in _mart(spark, mart).items()} == once
 
-    listening = spark.read.parquet(f"{mart}/vw_social_listening")
+    listening = load.read_view(spark, mart, "vw_social_listening")
     assert listening.count() == 10 and {r.age for r in listening.collect()} == {"30s"}
-    attention = readers.read_snapshot(spark, f"{mart}/vw_social_attention", _attention_schema(spark, mart))
+    attention = load.read_view(spark, mart, "vw_social_attention")
     assert Counter(r.post_id for r in attention.collect()) == {"clien_1": 2, "clien_2": 1, "clien_3": 1}
     load.refresh_views(spark, mart, cars, sources, same_day=False)
-    attention = readers.read_snapshot(spark, f"{mart}/vw_social_attention", _attention_schema(spark, mart))
+    attention = load.read_view(spark, mart, "vw_social_attention")
     # clien_1: two post snapshots by two comment snapshots.
     assert Counter(r.post_id for r in attention.collect()) == {"clien_1": 4, "clien_2": 1, "clien_3": 1}
-    assert spark.read.parquet(f"{mart}/vw_social_listening").count() == 10
-    # Versions are numbers, the newest three stay.
-    assert len(readers.snapshot_ids(spark, f"{mart}/tb_posts")) == 3
+    assert load.read_view(spark, mart, "vw_social_listening").count() == 10
+    # Versions are numbers; a load that changes no row of a dimension makes none.
+    assert versions.version_ids(spark, f"{mart}/tb_posts") == ["0000000001", "0000000002"]
 
     load.create_fact_tables(spark, mart)
     assert spark.table("tb_keywords").count() == 10
@@ -136,8 +136,55 @@ def test_days_to_mart(spark, tmp_path):
     assert {r.rule: r.violations for r in report.collect() if r.violations} == {}
 
 
-def _attention_schema(spark, mart):
-    return spark.read.parquet(f"{mart}/vw_social_attention/snapshot={readers.snapshot_ids(spark, f'{mart}/vw_social_attention')[-1]}").schema
+def _views(spark, mart):
+    return {n: Counter(map(str, load.read_view(spark, mart, n).collect())) for n in schemas.VIEWS}
+
+
+def _rebuilt(spark, mart, cars, sources):
+    facts = [load.read_fact(spark, mart, n) for n in ("tb_posts_metric", "tb_comments_metric", "tb_keywords")]
+    attention = views.social_attention(*facts[:2], cars, sources, same_day=True)
+    rows = {"vw_social_attention": attention, "vw_social_listening": views.social_listening(facts[2], cars, sources)}
+    return {n: Counter(map(str, rows[n].select(*schemas.VIEWS[n].columns).collect())) for n in schemas.VIEWS}
+
+
+def test_maintained_views_equal_rebuilt_ones(spark, tmp_path):
+    cars, sources = _days(spark, tmp_path)
+    stage, mart = str(tmp_path / "stage"), str(tmp_path / "mart")
+    _run(spark, tmp_path, DAY, NEXT)
+    score.run_scoring(spark, stage, DAY, NEXT)
+    for day, some in ((NEXT, ["Kona"]), (DAY, None), (NEXT, None)):
+        load.load_days(spark, stage, mart, cars, sources, day, cars=some)
+        assert _views(spark, mart) == _rebuilt(spark, mart, cars, sources)
+    base = f"{mart}/vw_social_attention"
+    before = versions.manifest(spark, base)
+    # Other counters of one post on the second day, one more post, one less: the first day's part is not written.
+    _write_raw(tmp_path, NEXT, "clien.json", [_post("clien_1", comments=[("u", "저도 연비가 만족스럽습니다 정말")], view_count=78), _post("clien_4", when=NOON + 86400)])
+    _run(spark, tmp_path, NEXT)
+    score.run_scoring(spark, stage, NEXT)
+    load.load_days(spark, stage, mart, cars, sources, NEXT)
+    assert _views(spark, mart) == _rebuilt(spark, mart, cars, sources)
+    after = versions.manifest(spark, base)
+    assert {p for p in before if p.unit == DAY} == {p for p in after if p.unit == DAY}
+    assert {p for p in before if p.unit == NEXT} != {p for p in after if p.unit == NEXT}
+    # The same load again: no fact differs, so the view keeps its version.
+    load.load_days(spark, stage, mart, cars, sources, NEXT)
+    assert versions.manifest(spark, base) == after
+    # Another dimension row changes both views as a whole, and back.
+    load.load_days(spark, stage, mart, cars.filter("car_name = 'Kona'"), sources, NEXT)
+    assert _views(spark, mart) == _rebuilt(spark, mart, cars.filter("car_name = 'Kona'"), sources)
+
+
+def test_a_mart_of_whole_snapshots_is_taken_over(spark, tmp_path):
+    cars, sources = _days(spark, tmp_path)
+    stage, mart = str(tmp_path / "stage"), str(tmp_path / "mart")
+    _run(spark, tmp_path)
+    score.run_scoring(spark, stage, DAY)
+    old = [("clien_1", "kept", "a", "x", date(2025, 1, 1), date(2026, 1, 1), "Kona"), ("gone", "t", "a", "x", date(2025, 1, 1), date(2025, 1, 1), "Kona")]
+    writers.write_snapshot(spark.createDataFrame(old, load.stored_dimension("tb_posts")), f"{mart}/tb_posts", "0000000007")
+    load.load_days(spark, stage, mart, cars, sources, DAY)
+    posts = {r.post_id: r.title for r in load.read_dimension(spark, mart, "tb_posts").collect()}
+    assert posts == {"clien_1": "kept", "gone": "t", "clien_2": posts["clien_2"]}
+    assert readers.snapshot_ids(spark, f"{mart}/tb_posts") == []
 
 
 def test_backfill_of_two_days_equals_two_runs(spark, tmp_path):
@@ -208,7 +255,7 @@ def test_a_new_car_reaches_the_days_already_loaded(spark, tmp_path):
         score.run_scoring(spark, stage, day)
     load.load_days(spark, stage, mart, cars.filter("car_name = 'Kona'"), sources, DAY)
     load.load_days(spark, stage, mart, cars, sources, NEXT)
-    assert spark.read.parquet(f"{mart}/vw_social_listening").count() == 10
+    assert load.read_view(spark, mart, "vw_social_listening").count() == 10
 
 
 def test_keys_of_a_rerun(spark, tmp_path):
