@@ -8,7 +8,9 @@ batch is at most 20 rows, so no group is ever large.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
+from functools import partial
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
@@ -115,25 +117,35 @@ class CueScorer:
 
 #: Replies given on together.
 _HANDED_ON = 16
-_ANSWERED = "file_no int, batch_no int, items_json string, prompt string, reply string"
+_ANSWERED = "file_no int, batch_no int, items_json string, prompt string, reply string, error string"
+#: Characters of a scorer's error that are kept.
+ERROR_CHARS = 500
 
 
-def ask(batches: DataFrame, scorer: Callable[[str], str] | None = None, tasks: int | None = None) -> DataFrame:
-    """Adds ``reply``. A scorer error gives a NULL reply, which fails that batch only.
+def ask(
+    batches: DataFrame,
+    scorer: Callable[[str], str] | None = None,
+    tasks: int | None = None,
+    calls_at_once: int = 1,
+) -> DataFrame:
+    """Adds ``reply`` and ``error``. A scorer error gives a NULL reply and its text, and fails that batch only.
 
     Batches are dealt out over ``tasks`` tasks (the shuffle width by default), whatever
     file they are in, so calls run side by side; replies are handed on a few at a time.
+    Within a task up to ``calls_at_once`` calls run at a time, for a scorer that mostly waits.
     The items travel as JSON next to the prompt, so replies need no join back.
     """
     ask_one = scorer or CueScorer()
     tasks = tasks or int(batches.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
     def answer(chunks: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for chunk in chunks:
-            for start in range(0, len(chunk), _HANDED_ON):
-                some = chunk.iloc[start : start + _HANDED_ON]
-                replies = [_safely(ask_one, prompt) for prompt in some["prompt"]]
-                yield some.assign(reply=pd.Series(replies, index=some.index, dtype=object))
+        with ThreadPoolExecutor(calls_at_once) as calls:
+            for chunk in chunks:
+                for start in range(0, len(chunk), max(_HANDED_ON, calls_at_once)):
+                    some = chunk.iloc[start : start + max(_HANDED_ON, calls_at_once)]
+                    replies = list(calls.map(partial(_safely, ask_one), some["prompt"]))
+                    columns = zip(*replies, strict=True)
+                    yield some.assign(**{n: pd.Series(c, index=some.index, dtype=object) for n, c in zip(("reply", "error"), columns, strict=True)})
 
     asked = batches.select(
         "file_no",
@@ -143,14 +155,15 @@ def ask(batches: DataFrame, scorer: Callable[[str], str] | None = None, tasks: i
     )
     answered = asked.repartition(tasks, "file_no", "batch_no").mapInPandas(answer, _ANSWERED)
     items = F.from_json("items_json", batches.schema["items"].dataType)
-    return computed_once(answered, ["file_no", "batch_no", "reply"], {"items": items})
+    return computed_once(answered, ["file_no", "batch_no", "reply", "error"], {"items": items})
 
 
-def _safely(scorer: Callable[[str], str], prompt: str) -> str | None:
+def _safely(scorer: Callable[[str], str], prompt: str) -> tuple[str | None, str | None]:
+    """Reply and error of one call; any error of the scorer is a failed batch."""
     try:
-        return scorer(prompt)
-    except Exception:  # noqa: BLE001 - any scorer error is a failed batch
-        return None
+        return scorer(prompt), None
+    except Exception as error:  # noqa: BLE001
+        return None, f"{type(error).__name__}: {error}"[:ERROR_CHARS]
 
 
 def _labelled(line: Column, index: int, label: str) -> Column:
@@ -178,30 +191,41 @@ def parse_replies(answered: DataFrame, strict: bool = True, carry: Sequence[str]
     Lines belong to sentences by position, inside the row, so nothing is joined.
     Strict: a bad line, or more lines than sentences, fails the whole batch.
     Tolerant: only the sentence of a bad line fails. A sentence without a line
-    fails in both cases, it is never lost.
+    fails in both cases, it is never lost. Where ``answered`` has ``error``, the
+    rows say why a sentence failed: the scorer's error, or what the reply lacks.
     """
+    with_error = "error" in answered.columns
     lines = reply_lines(F.col("reply"))
     rows = answered.withColumn("_lines", lines).select(
         "file_no",
         "batch_no",
         F.col("_lines").alias("_all"),
         F.size("items").alias("_asked"),
+        *([F.col("error").alias("_error")] if with_error else []),
         F.posexplode("items").alias("pos", "item"),
     )
     score, category, keyword = parse_line(F.try_element_at("_all", F.col("pos") + 1))
     read = computed_once(
         rows,
-        ["file_no", "batch_no", "pos", "item"],
+        ["file_no", "batch_no", "pos", "item", *(["_error"] if with_error else [])],
         {
             "sentiment_score": score,
             "category": category,
             "keyword": keyword,
             "_broken": _batch_broken(F.col("_all"), F.col("_asked")) if strict else F.lit(False),
+            "_answered": F.try_element_at("_all", F.col("pos") + 1).isNotNull(),
         },
     )
     complete = (
         F.col("sentiment_score").isNotNull() & F.col("category").isNotNull() & F.col("keyword").isNotNull()
     )
+    reason = (
+        F.when(complete & ~F.col("_broken"), None)
+        .when(~F.col("_answered"), "no line in the reply")
+        .when(~complete, "unreadable line")
+        .otherwise("another line of the batch failed")
+    )
+    why = [F.coalesce(F.col("_error"), reason).alias("error")] if with_error else []
     return read.select(
         "file_no",
         "batch_no",
@@ -213,6 +237,7 @@ def parse_replies(answered: DataFrame, strict: bool = True, carry: Sequence[str]
         "category",
         "keyword",
         (complete & ~F.col("_broken")).alias("ok"),
+        *why,
     )
 
 
@@ -245,7 +270,8 @@ def score_sentences(
     key: str = "sentence_uuid",
     text: str = "sentence",
     carry: Sequence[str] = (),
+    calls_at_once: int = 1,
 ) -> DataFrame:
-    """Sentences -> parsed replies with ``ok``; see ``classified`` and ``classified_failed``."""
+    """Sentences -> parsed replies with ``ok`` and ``error``; see ``classified`` and ``classified_failed``."""
     batched = assign_batches(sentences.select(key, text, *carry), key, files)
-    return parse_replies(ask(prompt_batches(batched, key, text, carry), scorer), strict, carry)
+    return parse_replies(ask(prompt_batches(batched, key, text, carry), scorer, calls_at_once=calls_at_once), strict, carry)

@@ -8,7 +8,8 @@ from talkmart.functions.keys import stable_key
 from talkmart.functions.text import clean_sentences
 from talkmart.operators import quality, recovery, scoring
 from talkmart.plans.queries import shapes as S
-from talkmart.plans.queries.registry import cte, query, sql_bucket, sql_clean, sql_key, table, with_ctes
+from talkmart.plans.queries.registry import cte, query, scratch_folder, sql_bucket, sql_clean, sql_key, table, with_ctes
+from talkmart.plans.score import score_with_memory
 
 FILES = 16
 
@@ -72,6 +73,38 @@ def _(spark, folder):
     return scoring.classified(parsed)
 
 
+cte(
+    "document_lines",
+    f"""SELECT * FROM (SELECT {sql_key('doc_id', 'pos')} AS sentence_uuid, {sql_clean('line')} AS sentence FROM
+        (SELECT doc_id, unnest(string_split(text, chr(10))) AS line,
+          generate_subscripts(string_split(text, chr(10)), 1) - 1 AS pos FROM documents)
+      WHERE length(line) > 10 AND regexp_matches(line, '{S.LATIN}')) WHERE length(sentence) > 10""",
+)
+
+
+@query(
+    "score_memory",
+    with_ctes(
+        f"""SELECT sentence_uuid, CAST(greatest(0, least(100, 50 + {_SCORE})) AS DOUBLE) / 100 AS sentiment_score,
+          CASE {_FIRST.format(*(c.category for c in _CUES))} ELSE 'other' END AS category,
+          CASE {_FIRST.format(*(c.word for c in _CUES))} ELSE 'other' END AS keyword FROM document_lines""",
+        "document_lines",
+    ),
+)
+def _(spark, folder):
+    """Lines of documents scored by distinct text, in two runs over one memory: the English documents, then all.
+
+    The second run asks about the texts only that the first has not seen; all lines get the answer to their text.
+    """
+    lines = F.split("text", "\n")
+    rows = table(spark, folder, "documents").select("doc_id", "lang", F.posexplode(lines).alias("pos", "sentence"))
+    keyed = rows.select(stable_key(F.col("doc_id"), F.col("pos")).alias("sentence_uuid"), "sentence", "lang")
+    sentences = clean_sentences(keyed, script=S.LATIN)
+    store, scorer = scratch_folder(spark, "scores"), scoring.CueScorer(_CUES, "other")
+    score_with_memory(sentences.filter("lang = 'en'"), store, scorer)
+    return scoring.classified(score_with_memory(sentences, store, scorer))
+
+
 def _answered_documents(spark, folder):
     """Documents in batches with a stored reply: a toxic label spoils a line's score,
     and Spanish documents lack the category label."""

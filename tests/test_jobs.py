@@ -8,7 +8,7 @@ from datetime import date
 from functools import partial
 
 from talkmart import schemas, session
-from talkmart.operators import pages, quality, views
+from talkmart.operators import memory, pages, quality, views
 from talkmart.plans import collect, load, prototype, score, text_job, validate
 from talkmart.sources import readers, versions, writers
 from talkmart.streaming import landing
@@ -222,6 +222,24 @@ def test_scoring_failures_and_retry(spark, tmp_path):
     assert spark.read.parquet(f"{stage}/classified").count() == 3
 
 
+def test_a_rerun_with_a_score_memory_asks_nothing(spark, tmp_path):
+    _write_raw(tmp_path, DAY, "a.json", [_post("k"), _post("l"), _post("v", "Venue")])
+    _run(spark, tmp_path)
+    stage, store = str(tmp_path / "stage"), str(tmp_path / "memory")
+    score.run_scoring(spark, stage, DAY, memory=store)
+    rows = lambda: Counter(map(str, spark.read.parquet(f"{stage}/classified").collect()))
+    first = rows()
+    # The same three texts in three posts.
+    assert sum(first.values()) == 9 and spark.read.parquet(f"{stage}/scored").filter("ok").count() == 9
+    assert versions.read_keyed(spark, store, memory.MEMORY, ["text_key"]).count() == 3
+
+    def nobody(prompt):
+        raise AssertionError("asked")
+
+    score.run_scoring(spark, stage, DAY, memory=store, scorer=nobody)
+    assert rows() == first and list((tmp_path / "memory" / "runs").iterdir()) == []
+
+
 def test_any_order_of_days_and_cars_gives_the_same_mart(spark, tmp_path):
     _write_raw(tmp_path, DAY, "a.json", [_post("x", comments=[("u", "저도 연비가 만족스럽습니다 정말")]), _post("y", "Venue"), _post("z", "Venue", title="오래된 제목")])
     _write_raw(tmp_path, NEXT, "a.json", [_post("x", title="새로운 제목"), _post("z", "Kona", title="코나 제목"), _post("z", "Venue", title="베뉴 제목")])

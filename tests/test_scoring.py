@@ -2,10 +2,16 @@
 
 from __future__ import annotations
 
+import uuid
+from collections import Counter
+from pathlib import Path
+
 from pyspark.sql import functions as F
 
-from talkmart.operators import quality, scoring
+from talkmart.operators import memory, quality, scoring
+from talkmart.plans import score
 from talkmart.schemas import CATEGORIES
+from talkmart.sources import versions
 
 
 def sentences(spark, n):
@@ -85,6 +91,78 @@ def test_a_scorer_error_fails_its_batch_only(spark):
     assert scoring.classified(parsed).count() + failed.count() == 100
 
 
+def test_reasons_of_failures(spark):
+    def scorer(prompt):
+        if "문장 7\n" in prompt:
+            raise RuntimeError("no answer today")
+        return scoring.CueScorer()(prompt)
+
+    parsed = scoring.score_sentences(sentences(spark, 100), scorer, files=1, calls_at_once=4)
+    rows = parsed.collect()
+    assert {r.error for r in rows if not r.ok} == {"RuntimeError: no answer today"} and {r.error for r in rows if r.ok} == {None}
+    reply = f"{GOOD}\nnonsense\n{GOOD}"
+    for strict, want in ((False, [None, "unreadable line", None, "no line in the reply"]), (True, ["another line of the batch failed", "unreadable line", "another line of the batch failed", "no line in the reply"])):
+        parsed = scoring.parse_replies(answered(spark, 4, reply).withColumn("error", F.lit(None).cast("string")), strict)
+        assert [r.error for r in parsed.orderBy("pos").collect()] == want
+
+
+class Counted:
+    """A scorer that notes every line it is asked about in a folder; lines with a word in ``bad`` fail."""
+
+    def __init__(self, folder, bad=()):
+        self.folder, self.bad = str(folder), bad
+
+    def __call__(self, prompt):
+        lines = prompt[len(scoring.PROMPT_HEAD) : -len(scoring.PROMPT_RULES)].strip("\n").split("\n")
+        Path(self.folder, uuid.uuid4().hex).write_text("\n".join(line.split(". ", 1)[1] for line in lines), encoding="utf8")
+        if any(word in prompt for word in self.bad):
+            raise TimeoutError("too late")
+        return scoring.CueScorer()(prompt)
+
+    def asked(self):
+        files = list(Path(self.folder).iterdir())
+        out = Counter(line for f in files for line in f.read_text(encoding="utf8").split("\n"))
+        for f in files:
+            f.unlink()
+        return out
+
+
+def test_each_text_is_asked_about_once(spark, tmp_path):
+    (tmp_path / "calls").mkdir()
+    scorer, store = Counted(tmp_path / "calls"), str(tmp_path / "memory")
+    texts = ["연비가 좋아요", "고장이 잦아요", "", None, *["같은 문장"] * 300]
+    rows = spark.createDataFrame([(f"s{i}", t) for i, t in enumerate(texts)], "sentence_uuid string, sentence string")
+    first = score.score_with_memory(rows, store, scorer).collect()
+    assert len(first) == len(texts) and all(r.ok for r in first)
+    assert scorer.asked() == Counter({"연비가 좋아요": 1, "고장이 잦아요": 1, "같은 문장": 1, "": 1})
+    again = score.score_with_memory(rows, store, scorer).collect()
+    assert sorted(map(str, again)) == sorted(map(str, first)) and not scorer.asked()
+    more = rows.unionByName(spark.createDataFrame([("n", "디자인이 예쁘네요")], rows.schema))
+    assert score.score_with_memory(more, store, scorer).count() == len(texts) + 1
+    assert scorer.asked() == Counter({"디자인이 예쁘네요": 1})
+    # Another scorer or prompt has no answers yet.
+    score.score_with_memory(rows, store, scorer, scorer_id="other").count()
+    assert sum(scorer.asked().values()) == 4
+
+
+def test_failed_texts_are_asked_again_and_say_why(spark, tmp_path):
+    (tmp_path / "calls").mkdir()
+    store = str(tmp_path / "memory")
+    rows = spark.createDataFrame([("a", "고장이 잦아요"), ("b", "고장이 잦아요")], "sentence_uuid string, sentence string")
+    for attempt in (1, 2):
+        failed = score.score_with_memory(rows, store, Counted(tmp_path / "calls", ["고장"])).collect()
+        assert [(r.ok, r.error) for r in failed] == [(False, "TimeoutError: too late")] * 2
+        stored = versions.read_keyed(spark, store, memory.MEMORY, ["text_key"]).collect()
+        assert [(r.ok, r.attempts) for r in stored] == [(False, attempt)]
+    good = Counted(tmp_path / "calls")
+    good.asked()
+    assert all(r.ok and r.error is None for r in score.score_with_memory(rows, store, good).collect())
+    assert good.asked() == Counter({"고장이 잦아요": 1})
+    stored = versions.read_keyed(spark, store, memory.MEMORY, ["text_key"]).collect()
+    assert [(r.ok, r.attempts, r.error) for r in stored] == [(True, 3, None)]
+    assert score.score_with_memory(rows.limit(0), store, good).collect() == []
+
+
 def test_carried_columns(spark):
     df = sentences(spark, 5).withColumn("dt", F.lit("2025-01-01").cast("date"))
     parsed = scoring.score_sentences(df, files=1, carry=["dt"])
