@@ -2,8 +2,8 @@
 
 Multiple global orders: the tokens (64-bit hashes of shingles) of every set are put into several total orders
 that are the same for all sets. Two sets that are alike enough share a token among the first n - ceil(0.8 n) + 1
-of each order. The first order puts tokens that are frequent in the corpus last, ties by hash; its prefixes make
-the candidates, cut by length and position. The other two orders are ascending and descending by hash; a
+of each order. The first order puts tokens that are frequent in the corpus last, and after them those that crowd the
+prefixes, ties by hash; its prefixes make the candidates, cut by length and position. The other two orders are ascending and descending by hash; a
 candidate must share prefix tokens there too before its sets are compared as a whole.
 
 Groups of copies never become all their pairs. Texts with equal words are one class from the start. Then each
@@ -35,6 +35,8 @@ CELLS = 1 << 20
 #: Bits of the filters that pick out shared tokens and candidates' texts. More of these than bits only make the
 #: filters pass more. Primes, so that numbers with a stride do not meet.
 TOKEN_BITS, FILTER_BITS = 33_554_393, 4_194_301
+#: Classes from which a token of the prefixes counts as crowded; crowded ones then come last in the first order.
+CROWD = 6
 #: Rounds with leaders before the pairs across components.
 LEADER_ROUNDS = 2
 
@@ -144,21 +146,27 @@ def _levels(signatures: DataFrame) -> np.ndarray:
     return np.floor(np.log2(1 + above)).astype(np.uint8)
 
 
-def _prefixes(levels: np.ndarray):
-    """Each class with its prefix under the first order; copies within a batch once."""
+def _prefixes(levels: np.ndarray, crowded: np.ndarray | None = None, only: np.ndarray | None = None):
+    """Each class with its prefix under the first order; copies within a batch once.
+
+    ``crowded`` tokens come after all others. With ``only``, just the documents whose ids pass that filter.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = _Hashes()
         for batch in batches:
             tokens, classes, sizes, seen = [], [], [], set()
-            for text in batch["text"]:
-                words = _words(text.as_py())
+            for row in _chosen(batch, only):
+                words = _words(batch["text"][row].as_py())
                 name = _class(words)
                 if not words or name in seen:
                     continue
                 seen.add(name)
                 grams = _grams(words, hashes)
-                order = np.argsort(levels[_cell(grams)], kind="stable")[: _prefix_size(len(grams))]
+                rank = levels[_cell(grams)]
+                if crowded is not None:
+                    rank = rank + (_passes(crowded, grams.view(np.int64), TOKEN_BITS) << 7)
+                order = np.argsort(rank, kind="stable")[: _prefix_size(len(grams))]
                 tokens.append(grams[order])
                 classes.append(name)
                 sizes.append(len(grams))
@@ -169,6 +177,27 @@ def _prefixes(levels: np.ndarray):
     return run
 
 
+def _chosen(batch: pa.RecordBatch, only: np.ndarray | None) -> list[int]:
+    """The rows whose doc_id passes the filter; a NULL counts as -1."""
+    if only is None:
+        return list(range(batch.num_rows))
+    ids = batch["doc_id"].fill_null(-1).to_numpy(zero_copy_only=False).astype(np.int64)
+    return np.flatnonzero(_passes(only, ids, FILTER_BITS)).tolist()
+
+
+def _holding(crowded: np.ndarray, wanted: bool):
+    """The prefixes that hold crowded tokens, or those that do not."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lists = batch["tokens"]
+            sizes = pa.compute.list_value_length(lists).to_numpy()
+            hits = np.add.reduceat(_passes(crowded, lists.flatten().to_numpy(), TOKEN_BITS), np.cumsum(sizes) - sizes) if len(sizes) else sizes
+            yield batch.filter(pa.array((hits > 0) == wanted))
+
+    return run
+
+
 def _lists(arrays: list[np.ndarray]) -> pa.Array:
     offsets = np.concatenate([[0], np.cumsum([len(a) for a in arrays])]).astype(np.int32)
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(_signed(np.concatenate(arrays))))
@@ -183,7 +212,7 @@ def _postings(bits: np.ndarray):
             tokens, sizes = lists.flatten().to_numpy(), pa.compute.list_value_length(lists).to_numpy()
             row = np.repeat(np.arange(len(sizes)), sizes)
             place = np.arange(len(tokens)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-            kept = bits[tokens % TOKEN_BITS]
+            kept = np.flatnonzero(_passes(bits, tokens, TOKEN_BITS))
             columns = [tokens[kept], batch["class"].to_numpy()[row[kept]], batch["n"].to_numpy()[row[kept]], place[kept].astype(np.int32)]
             yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["token", "class", "n", "place"])
 
@@ -197,7 +226,13 @@ def _bits(values: DataFrame, size: int) -> np.ndarray:
     packed = words.agg(F.bit_or(F.expr("shiftleft(1L, cast(slot % 64 as int))")).alias("bits")).toArrow()
     table = np.zeros(size // 64 + 1, np.int64)
     table[packed["word"].to_numpy()] = packed["bits"].to_numpy()
-    return np.unpackbits(table.view(np.uint8), bitorder="little").astype(bool)
+    return table.view(np.uint8)
+
+
+def _passes(bits: np.ndarray, values: np.ndarray, size: int) -> np.ndarray:
+    """0 or 1 for each value: whether its remainder is in the filter, which stays packed."""
+    slot = values % size
+    return (bits[slot >> 3] >> (slot & 7).astype(np.uint8)) & 1
 
 
 def _sets(bits: np.ndarray):
@@ -206,9 +241,8 @@ def _sets(bits: np.ndarray):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = _Hashes()
         for batch in batches:
-            ids = batch["doc_id"].fill_null(-1).to_numpy(zero_copy_only=False).astype(np.int64)
             classes, grams, seen = [], [], set()
-            for row in np.flatnonzero(bits[ids % FILTER_BITS]).tolist():
+            for row in _chosen(batch, bits):
                 words = _words(batch["text"][row].as_py())
                 name = _class(words)
                 if words and name not in seen:
@@ -231,11 +265,14 @@ def _alike(overlap, n, m):
     return (100 + PERCENT) * overlap >= PERCENT * (n + m)
 
 
-def _may_be_alike():
+def _lengths_fit() -> Column:
+    return 100 * F.least("n", "other_n") >= PERCENT * F.greatest("n", "other_n")
+
+
+def _may_be_alike() -> Column:
     """Length bound, and the position bound: what can still be shared from this token on."""
     left, right = F.col("n") - F.col("place"), F.col("other_n") - F.col("other_place")
-    lengths = 100 * F.least("n", "other_n") >= PERCENT * F.greatest("n", "other_n")
-    return lengths & _alike(F.least(left, right), F.col("n"), F.col("other_n"))
+    return _lengths_fit() & _alike(F.least(left, right), F.col("n"), F.col("other_n"))
 
 
 def _mixed(postings: DataFrame, round_no: int) -> DataFrame:
@@ -274,7 +311,8 @@ def _candidates(mixed: DataFrame, round_no: int) -> DataFrame:
         mixed = mixed.withColumn("is_main", F.col("component") == F.col("lead.component")).drop("lead")
         others = mixed.select("token", *(F.col(c).alias(f"other_{c}") for c in ("class", "n", "place", "component", "is_main")))
         once = F.col("other_is_main") | (F.col("class") < F.col("other_class"))
-        rows = mixed.filter(~F.col("is_main")).join(others, "token").filter((F.col("component") != F.col("other_component")) & once)
+        apart = F.col("component") != F.col("other_component")
+        rows = mixed.filter(~F.col("is_main")).join(others, "token").filter(apart & once & _lengths_fit())
         rows = rows.withColumn("fits", _may_be_alike())
         # Which of two classes comes first differs from token to token: both orders count as one pair.
         in_order = F.col("class") < F.col("other_class")
@@ -290,7 +328,7 @@ def _candidates(mixed: DataFrame, round_no: int) -> DataFrame:
 def _passing(bits: np.ndarray):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            yield batch.filter(pa.array(bits[batch["class"].to_numpy() % FILTER_BITS]))
+            yield batch.filter(pa.array(_passes(bits, batch["class"].to_numpy(), FILTER_BITS) == 1))
 
     return run
 
@@ -339,7 +377,14 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     rows = signatures.filter("n >= 0").select("doc_id", "row_key", "class", "n")
     ids = rows.filter("n > 0").groupBy("class").agg(F.min("doc_id").alias("doc_id"))
 
+    # The sketch does not tell a token of some dozen classes from a rare one. Prefixes that hold such tokens are taken
+    # again with these last; the others hold none, so they are the same under both orders.
     prefixes = stage(texts.mapInArrow(_prefixes(levels), _PREFIXES), "prefixes")
+    counts = prefixes.select(F.explode("tokens").alias("value")).groupBy("value").agg(F.count(F.lit(1)).alias("classes"))
+    crowded = _bits(counts.filter(F.col("classes") >= CROWD).select("value"), TOKEN_BITS)
+    held = prefixes.mapInArrow(_holding(crowded, True), _PREFIXES).select("class").distinct().join(ids, "class")
+    again = texts.mapInArrow(_prefixes(levels, crowded, _bits(held.select(F.col("doc_id").alias("value")), FILTER_BITS)), _PREFIXES)
+    prefixes = prefixes.mapInArrow(_holding(crowded, False), _PREFIXES).unionByName(stage(again, "prefixes"))
     tokens = prefixes.select("class", F.explode("tokens").alias("value")).groupBy("value")
     shared = tokens.agg(F.min("class").alias("low"), F.max("class").alias("high")).filter("low <> high")
     postings = prefixes.mapInArrow(_postings(_bits(shared.select("value"), TOKEN_BITS)), _POSTINGS)
