@@ -40,6 +40,9 @@ CROWD = 6
 #: Rounds with leaders before the pairs across components.
 LEADER_ROUNDS = 2
 
+#: Tokens that a task holds in lists before it counts them or hands them on.
+_HELD = 1 << 19
+
 _LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 _MULTIPLIER, _MIX = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
 _SIGNATURES = "doc_id long, row_key string, class long, n long, cells binary"
@@ -52,7 +55,7 @@ class _Hashes(dict):
     """Hash of a word, worked out at its first use; emptied when it has grown large."""
 
     def __missing__(self, word: bytes) -> int:
-        if len(self) > 500_000:
+        if len(self) > 150_000:
             self.clear()
         value = self[word] = xxhash.xxh64_intdigest(word)
         return value
@@ -96,6 +99,13 @@ def _prefix_size(n: int) -> int:
 def _signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """A row per document, and at the end of the task one with its counts per cell of the sketch."""
     hashes, cells, held = _Hashes(), np.zeros(CELLS, np.uint32), []
+
+    def count() -> None:
+        if held:
+            cells[:] += np.bincount(np.concatenate(held), minlength=CELLS).astype(np.uint32)
+            held.clear()
+
+    waiting = 0
     schema = pa.schema(
         [("doc_id", pa.int64()), ("row_key", pa.string()), ("class", pa.int64()), ("n", pa.int64()), ("cells", pa.binary())]
     )
@@ -107,12 +117,14 @@ def _signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if name not in seen:  # copies in a batch count once
                 grams = _grams(words, hashes)
                 seen[name] = len(grams)
-                held.append(_cell(grams))
+                held.append(_cell(grams).astype(np.int32))
+                waiting += len(grams)
+                if waiting > _HELD:
+                    count()
+                    waiting = 0
             classes.append(name)
             sizes.append(seen[name])
-        if held:
-            cells += np.bincount(np.concatenate(held), minlength=CELLS).astype(np.uint32)
-            held.clear()
+        count()
         own = [pa.array(_signed(classes)), pa.array(sizes, pa.int64()), pa.nulls(len(sizes), pa.binary())]
         columns = [batch["doc_id"], batch["row_key"].cast(pa.string()), *own]
         yield pa.RecordBatch.from_arrays(columns, schema=schema)
@@ -170,13 +182,27 @@ def _prefixes(levels: np.ndarray, crowded: np.ndarray | None = None, only: np.nd
                 tokens.append(grams[order])
                 classes.append(name)
                 sizes.append(len(grams))
+                if _full(tokens):
+                    yield _listed(classes, sizes, tokens, "tokens")
             if tokens:
-                columns = [pa.array(_signed(classes)), pa.array(sizes, pa.int32()), _lists(tokens)]
-                yield pa.RecordBatch.from_arrays(columns, names=["class", "n", "tokens"])
+                yield _listed(classes, sizes, tokens, "tokens")
 
     return run
 
 
+def _full(arrays: list[np.ndarray]) -> bool:
+    return len(arrays) % 64 == 0 and sum(map(len, arrays)) > _HELD
+
+
+def _listed(classes: list[int], sizes: list[int], arrays: list[np.ndarray], name: str) -> pa.RecordBatch:
+    """A batch of what the lists hold; they are empty afterwards."""
+    columns = [pa.array(_signed(classes)), pa.array(sizes, pa.int32()), _lists(arrays)]
+    batch = pa.RecordBatch.from_arrays(columns, names=["class", "n", name])
+    for done in (classes, sizes, arrays):
+        done.clear()
+    return batch
+
+
 def _chosen(batch: pa.RecordBatch, only: np.ndarray | None) -> list[int]:
     """The rows whose doc_id passes the filter; a NULL counts as -1."""
     if only is None:
@@ -241,7 +267,7 @@ def _sets(bits: np.ndarray):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = _Hashes()
         for batch in batches:
-            classes, grams, seen = [], [], set()
+            classes, sizes, grams, seen = [], [], [], set()
             for row in _chosen(batch, bits):
                 words = _words(batch["text"][row].as_py())
                 name = _class(words)
@@ -249,9 +275,11 @@ def _sets(bits: np.ndarray):
                     seen.add(name)
                     classes.append(name)
                     grams.append(_grams(words, hashes))
+                    sizes.append(len(grams[-1]))
+                    if _full(grams):
+                        yield _listed(classes, sizes, grams, "grams")
             if grams:
-                columns = [pa.array(_signed(classes)), pa.array([len(g) for g in grams], pa.int32()), _lists(grams)]
-                yield pa.RecordBatch.from_arrays(columns, names=["class", "n", "grams"])
+                yield _listed(classes, sizes, grams, "grams")
 
     return run
 
