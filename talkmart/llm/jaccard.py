@@ -35,10 +35,12 @@ CELLS = 1 << 20
 #: Bits of the filters that pick out shared tokens and candidates' texts. More of these than bits only make the
 #: filters pass more. Primes, so that numbers with a stride do not meet.
 TOKEN_BITS, FILTER_BITS = 33_554_393, 4_194_301
-#: Classes from which a token of the prefixes counts as crowded; crowded ones then come last in the first order.
-CROWD = 6
+#: Times that a token stands in the prefixes of several classes from which it counts as crowded and comes last.
+CROWD = 12
 #: Rounds with leaders before the pairs across components.
 LEADER_ROUNDS = 2
+#: Star steps between rounds.
+STEPS = 2
 
 #: Tokens that a task holds in lists before it counts them or hands them on.
 _HELD = 1 << 19
@@ -408,8 +410,9 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     # The sketch does not tell a token of some dozen classes from a rare one. Prefixes that hold such tokens are taken
     # again with these last; the others hold none, so they are the same under both orders.
     prefixes = stage(texts.mapInArrow(_prefixes(levels), _PREFIXES), "prefixes")
-    counts = prefixes.select(F.explode("tokens").alias("value")).groupBy("value").agg(F.count(F.lit(1)).alias("classes"))
-    crowded = _bits(counts.filter(F.col("classes") >= CROWD).select("value"), TOKEN_BITS)
+    by_token = prefixes.select("class", F.explode("tokens").alias("value")).groupBy("value")
+    counts = by_token.agg(F.count(F.lit(1)).alias("times"), F.min("class").alias("low"), F.max("class").alias("high"))
+    crowded = _bits(counts.filter((F.col("times") >= CROWD) & (F.col("low") != F.col("high"))).select("value"), TOKEN_BITS)
     held = prefixes.mapInArrow(_holding(crowded, True), _PREFIXES).select("class").distinct().join(ids, "class")
     again = texts.mapInArrow(_prefixes(levels, crowded, _bits(held.select(F.col("doc_id").alias("value")), FILTER_BITS)), _PREFIXES)
     prefixes = prefixes.mapInArrow(_holding(crowded, False), _PREFIXES).unionByName(stage(again, "prefixes"))
@@ -430,6 +433,9 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         pairs = _candidates(mixed, round_no)
         pairs = stage(pairs if tried is None else pairs.join(tried, ["low", "high"], "left_anti"), "pairs")
         if pairs.isEmpty():
+            # Without pairs the last round has nothing to add to what was found before, but all of it must be joined.
+            if round_no == LEADER_ROUNDS and links is not None:
+                known = stage(components(links).select(F.col("node").alias("class"), "component"), "components")
             continue
         done = pairs.select("low", "high")
         tried = done if tried is None else tried.unionByName(done)
@@ -443,7 +449,9 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         sets = new if sets is None else sets.unionByName(new)
         found = stage(_verified(pairs, sets), "links")
         links = found if links is None else links.unionByName(found)
-        known = stage(components(links).select(F.col("node").alias("class"), "component"), "components")
+        # Between rounds a few steps are enough: what they do not join yet is only looked at again.
+        found = components(links, None if round_no == LEADER_ROUNDS else STEPS)
+        known = stage(found.select(F.col("node").alias("class"), "component"), "components")
 
     ids = ids.withColumn("group", F.col("class"))
     if known is not None:
