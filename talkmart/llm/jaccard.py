@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from talkmart.llm.components import components
-from talkmart.llm.staging import small, stage
+from talkmart.llm.staging import arrow_batches, small, stage
 from talkmart.llm.text import free_name, row_key
 
 WIDTH = 5
@@ -42,6 +42,8 @@ LEADER_ROUNDS = 2
 #: Star steps between rounds.
 STEPS = 2
 
+#: Rows of a batch that a Python task gets at once.
+BATCH_ROWS = 1000
 #: Tokens that a task holds in lists before it counts them or hands them on.
 _HELD = 1 << 19
 
@@ -400,6 +402,11 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
     A class is a 64-bit hash of a text's words. Staged tables hold ids, hashes and candidates' sets, no texts.
     """
+    with arrow_batches(docs.sparkSession, BATCH_ROWS):
+        return _near_duplicates(docs)
+
+
+def _near_duplicates(docs: DataFrame) -> DataFrame:
     texts = _texts(docs)
     keys = texts.withColumn("row_key", row_key())
     signatures = stage(keys.mapInArrow(_signatures, _SIGNATURES), "signatures")

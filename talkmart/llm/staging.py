@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -31,3 +33,15 @@ def small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     Counting stops one row past the bound. Pass staged or cheap input: it is read twice.
     """
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+
+
+@contextmanager
+def arrow_batches(spark: SparkSession, rows: int) -> Iterator[None]:
+    """Batches of at most ``rows`` rows for Python tasks planned inside the block; the old number afterwards."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(min(rows, int(before)) if int(before) > 0 else rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
