@@ -65,7 +65,7 @@ def _effects(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if where != place:
             if place is not None:
                 yield given()
-            start = piece.lstrip("﻿ \t\r\n")[:1] if where[1] == 0 else None
+            start = piece.lstrip("\ufeff \t\r\n")[:1] if where[1] == 0 else None
             place, now = where, {"bytes": 0, "shape": start, "end0": False, "depth0": 0, "end1": True, "depth1": 0}
         now["bytes"] += len(piece.encode("utf-8", "surrogatepass")) + 1
         for case in "01":
