@@ -3,7 +3,8 @@
 All three-word runs of a document meet the three-word runs of license notices in one join. A match votes for
 the diagonal (place in the document less place in the notice) on which the notice would stand. Votes are added
 per diagonal, neighbouring diagonals are merged so that a few changed words do not break a span, and a span
-counts if the voting words cover enough of it and of the notice.
+counts if the voting words cover enough of it and of the notice, and if it holds a run of words that stands in
+notices of its own label only. So wording that licenses share ("licensed under the") names none of them.
 """
 
 from __future__ import annotations
@@ -22,22 +23,35 @@ GAP = 12
 #: Least share of a span's words that lie in voting runs, and of the notice that the span's votes reach.
 MIN_DENSITY = 0.6
 MIN_COVERAGE = 0.5
+#: Notices of at most so many words must be covered almost whole.
+SHORT_WORDS = 12
+SHORT_COVERAGE = 0.8
 
 # Wording of public license notices, by label.
 NOTICES = (
     ("mit", "released under the mit license"),
     ("mit", "licensed under the mit license"),
     ("mit", "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files the software to deal in the software without restriction including without limitation the rights to use copy modify merge publish distribute sublicense and or sell copies of the software"),
+    ("apache", "licensed under the apache license"),
     ("apache", "licensed under the apache license version 2 0"),
     ("apache", "you may not use this file except in compliance with the license you may obtain a copy of the license at http www apache org licenses license 2 0"),
+    ("gpl", "licensed under the gnu general public license"),
     ("gpl", "licensed under the gnu general public license version 3"),
     ("gpl", "this program is free software you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation either version 3 of the license or at your option any later version"),
+    ("lgpl", "this library is free software you can redistribute it and or modify it under the terms of the gnu lesser general public license as published by the free software foundation either version 2 1 of the license or at your option any later version"),
+    ("lgpl", "licensed under the gnu lesser general public license"),
+    ("agpl", "it under the terms of the gnu affero general public license as published by the free software foundation either version 3 of the license or at your option any later version"),
+    ("agpl", "licensed under the gnu affero general public license"),
     ("bsd", "redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions are met"),
     ("mpl", "this source code form is subject to the terms of the mozilla public license v 2 0"),
-    ("cc-by", "licensed under cc by nc 4 0"),
-    ("cc-by", "licensed under cc by sa 4 0"),
     ("cc-by", "licensed under cc by 4 0"),
+    ("cc-by-nc", "licensed under cc by nc 4 0"),
+    ("cc-by-sa", "licensed under cc by sa 4 0"),
+    ("cc-by-nc-sa", "licensed under cc by nc sa 4 0"),
     ("cc-by", "this work is licensed under a creative commons attribution 4 0 international license"),
+    ("cc-by-nc", "this work is licensed under a creative commons attribution noncommercial 4 0 international license"),
+    ("cc-by-sa", "this work is licensed under a creative commons attribution sharealike 4 0 international license"),
+    ("cc-by-nc-sa", "this work is licensed under a creative commons attribution noncommercial sharealike 4 0 international license"),
     ("reserved", "all rights reserved no part of this publication may be reproduced distributed or transmitted in any form or by any means"),
 )
 # The phrases that always count.
@@ -45,11 +59,16 @@ PHRASES = (("cc-by", ("cc", "by")), ("gpl", ("general", "public", "license")), (
 
 
 def notice_runs(spark: SparkSession, notices=NOTICES, gram: int = GRAM) -> DataFrame:
-    """(notice, label, length, at, token, run): the runs of words of each notice. As many rows as the notices have words."""
+    """(notice, label, length, at, token, run, own): the runs of words of each notice. As many rows as the notices have words.
+
+    ``own`` is 1 for a run that stands in notices of one label only, else 0.
+    """
     table = spark.createDataFrame([(i, label, text) for i, (label, text) in enumerate(notices)], "notice int, label string, text string")
     words = table.withColumn("words", alnum_words(F.col("text")))
     runs = words.select("notice", "label", F.size("words").alias("length"), "words", F.posexplode(shingles(F.col("words"), gram)).alias("at", "token"))
-    return runs.select("notice", "label", "length", "at", "token", F.slice("words", F.col("at") + 1, gram).alias("run"))
+    labels = F.size(F.collect_set("label").over(Window.partitionBy("token")))
+    own = F.when(labels == 1, 1).otherwise(0).alias("own")
+    return runs.select("notice", "label", "length", "at", "token", F.slice("words", F.col("at") + 1, gram).alias("run"), own)
 
 
 def license_spans(docs: DataFrame, notices=NOTICES, gram: int = GRAM) -> DataFrame:
@@ -65,12 +84,12 @@ def license_spans(docs: DataFrame, notices=NOTICES, gram: int = GRAM) -> DataFra
     diagonal = (F.col("place") - F.col("at")).alias("diagonal")
     each = ["row_key", "notice", "label", "length"]
     # A run of consecutive votes on a diagonal is one row from here on.
-    votes = votes.select(*each, "place", "at", diagonal).distinct()
+    votes = votes.select(*each, "place", "at", "own", diagonal).distinct()
     along = Window.partitionBy(*each, "diagonal").orderBy("place")
     pieces = (
         votes.withColumn("piece", F.col("place") - F.row_number().over(along))
         .groupBy(*each, "diagonal", "piece")
-        .agg(F.min("place").alias("from"), (F.max("place") + gram).alias("to"), F.min("at").alias("at"))
+        .agg(F.min("place").alias("from"), (F.max("place") + gram).alias("to"), F.min("at").alias("at"), F.max("own").alias("own"))
     )
     # Pieces follow each other in the document; one far off the last diagonal, or far away, starts a new span.
     follow = Window.partitionBy(*each).orderBy("from", "to", "diagonal")
@@ -90,12 +109,14 @@ def license_spans(docs: DataFrame, notices=NOTICES, gram: int = GRAM) -> DataFra
             F.sum(F.col("to") - F.col("from") - gram + 1).alias("votes"),
             F.sum("words").alias("words"),
             F.sum("known").alias("known"),
+            F.max("own").alias("own"),
         )
     )
     density = F.col("words") / (F.col("last") - F.col("first") + 1)
-    return spans.select(
-        "row_key", "label", "first", "last", "votes", density.alias("density"), (F.col("known") / F.col("length")).alias("coverage")
-    ).filter((F.col("density") >= MIN_DENSITY) & (F.col("coverage") >= MIN_COVERAGE))
+    least = F.when(F.col("length") <= SHORT_WORDS, SHORT_COVERAGE).otherwise(MIN_COVERAGE)
+    coverage = F.col("known") / F.col("length")
+    verified = spans.filter((F.col("own") == 1) & (density >= MIN_DENSITY) & (coverage >= least))
+    return verified.select("row_key", "label", "first", "last", "votes", density.alias("density"), coverage.alias("coverage"))
 
 
 def _places(words: Column, phrase: tuple[str, ...]) -> Column:

@@ -101,6 +101,41 @@ def test_license_spans(spark):
     assert sorted((r["first"], r["last"]) for r in spans) == [(0, n - 1), (n + 1, 2 * n)]
 
 
+#: Texts and the labels that each must get, near misses and wording of several licenses among them.
+LICENSE_TEXTS = [
+    ("The film was released under the title Dawn.", ""),
+    ("Goods are licensed under the terms of trade.", ""),
+    ("It is licensed under the Apache License, Version 2.0 (the License).", "apache"),
+    ("Licensed under the Apache License.", "apache"),
+    ("Licensed under the GNU General Public License, version 3.", "gpl"),
+    ("Licensed under the GNU Lesser General Public License.", "gpl,lgpl"),
+    ("This is released under the MIT License.", "mit"),
+    ("Dual: licensed under the MIT License or licensed under the Apache License, version 2.0", "apache,mit"),
+    ("Licensed under CC-BY-NC 4.0", "cc-by,cc-by-nc"),
+    ("Licensed under CC BY-SA 4.0", "cc-by,cc-by-sa"),
+    ("Licensed under CC BY-NC-SA 4.0", "cc-by,cc-by-nc-sa"),
+    ("Licensed under CC BY 4.0", "cc-by"),
+    ("This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License", "cc-by-nc"),
+    ("This work is licensed under a Creative Commons Attribution 4.0 International License", "cc-by"),
+    ("You may redistribute it in source and binary forms, with or without changes", ""),
+]
+
+
+def test_license_labels_of_near_misses_and_neighbours(spark):
+    docs = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(LICENSE_TEXTS)], "doc_id long, text string")
+    out = {r.doc_id: r.labels for r in licenses.licenses(docs).collect()}
+    assert [out[i] for i in range(len(LICENSE_TEXTS))] == [labels for _, labels in LICENSE_TEXTS]
+
+
+def test_no_mit_label_on_documents_that_do_not_name_it(spark):
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
+    out = licenses.licenses(docs).select("doc_id", "labels").join(docs.select("doc_id", "text"), "doc_id").toPandas()
+    assert len(out) == docs.count()
+    named = out.text.fillna("").str.lower().str.contains(r"\bmit\b|hereby granted")
+    mit = out.labels.str.split(",").map(lambda x: "mit" in x)
+    assert not (mit & ~named).any()
+
+
 def test_quality_counts(spark):
     docs, rows = documents(spark)
     columns = ("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed")
