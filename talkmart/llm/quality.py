@@ -2,17 +2,18 @@
 
 Words and pairs of words fall into a fixed number of buckets. Two multinomials over the buckets are counted:
 one over the trusted documents, one over the whole corpus. A document's score is the mean log ratio of its
-n-grams, so its length does not matter, and the same threshold decides on every document.
+n-grams, so its length does not matter, and the same threshold decides on every document. Texts are read twice:
+to count the buckets, and to measure and score each text within its row.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from talkmart.functions.once import computed_once
 from talkmart.llm.staging import BROADCAST_ROWS, stage
-from talkmart.llm.text import keyed, shingles, space_words
+from talkmart.llm.text import space_words
 
 BUCKETS = 16_384
 #: Mean log ratio per n-gram below which a document is dropped.
@@ -24,23 +25,54 @@ MIN_WORDS = 50
 PARTS = 1_000_000
 
 
-def shape(docs: DataFrame) -> DataFrame:
-    """(doc_id, row_key, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words) of ``keyed`` documents."""
+def _prepared(docs: DataFrame, keep: list[str]) -> DataFrame:
+    """``keep`` and ``words``, the words of ``text``, cut once."""
+    return computed_once(docs, keep, {"words": space_words(F.col("text"))})
+
+
+def _runs(hashes: Column, width: int) -> Column:
+    """A 64-bit hash of each run of ``width`` words, from the hashes of the words."""
+    rest = F.slice(hashes, width, F.greatest(F.size(hashes), F.lit(1)))
+    return F.transform(rest, lambda x, i: F.xxhash64(*(F.get(hashes, i + k) for k in range(width - 1)), x))
+
+
+def _with_grams(docs: DataFrame, keep: list[str], buckets: int) -> DataFrame:
+    """``keep`` and ``grams``: the bucket of each word and of each pair of neighbouring words, in lower case."""
+    lowered = F.transform("words", lambda w: F.xxhash64(F.lower(w)))
+    docs = computed_once(docs, keep, {"hashes": lowered})
+    place = lambda h: F.pmod(h, F.lit(buckets)).cast("int")
+    hashes = F.col("hashes")
+    return computed_once(docs, keep, {"grams": F.concat(F.transform(hashes, place), F.transform(_runs(hashes, 2), place))})
+
+
+def measured(docs: DataFrame, points: list[int]) -> DataFrame:
+    """(doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, score) of each row, in one pass over the texts.
+
+    ``points`` has a number of millionths per bucket; the score is the mean of those of a text's n-grams.
+    """
     text = F.col("text")
+    words = F.col("words")
     lines = F.filter(F.split(text, "\n", -1), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
-    ids = ["doc_id", "row_key", "text"]
-    docs = computed_once(docs, ids, {"words": space_words(text), "lines": lines})
-    docs = computed_once(docs, [*ids, "words", "lines"], {"grams": shingles(F.col("words"), 3)})
+    docs = _prepared(docs, ["doc_id", "text"])
+    counts = {
+        "n_words": F.size(words).cast("long"),
+        "word_chars": F.aggregate(words, F.lit(0).cast("long"), lambda a, w: a + F.length(w)),
+        "n_symbols": F.length(F.regexp_replace(text, r"[^#*$%&|<>]+", "")).cast("long"),
+        "lines": lines,
+    }
+    docs = computed_once(docs, ["doc_id", "words"], {**counts, "raw": F.transform(words, lambda w: F.xxhash64(w))})
+    dup_lines = (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long")
+    counts = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines"]
+    docs = computed_once(docs, [*counts[:-1], "words"], {"n_dup_lines": dup_lines, "grams": _runs(F.col("raw"), 3)})
     grams = F.col("grams")
     placed = F.sort_array(F.transform(grams, lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
     none = F.array().cast("array<struct<h:bigint,i:int>>")
     some = F.size(F.array_distinct(grams)) < F.size(grams)
-    docs = computed_once(docs, [*ids, "words", "lines"], {"placed": F.when(some, placed).otherwise(none)})
+    docs = computed_once(docs, [*counts, "words"], {"placed": F.when(some, placed).otherwise(none)})
     pairs = F.col("placed")
     twin = lambda x, other: F.coalesce(other["h"] == x["h"], F.lit(False))
     twins = F.filter(pairs, lambda x, i: twin(x, F.get(pairs, i - 1)) | twin(x, F.get(pairs, i + 1)))
-    places = F.sort_array(F.transform(twins, lambda x: x["i"]))
-    docs = computed_once(docs, [*ids, "words", "lines"], {"places": places})
+    docs = computed_once(docs, [*counts, "words"], {"places": F.sort_array(F.transform(twins, lambda x: x["i"]))})
     places = F.col("places")
     # Each window adds its three words, or as many as lie before the next one.
     covered = F.aggregate(
@@ -48,23 +80,14 @@ def shape(docs: DataFrame) -> DataFrame:
         F.lit(0),
         lambda a, x: a + x,
     )
-    stripped = lambda drop: F.length(text) - F.length(F.translate(text, drop, ""))
-    return docs.select(
-        "doc_id",
-        "row_key",
-        F.size("words").cast("long").alias("n_words"),
-        F.length(F.translate(text, " \t\n\x0b\x0c\r", "")).cast("long").alias("word_chars"),
-        stripped("#*$%&|<>").cast("long").alias("n_symbols"),
-        (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long").alias("n_dup_lines"),
-        covered.cast("long").alias("n_repeat_words"),
-    )
-
-
-def _features(docs: DataFrame, buckets: int, *keep: str) -> DataFrame:
-    """A row per word and pair of neighbouring words: its bucket, and the columns to keep."""
-    words = docs.select(*keep, space_words(F.col("text"), lower=True).alias("words"))
-    grams = F.concat(shingles(F.col("words"), 1), shingles(F.col("words"), 2))
-    return words.select(*keep, F.explode(grams).alias("gram")).select(*keep, F.pmod("gram", F.lit(buckets)).alias("bucket"))
+    counts.append("n_repeat_words")
+    docs = computed_once(docs, [*counts[:-1], "words"], {"n_repeat_words": covered.cast("long")})
+    # One constant of as many numbers as there are buckets, whatever the documents.
+    table = F.split(F.lit(",".join(map(str, points))), ",").cast("array<bigint>")
+    docs = _with_grams(docs, counts, len(points))
+    total = F.aggregate("grams", F.lit(0).cast("long"), lambda a, g: a + F.get(table, g))
+    size = F.size("grams")
+    return docs.select(*counts, F.when(size > 0, total / size / PARTS).alias("score"))
 
 
 def _with_target(docs: DataFrame, trusted: DataFrame) -> DataFrame:
@@ -87,7 +110,8 @@ def log_ratios(docs: DataFrame, trusted: DataFrame, buckets: int = BUCKETS) -> D
     ``trusted`` has a doc_id per trusted document; all of them make the target. The corpus is every row of ``docs``.
     """
     counted = (
-        _features(_with_target(docs, trusted), buckets, "is_target")
+        _with_grams(_prepared(_with_target(docs, trusted), ["is_target"]), ["is_target"], buckets)
+        .select("is_target", F.explode("grams").alias("bucket"))
         .groupBy("bucket")
         .agg(F.count(F.lit(1)).alias("corpus"), F.count("is_target").alias("target"))
     )
@@ -101,14 +125,10 @@ def log_ratios(docs: DataFrame, trusted: DataFrame, buckets: int = BUCKETS) -> D
     return counted.select("bucket", (weight if sums["all_target"] else F.lit(0.0)).alias("weight"))
 
 
-def scores(docs: DataFrame, weights: DataFrame, buckets: int = BUCKETS) -> DataFrame:
-    """(row_key, score): the mean weight of the n-grams of each document that has words."""
-    return (
-        _features(docs, buckets, "row_key")
-        .join(F.broadcast(weights.select("bucket", F.round(F.col("weight") * PARTS).cast("long").alias("points"))), "bucket")
-        .groupBy("row_key")
-        .agg((F.sum("points") / F.count(F.lit(1)) / PARTS).alias("score"))
-    )
+def points(weights: DataFrame) -> list[int]:
+    """The weight of each bucket in whole millionths; as many numbers as buckets."""
+    rounded = weights.select("bucket", F.round(F.col("weight") * PARTS).cast("long").alias("points"))
+    return [row.points for row in sorted(rounded.collect())]
 
 
 def quality(
@@ -118,20 +138,18 @@ def quality(
     buckets: int = BUCKETS,
     min_words: int = MIN_WORDS,
 ) -> DataFrame:
-    """One row per document: doc_id, n_words, the four counts of ``shape``, base_failed, score, kept.
+    """One row per document: doc_id, n_words, the four counts of ``measured``, base_failed, score, kept.
 
     ``base_failed``: fewer than ``min_words`` words, or more than half of them in repeated three-word windows.
     Other documents are kept when their score reaches ``threshold``. NULL and empty texts have no words, fail
     the base rules and have a NULL score. Rows with the same id and text get equal answers. With no trusted
     documents all scores are 0.
     """
-    docs = keyed(docs)
-    weights = log_ratios(docs, trusted, buckets)
+    docs = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    weights = points(log_ratios(docs, trusted, buckets))
     failed = (F.col("n_words") < min_words) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
     return (
-        shape(docs)
-        .join(scores(docs, weights, buckets), "row_key", "left")
+        measured(docs, weights)
         .withColumn("base_failed", failed)
         .withColumn("kept", ~F.col("base_failed") & F.coalesce(F.col("score") >= threshold, F.lit(False)))
-        .drop("row_key")
     )

@@ -162,6 +162,14 @@ def test_quality_scores(spark):
     assert {r.score for r in flat} == {0.0}
 
 
+def test_quality_of_a_very_long_text(spark):
+    text = " ".join(f"w{i % 5000}" for i in range(30_000))
+    docs = spark.createDataFrame([(1, text), (2, "other words")], "doc_id long, text string")
+    out = {r.doc_id: r for r in quality.quality(docs, docs.filter("doc_id = 1").select("doc_id")).collect()}
+    assert (out[1].n_words, out[1].n_repeat_words, out[1].base_failed) == (30_000, 30_000, True)
+    assert out[1].score > 0 > out[2].score
+
+
 @pytest.mark.parametrize("many", [120_000, 210_000])
 def test_quality_counts_every_trusted_document(spark, many):
     """Where all documents with an id are trusted, target and corpus differ by the rows without an id only."""
