@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from talkmart.functions import timefn as D
 from talkmart.functions.numbers import or_default, parse_count, token
-from talkmart.operators import selection
+from talkmart.operators import aliases, selection
 from talkmart.plans.queries import shapes as S
 from talkmart.plans.queries.registry import query, sql_bucket, sql_epoch, table
 
@@ -171,6 +171,20 @@ def _(spark, folder):
     return selection.tag_by_alias(parts, "p_name", _WORDS, "label")
 
 
+@query(
+    "alias_table_tag",
+    """SELECT DISTINCT doc_id, p_brand FROM documents JOIN
+      (SELECT DISTINCT p_brand, trim(unnest(string_split(p_name, ' '))) AS alias FROM part) a
+      ON contains(text, a.alias) WHERE a.alias <> ''""",
+)
+def _(spark, folder):
+    words = F.explode(F.split("p_name", " "))
+    names = table(spark, folder, "part").select(F.col("p_brand").alias("label"), words.alias("alias"))
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    counts = aliases.pair_counts(docs, "text", aliases.clean_aliases(names))
+    return aliases.tag_by_alias_table(docs, "text", names, "p_brand", counts).select("doc_id", "p_brand").distinct()
+
+
 @query(
     "allowed_sources",
     "SELECT doc_id, source FROM documents WHERE source IN ('src1', 'src4', 'src9')",
