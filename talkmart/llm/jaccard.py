@@ -46,8 +46,9 @@ STEPS = 2
 BATCH_ROWS = 1000
 #: Tokens that a task holds in lists before it counts them or hands them on.
 _HELD = 1 << 19
+#: Bytes of text whose words are cut together.
+_CUT_BYTES = 1 << 22
 
-_LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 _MULTIPLIER, _MIX = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
 _SIGNATURES = "doc_id long, row_key string, class long, n long, cells binary"
 _PREFIXES = "class long, n int, tokens array<long>"
@@ -55,41 +56,59 @@ _POSTINGS = "token long, class long, n int, place int"
 _SETS = "class long, n int, grams array<long>"
 
 
-class _Hashes(dict):
-    """Hash of a word, worked out at its first use; emptied when it has grown large."""
+def _windows(values: np.ndarray, width: int) -> np.ndarray:
+    """A token for each ``width`` neighbouring word hashes."""
+    mixed = np.full(max(len(values) - width + 1, 0), width, np.uint64)
+    for i in range(width if len(mixed) else 0):
+        mixed *= _MULTIPLIER
+        mixed += values[i : len(mixed) + i]
+        mixed ^= mixed >> np.uint64(29)
+    mixed *= _MIX
+    return mixed ^ (mixed >> np.uint64(32))
 
-    def __missing__(self, word: bytes) -> int:
-        if len(self) > 150_000:
-            self.clear()
-        value = self[word] = xxhash.xxh64_intdigest(word)
-        return value
 
+def _digests(strings: pa.Array) -> np.ndarray:
+    values = strings.cast(pa.binary()).to_numpy(zero_copy_only=False)
+    return np.fromiter(map(xxhash.xxh64_intdigest, values), np.uint64, len(values))
 
-def _words(text: str | None) -> list[bytes]:
-    # Without an argument, bytes.split cuts at exactly the six ASCII white-space characters.
-    return (text or "").encode("utf-8", "surrogatepass").translate(_LOWER).split()
 
+class _Cut:
+    """Some texts whose words were cut and hashed together: the class of each and, where wanted, its tokens."""
 
-def _grams(words: list[bytes], hashes: _Hashes) -> np.ndarray:
-    """Distinct tokens of a document in ascending order."""
-    if not words:
-        return np.empty(0, np.uint64)
-    values = np.fromiter(map(hashes.__getitem__, words), np.uint64, len(words))
-    width = min(WIDTH, len(words))
-    mixed = np.full(len(words) - width + 1, width, np.uint64)
-    for i in range(width):
-        mixed = mixed * _MULTIPLIER + values[i : len(values) - width + 1 + i]
-        mixed ^= mixed >> np.uint64(29)
-    mixed *= _MIX
-    return np.unique(mixed ^ (mixed >> np.uint64(32)))
+    def __init__(self, texts: pa.Array):
+        # Arrow cuts at exactly the six ASCII white-space characters, with empty words at the ends of a text.
+        lists = pa.compute.ascii_split_whitespace(pa.compute.ascii_lower(pa.compute.fill_null(texts, "")))
+        words, offsets = lists.flatten(), lists.offsets.to_numpy()
+        filled = pa.compute.not_equal(words, "")
+        before = np.concatenate([[0], np.cumsum(filled.to_numpy(zero_copy_only=False))])
+        self._ends, words = before[offsets - offsets[0]], words.filter(filled)
+        coded = words.dictionary_encode()
+        self._hashes = _digests(coded.dictionary)[coded.indices.to_numpy()]
+        self._tokens = _windows(self._hashes, WIDTH)
+        joined = pa.compute.binary_join(pa.ListArray.from_arrays(pa.array(self._ends, pa.int32()), words), " ")
+        self.classes = _digests(joined).tolist()
 
+    def grams(self, row: int) -> np.ndarray:
+        """Distinct tokens of a text in ascending order."""
+        start, end = self._ends[row], self._ends[row + 1]
+        if end - start < WIDTH:
+            return _windows(self._hashes[start:end], int(end - start)) if end > start else np.empty(0, np.uint64)
+        tokens = np.sort(self._tokens[start : end - WIDTH + 1])
+        return tokens[np.concatenate(([True], tokens[1:] != tokens[:-1]))]
 
-def _cell(grams: np.ndarray) -> np.ndarray:
-    return (grams & np.uint64(CELLS - 1)).astype(np.int64)
 
+def _cuts(texts: pa.Array) -> Iterator[_Cut]:
+    """A batch's texts in runs of some million characters, or one text that is longer."""
+    sizes = pa.compute.binary_length(texts).fill_null(0).to_numpy(zero_copy_only=False)
+    run = (np.cumsum(sizes.astype(np.int64)) - sizes) // _CUT_BYTES
+    starts = [0, *(np.flatnonzero(np.diff(run)) + 1).tolist(), len(texts)]
+    for start, end in zip(starts, starts[1:]):
+        if end > start:
+            yield _Cut(texts.slice(start, end - start))
 
-def _class(words: list[bytes]) -> int:
-    return xxhash.xxh64_intdigest(b" ".join(words))
+
+def _cell(grams: np.ndarray) -> np.ndarray:
+    return (grams & np.uint64(CELLS - 1)).astype(np.int64)
 
 
 def _signed(values) -> np.ndarray:
@@ -102,7 +121,7 @@ def _prefix_size(n: int) -> int:
 
 def _signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """A row per document, and at the end of the task one with its counts per cell of the sketch."""
-    hashes, cells, held = _Hashes(), np.zeros(CELLS, np.uint32), []
+    cells, held = np.zeros(CELLS, np.uint32), []
 
     def count() -> None:
         if held:
@@ -115,19 +134,18 @@ def _signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     )
     for batch in batches:
         classes, sizes, seen = [], [], {}
-        for text in batch["text"]:
-            words = _words(text.as_py())
-            name = _class(words)
-            if name not in seen:  # copies in a batch count once
-                grams = _grams(words, hashes)
-                seen[name] = len(grams)
-                held.append(_cell(grams).astype(np.int32))
-                waiting += len(grams)
-                if waiting > _HELD:
-                    count()
-                    waiting = 0
-            classes.append(name)
-            sizes.append(seen[name])
+        for cut in _cuts(batch["text"]):
+            for row, name in enumerate(cut.classes):
+                if name not in seen:  # copies in a batch count once
+                    grams = cut.grams(row)
+                    seen[name] = len(grams)
+                    held.append(_cell(grams).astype(np.int32))
+                    waiting += len(grams)
+                    if waiting > _HELD:
+                        count()
+                        waiting = 0
+                classes.append(name)
+                sizes.append(seen[name])
         count()
         own = [pa.array(_signed(classes)), pa.array(sizes, pa.int64()), pa.nulls(len(sizes), pa.binary())]
         columns = [batch["doc_id"], batch["row_key"].cast(pa.string()), *own]
@@ -169,16 +187,9 @@ def _prefixes(levels: np.ndarray, crowded: np.ndarray | None = None, only: np.nd
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = _Hashes()
         for batch in batches:
-            tokens, classes, sizes, seen = [], [], [], set()
-            for row in _chosen(batch, only):
-                words = _words(batch["text"][row].as_py())
-                name = _class(words)
-                if not words or name in seen:
-                    continue
-                seen.add(name)
-                grams = _grams(words, hashes)
+            tokens, classes, sizes = [], [], []
+            for name, grams in _distinct(batch, only):
                 rank = levels[_cell(grams)]
                 if crowded is not None:
                     rank = rank + (_passes(crowded, grams.view(np.int64), TOKEN_BITS) << 7)
@@ -207,12 +218,22 @@ def _listed(classes: list[int], sizes: list[int], arrays: list[np.ndarray], name
     return batch
 
 
-def _chosen(batch: pa.RecordBatch, only: np.ndarray | None) -> list[int]:
-    """The rows whose doc_id passes the filter; a NULL counts as -1."""
-    if only is None:
-        return list(range(batch.num_rows))
-    ids = batch["doc_id"].fill_null(-1).to_numpy(zero_copy_only=False).astype(np.int64)
-    return np.flatnonzero(_passes(only, ids, FILTER_BITS)).tolist()
+def _distinct(batch: pa.RecordBatch, only: np.ndarray | None) -> Iterator[tuple[int, np.ndarray]]:
+    """The classes of a batch that have words, each once, with their tokens.
+
+    With ``only``, just those of rows whose doc_id passes that filter; a NULL counts as -1.
+    """
+    if only is not None:
+        ids = batch["doc_id"].fill_null(-1).to_numpy(zero_copy_only=False).astype(np.int64)
+        batch = batch.filter(pa.array(_passes(only, ids, FILTER_BITS) == 1))
+    seen = set()
+    for cut in _cuts(batch["text"]):
+        for row, name in enumerate(cut.classes):
+            if name not in seen:
+                seen.add(name)
+                grams = cut.grams(row)
+                if len(grams):
+                    yield name, grams
 
 
 def _holding(crowded: np.ndarray, wanted: bool):
@@ -269,19 +290,14 @@ def _sets(bits: np.ndarray):
     """The whole sets of the documents whose ids pass the filter."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = _Hashes()
         for batch in batches:
-            classes, sizes, grams, seen = [], [], [], set()
-            for row in _chosen(batch, bits):
-                words = _words(batch["text"][row].as_py())
-                name = _class(words)
-                if words and name not in seen:
-                    seen.add(name)
-                    classes.append(name)
-                    grams.append(_grams(words, hashes))
-                    sizes.append(len(grams[-1]))
-                    if _full(grams):
-                        yield _listed(classes, sizes, grams, "grams")
+            classes, sizes, grams = [], [], []
+            for name, own in _distinct(batch, bits):
+                classes.append(name)
+                grams.append(own)
+                sizes.append(len(own))
+                if _full(grams):
+                    yield _listed(classes, sizes, grams, "grams")
             if grams:
                 yield _listed(classes, sizes, grams, "grams")
 
