@@ -168,6 +168,25 @@ def test_many_posts_without_comment_do_not_meet_in_one_partition(spark):
         spark.conf.set("spark.sql.adaptive.enabled", adaptive)
 
 
+def test_keyword_facts_join_packed_keys(spark):
+    """Keys that only look alike stay apart, repeated and NULL ones count as in a plain join, and 16 bytes are moved for an md5."""
+    hexed = "00112233445566778899aabbccddee0"
+    keys = [hexed + "f", (hexed + "f").upper(), hexed, hexed + "f\n", hexed + "f" + "0" * 34, "k" * 16, "", "ä", None, hexed + "f"]
+    named = spark.createDataFrame(list(enumerate(keys)), "n int, k string")
+    sentences = named.select(F.col("k").alias("post_uuid"), F.col("k").alias("comment_uuid"), F.col("k").alias("sentence_uuid"), F.lit("comment").alias("type"), F.col("n").cast("string").alias("sentence"))
+    own = sentences.withColumn("comment_uuid", F.lit(None).cast("string"))
+    scored = named.select(F.col("k").alias("sentence_uuid"), F.lit(0.5).alias("sentiment_score"), F.lit("c").alias("category"), F.lit("k").alias("keyword"))
+    posts = named.select(F.col("k").alias("post_uuid"), F.concat(F.lit("p"), "n").alias("post_id"), F.lit("Kona").alias("car_name"), F.lit("clien").alias("source"))
+    comments = named.select(F.col("k").alias("comment_uuid"), F.concat(F.lit("c"), "n").alias("comment_id"))
+    rows = facts.keyword_facts(sentences.unionByName(own), scored, posts, comments, "2025-01-15")
+    got = sorted((r.sentence, r.post_id, r.comment_id or "") for r in rows.collect())
+    twins = [[j for j, other in enumerate(keys) if other == key and key is not None] for key in keys]
+    want = [(str(i), f"p{p}", c) for i, same in enumerate(twins) for _ in same for p in same for c in [*(f"c{j}" for j in same), ""]]
+    assert got == sorted(want)
+    plan = plan_of(rows)
+    assert "unhex(" in plan and "post:" not in plan
+
+
 def test_a_hot_post_is_split_over_tasks(spark):
     """A third of all comments on one post: the join splits them, and the result is whole."""
     hot = spark.range(120_000).select(F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id") % 4000).alias("n"), "id")
