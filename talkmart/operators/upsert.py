@@ -12,11 +12,29 @@ from talkmart.functions.timefn import SEOUL, to_local_date
 
 _SOURCE = "_src_"
 
+#: Bytes of values up to which a source may be broadcast.
+SMALL_SOURCE_BYTES = 64 * 1024 * 1024
 
 #: Columns of a stored dimension that say which load a row came from.
 LOADED = ("load_day", "load_car")
 
 
+def measured_bytes(df: DataFrame) -> int:
+    """Size of the values in ``df``, by reading them: text bytes, 16 per other value."""
+    sizes = [
+        F.coalesce(F.octet_length(f.name), F.lit(0)) if isinstance(f.dataType, T.StringType) else F.lit(16)
+        for f in df.schema.fields
+    ]
+    row = sizes[0]
+    for size in sizes[1:]:
+        row = row + size
+    return df.agg(F.coalesce(F.sum(row.cast("bigint")), F.lit(0)).alias("bytes")).first()["bytes"]
+
+
+def is_small(df: DataFrame, limit: int | None = None) -> bool:
+    return measured_bytes(df) <= (SMALL_SOURCE_BYTES if limit is None else limit)
+
+
 def latest_per_key(df: DataFrame, keys: Sequence[str], newest: str | Sequence[str] = "create_timestamp") -> DataFrame:
     """One row per key: the newest by one or more columns, ties broken by all other columns.
 
@@ -86,7 +104,7 @@ def merge(
     of any loads in any order then end in the same table.
 
     ``source`` must hold each key once. ``small_source=True`` is for a source
-    whose size was checked (see ``plans.load.is_small``): it is broadcast and the
+    whose size was checked (see ``is_small``): it is broadcast and the
     target does not move. Otherwise one full outer join shuffles both sides.
     """
     columns = target.columns

@@ -14,6 +14,7 @@ from pyspark.sql import types as T
 
 from talkmart.operators import facts, upsert, views
 from talkmart.operators.selection import check_parameters
+from talkmart.operators.upsert import is_small, measured_bytes  # noqa: F401
 from talkmart.plans.text_job import days_between, scope
 from talkmart.schemas import MART, STAGING, STAGING_DIRS, VIEWS, staged
 from talkmart.session import sized_shuffles, stored_bytes
@@ -29,27 +30,10 @@ from talkmart.sources.writers import (
     write_snapshot,
 )
 
-SMALL_SOURCE_BYTES = 64 * 1024 * 1024
 #: What a dimension's rows are merged by.
 DIMENSION_KEYS = {"tb_posts": ("post_id",), "tb_comments": ("comment_id",)}
 
 
-def measured_bytes(df: DataFrame) -> int:
-    """Size of the values in ``df``, by reading them: text bytes, 16 per other value."""
-    sizes = [
-        F.coalesce(F.octet_length(f.name), F.lit(0)) if isinstance(f.dataType, T.StringType) else F.lit(16)
-        for f in df.schema.fields
-    ]
-    row = sizes[0]
-    for size in sizes[1:]:
-        row = row + size
-    return df.agg(F.coalesce(F.sum(row.cast("bigint")), F.lit(0)).alias("bytes")).first()["bytes"]
-
-
-def is_small(df: DataFrame, limit: int = SMALL_SOURCE_BYTES) -> bool:
-    return measured_bytes(df) <= limit
-
-
 def read_staging_days(
     spark: SparkSession, base: str, days: Sequence[str], cars: Sequence[str] | None = None
 ) -> dict[str, DataFrame]:

@@ -82,9 +82,9 @@ def _(spark, folder):
 
 @query("upsert_posts_small", _MERGED_POSTS)
 def _(spark, folder):
-    """The same merge with the source broadcast."""
-    source = upsert.posts_to_load(_line_versions(spark, folder))
-    return upsert.merge_posts(_posts_before(spark, folder), source, small_source=True)
+    """The same merge with the source broadcast, while it is small: written first, its size is known."""
+    source = stored(upsert.posts_to_load(_line_versions(spark, folder)), "load")
+    return upsert.merge_posts(_posts_before(spark, folder), source, small_source=upsert.is_small(source))
 
 
 cte(
@@ -123,8 +123,10 @@ def _(spark, folder):
     """Loads of three cars one after another, the latest first: none is lost and no older row comes back."""
     loads = _loads(spark, folder)
     table_ = loads[0]
-    for small, load in zip((False, True), loads[1:], strict=True):
-        table_ = upsert.merge_posts(table_, load, small_source=small, order=upsert.LOADED)
+    for may_be_small, load in zip((False, True), loads[1:], strict=True):
+        if may_be_small:  # written first, its size is known
+            load = stored(load, "load")
+        table_ = upsert.merge_posts(table_, load, small_source=may_be_small and upsert.is_small(load), order=upsert.LOADED)
     return table_
 
 
