@@ -164,8 +164,15 @@ def read_keyed(spark: SparkSession, base: str, schema: T.StructType, keys: Seque
     return _current(spark, base, schema, keys, manifest(spark, base, version))
 
 
-def _fingerprint(columns: Sequence[str]) -> Column:
-    return F.sha2(F.to_json(F.struct(*columns), {"ignoreNullFields": "false"}), 256)
+def _unlike(after: DataFrame, before: DataFrame, keys: Sequence[str], schema: T.StructType) -> DataFrame:
+    """Rows of ``after`` that ``before`` does not have. Fractions are compared as texts: 0.0 is not -0.0."""
+    same = F.lit(True)
+    for field in schema.fields:
+        new, old = F.col(field.name), F.col(f"_old_{field.name}")
+        if isinstance(field.dataType, T.FractionalType):
+            new, old = new.cast("string"), old.cast("string")
+        same = same & (new == old if field.name in keys else new.eqNullSafe(old))
+    return after.join(before.select(*(F.col(c).alias(f"_old_{c}") for c in schema.names)), same, "left_anti")
 
 
 def upsert_keyed(
@@ -200,9 +207,9 @@ def upsert_keyed(
     wanted = source.select(*keys)
     stored = _current(spark, base, schema, keys, own)
     matched = stored.join(F.broadcast(wanted) if small_source else wanted, list(keys), "left_semi").select(*columns)
-    before = matched.select(*keys, _fingerprint(columns).alias("_mark"))
-    after = merger(matched, source).select(*columns, _fingerprint(columns).alias("_mark"))
-    changed = after.join(before, [*keys, "_mark"], "left_anti")
+    changed = merger(matched, source).select(*columns)
+    if own:
+        changed = _unlike(changed, matched, keys, schema)
     folder = _folder(version)
     new = _write(changed.select(*columns, unit.alias("unit")), base, folder, {p.unit for p in parts})
     known = version_ids(spark, base)
