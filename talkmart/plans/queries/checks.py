@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from talkmart.operators import facts, quality
 from talkmart.plans.queries import shapes as S
-from talkmart.plans.queries.registry import query, table, with_ctes
+from talkmart.plans.queries.registry import query, stored, table, with_ctes
 from talkmart.schemas import MART, RAW
 
 _COMMENTS = MART["tb_comments_metric"]
@@ -35,8 +35,9 @@ def _rules() -> str:
 def _(spark, folder):
     """All declared rules on the comment metrics; the dimension holds the liked comments only."""
     staged = S.staged_comments(spark, folder)
-    posts = S.staged_posts(spark, folder)
-    metrics = facts.comment_metrics(S.dated(staged), posts, day_column="created_on")
+    posts = stored(S.staged_posts(spark, folder).select("post_uuid", "post_id", "car_name", "source"), "posts")
+    # Each rule that needs a pass of its own reads the metrics; written once, their join runs once.
+    metrics = stored(facts.comment_metrics(S.dated(staged), posts, day_column="created_on"), "metrics")
     liked = staged.filter(F.col("like_cnt").isNotNull()).join(posts.select("post_uuid", "post_id"), "post_uuid")
     dims = {
         "tb_comments": liked.select("post_id", "comment_id"),

@@ -5,10 +5,12 @@ from __future__ import annotations
 from collections import Counter
 from datetime import date, datetime
 
+import pytest
 from pyspark.sql import functions as F
 
 from talkmart.operators import facts, upsert, views
 from talkmart.plans.queries import QUERIES
+from talkmart.sources import versions
 from tests.conftest import plan_of
 
 POSTS = "post_uuid string, post_id string, title string, author string, article string, create_timestamp bigint, like_cnt bigint, dislike_cnt bigint, view_cnt bigint, comment_cnt bigint, car_name string, source string"
@@ -48,26 +50,46 @@ def test_merge_posts(spark):
     assert "FullOuter" not in plan and plan.count("BroadcastHashJoin") >= 2
 
 
-def test_a_load_that_is_not_small_is_not_broadcast(spark, tmp_path, monkeypatch):
-    orders, lines = "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, o_orderdate timestamp, o_orderpriority string", "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_returnflag string, l_shipdate timestamp"
+@pytest.fixture
+def folder(spark, tmp_path):
+    orders, lines = "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, o_orderdate timestamp, o_orderpriority string", "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_returnflag string, l_shipdate timestamp, l_discount double, l_quantity double"
     day = datetime(1996, 1, 1)
     tables = {
         "orders": spark.createDataFrame([(i, i % 2, "O", 10.0, day, "1") for i in range(6)], orders),
-        "lineitem": spark.createDataFrame([(i % 8, i, i, i, "RNA"[i % 3], day) for i in range(20)], lines),
+        "lineitem": spark.createDataFrame([(i % 8, i, i, i, "RNA"[i % 3], day, 0.1, 5.0) for i in range(20)], lines),
         "customer": spark.createDataFrame([(i, f"c{i}", "seg", 1) for i in range(2)], "c_custkey long, c_name string, c_mktsegment string, c_nationkey long"),
         "nation": spark.createDataFrame([(1, "N", 1)], "n_nationkey long, n_name string, n_regionkey long"),
         "region": spark.createDataFrame([(1, "R")], "r_regionkey long, r_name string"),
     }
     for name, df in tables.items():
         df.write.parquet(f"{tmp_path}/{name}.parquet")
-    small = {name: QUERIES[name](spark, str(tmp_path)) for name in ("upsert_posts_small", "upsert_late_days")}
+    return str(tmp_path)
+
+
+def test_a_load_that_is_not_small_is_not_broadcast(spark, folder, monkeypatch):
+    small = {name: QUERIES[name](spark, folder) for name in ("upsert_posts_small", "upsert_late_days")}
     monkeypatch.setattr(upsert, "SMALL_SOURCE_BYTES", 10)
     for name, joins in (("upsert_posts_small", 1), ("upsert_late_days", 2)):
-        large = QUERIES[name](spark, str(tmp_path))
+        large = QUERIES[name](spark, folder)
         assert plan_of(large).count("FullOuter") == joins and "FullOuter" not in plan_of(small["upsert_posts_small"])
         assert Counter(large.collect()) == Counter(small[name].collect()) != Counter()
 
 
+@pytest.mark.parametrize("name, scans", [("attention_changes", 0), ("constraint_report", 1)])
+def test_metric_facts_are_made_once(spark, folder, name, scans):
+    """What several passes read is stored: the plan that is left does not make the facts from the line items again."""
+    plan = plan_of(QUERIES[name](spark, folder))
+    assert plan.count("FileScan parquet [l_orderkey") == scans
+
+
+def test_a_load_into_versions_is_made_once(spark, folder, monkeypatch):
+    plans, upsert_keyed = [], versions.upsert_keyed
+    monkeypatch.setattr(versions, "upsert_keyed", lambda load, *more, **options: plans.append(plan_of(load)) or upsert_keyed(load, *more, **options))
+    plain, stored = QUERIES["upsert_late_days"](spark, folder), QUERIES["upsert_versions"](spark, folder)
+    assert Counter(stored.select(*plain.columns).collect()) == Counter(plain.collect()) != Counter()
+    assert len(plans) == 3 and not any("Window" in plan for plan in plans)
+
+
 def test_merge_comments_never_updates_the_post(spark):
     schema = "post_id string, comment_id string, author string, content string, create_date date"
     day = date(2025, 1, 1)
