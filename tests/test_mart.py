@@ -58,8 +58,8 @@ def folder(spark, tmp_path):
         "orders": spark.createDataFrame([(i, i % 2, "O", 10.0, day, "1") for i in range(6)], orders),
         "lineitem": spark.createDataFrame([(i % 8, i, i, i, "RNA"[i % 3], day, 0.1, 5.0) for i in range(20)], lines),
         "customer": spark.createDataFrame([(i, f"c{i}", "seg", 1) for i in range(2)], "c_custkey long, c_name string, c_mktsegment string, c_nationkey long"),
-        "nation": spark.createDataFrame([(1, "N", 1)], "n_nationkey long, n_name string, n_regionkey long"),
-        "region": spark.createDataFrame([(1, "R")], "r_regionkey long, r_name string"),
+        "nation": spark.createDataFrame([(1, "N", 1)], "n_nationkey int, n_name string, n_regionkey int"),
+        "region": spark.createDataFrame([(1, "R")], "r_regionkey int, r_name string"),
     }
     for name, df in tables.items():
         df.write.parquet(f"{tmp_path}/{name}.parquet")
