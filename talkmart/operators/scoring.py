@@ -195,24 +195,27 @@ def parse_replies(answered: DataFrame, strict: bool = True, carry: Sequence[str]
     rows say why a sentence failed: the scorer's error, or what the reply lacks.
     """
     with_error = "error" in answered.columns
-    lines = reply_lines(F.col("reply"))
-    rows = answered.withColumn("_lines", lines).select(
+    kept = ["file_no", "batch_no", "items", *(["error"] if with_error else [])]
+    batches = computed_once(answered, kept, {"_all": reply_lines(F.col("reply"))})
+    # All lines of a batch are looked at once, not again for each of its sentences.
+    broken = _batch_broken(F.col("_all"), F.size("items")) if strict else F.lit(False)
+    batches = computed_once(batches, [*kept, "_all"], {"_broken": broken})
+    rows = batches.select(
         "file_no",
         "batch_no",
-        F.col("_lines").alias("_all"),
-        F.size("items").alias("_asked"),
+        "_all",
+        "_broken",
         *([F.col("error").alias("_error")] if with_error else []),
         F.posexplode("items").alias("pos", "item"),
     )
     score, category, keyword = parse_line(F.try_element_at("_all", F.col("pos") + 1))
     read = computed_once(
         rows,
-        ["file_no", "batch_no", "pos", "item", *(["_error"] if with_error else [])],
+        ["file_no", "batch_no", "pos", "item", "_broken", *(["_error"] if with_error else [])],
         {
             "sentiment_score": score,
             "category": category,
             "keyword": keyword,
-            "_broken": _batch_broken(F.col("_all"), F.col("_asked")) if strict else F.lit(False),
             "_answered": F.try_element_at("_all", F.col("pos") + 1).isNotNull(),
         },
     )

@@ -174,3 +174,10 @@ def test_join_by_position(spark):
     scores = rows.select("file_no", "batch_no", "pos", F.col("sentence_uuid").alias("again"))
     joined = scoring.attach_by_position(rows, scores)
     assert joined.count() == 30 and joined.filter("again <> sentence_uuid").count() == 0
+
+
+def test_a_batch_is_judged_before_its_sentences_are_taken_apart(spark):
+    rows = answered(spark, 3, "1. 감성: [0.5], 주제: [a], 부주제: [b]")
+    plan = scoring.parse_replies(rows)._jdf.queryExecution().optimizedPlan().toString()
+    # The plan is read upwards: what finds bad lines stands below the explode, so it runs once a batch.
+    assert plan.count("exists(") >= 1 and plan.index("posexplode(") < plan.index("exists(")
