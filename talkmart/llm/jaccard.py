@@ -7,9 +7,14 @@ prefixes, ties by hash; its prefixes make the candidates, cut by length and posi
 candidate must share prefix tokens there too before its sets are compared as a whole.
 
 Groups of copies never become all their pairs. Texts with equal words are one class from the start. Then each
-prefix token links its classes to one leader; classes found alike become one component, and only tokens that
-still join different components are looked at again, in the end with every pair across components. So each pair
-of classes that shares a prefix token either lies in one component or was compared.
+prefix token offers its classes one leader, another for each token, and a class is compared with the nearest few;
+classes found alike become one component, and only tokens that still join different components are looked at again,
+with every pair across components. So each pair of classes that shares a prefix token either lies in one component,
+was compared or is too far apart by its marks.
+
+A mark has a bit per slot of the hash range: whether an odd number of a set's tokens fall there. Two marks differ in
+as many bits as the sets have tokens that are not common, or fewer, so marks that differ more rule a pair out and
+lose none. A posting has a mark of 512 bits; a class has one that grows with its set, for the pairs that are left.
 """
 
 from __future__ import annotations
@@ -37,10 +42,10 @@ CELLS = 1 << 20
 TOKEN_BITS, FILTER_BITS = 33_554_393, 4_194_301
 #: Times that a token stands in the prefixes of several classes from which it counts as crowded and comes last.
 CROWD = 12
-#: Rounds with leaders before the pairs across components.
-LEADER_ROUNDS = 2
-#: Star steps between rounds.
-STEPS = 2
+#: Leaders that a class is compared with before the pairs across components.
+LEADERS = 3
+#: Bits of a posting's mark, and of the largest mark of a class (both powers of two).
+MARK_BITS, MOST_BITS = 512, 32_768
 
 #: Rows of a batch that a Python task gets at once.
 BATCH_ROWS = 1000
@@ -51,8 +56,10 @@ _CUT_BYTES = 1 << 22
 
 _MULTIPLIER, _MIX = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
 _SIGNATURES = "doc_id long, row_key string, class long, n long, cells binary"
-_PREFIXES = "class long, n int, tokens array<long>"
-_POSTINGS = "token long, class long, n int, place int"
+_MARKS = [f"mark_{i}" for i in range(MARK_BITS // 64)]
+_PREFIXES = "class long, n int, tokens array<long>, bits binary"
+_POSTINGS = "token long, class long, n int, place int, " + ", ".join(f"{m} long" for m in _MARKS)
+_OWN = ("class", "n", "place", *_MARKS)
 _SETS = "class long, n int, grams array<long>"
 
 
@@ -180,6 +187,19 @@ def _levels(signatures: DataFrame) -> np.ndarray:
     return np.floor(np.log2(1 + above)).astype(np.uint8)
 
 
+def _mark(grams: np.ndarray) -> bytes:
+    """A bit per slot: whether it has an odd number of the tokens. Two to four slots for each token, within the bounds."""
+    size = min(MOST_BITS, max(MARK_BITS, 1 << (2 * len(grams) - 1).bit_length()))
+    slots = (grams >> np.uint64(24)) & np.uint64(size - 1)
+    odd = np.bincount(slots.astype(np.int64), minlength=size) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").tobytes()
+
+
+def _folded(mark: bytes, size: int) -> np.ndarray:
+    """The mark of the same set with ``size`` bytes, a power of two up to its own size."""
+    return np.bitwise_xor.reduce(np.frombuffer(mark, np.uint64).reshape(-1, size // 8), axis=0)
+
+
 def _prefixes(levels: np.ndarray, crowded: np.ndarray | None = None, only: np.ndarray | None = None):
     """Each class with its prefix under the first order; copies within a batch once.
 
@@ -188,7 +208,7 @@ def _prefixes(levels: np.ndarray, crowded: np.ndarray | None = None, only: np.nd
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            tokens, classes, sizes = [], [], []
+            tokens, classes, sizes, marks = [], [], [], []
             for name, grams in _distinct(batch, only):
                 rank = levels[_cell(grams)]
                 if crowded is not None:
@@ -197,10 +217,11 @@ def _prefixes(levels: np.ndarray, crowded: np.ndarray | None = None, only: np.nd
                 tokens.append(grams[order])
                 classes.append(name)
                 sizes.append(len(grams))
+                marks.append(_mark(grams))
                 if _full(tokens):
-                    yield _listed(classes, sizes, tokens, "tokens")
+                    yield _listed(classes, sizes, tokens, "tokens", marks)
             if tokens:
-                yield _listed(classes, sizes, tokens, "tokens")
+                yield _listed(classes, sizes, tokens, "tokens", marks)
 
     return run
 
@@ -209,11 +230,15 @@ def _full(arrays: list[np.ndarray]) -> bool:
     return len(arrays) % 64 == 0 and sum(map(len, arrays)) > _HELD
 
 
-def _listed(classes: list[int], sizes: list[int], arrays: list[np.ndarray], name: str) -> pa.RecordBatch:
+def _listed(
+    classes: list[int], sizes: list[int], arrays: list[np.ndarray], name: str, marks: list[bytes] | None = None
+) -> pa.RecordBatch:
     """A batch of what the lists hold; they are empty afterwards."""
-    columns = [pa.array(_signed(classes)), pa.array(sizes, pa.int32()), _lists(arrays)]
-    batch = pa.RecordBatch.from_arrays(columns, names=["class", "n", name])
-    for done in (classes, sizes, arrays):
+    columns = {"class": pa.array(_signed(classes)), "n": pa.array(sizes, pa.int32()), name: _lists(arrays)}
+    if marks is not None:
+        columns["bits"] = pa.array(marks, pa.binary())
+    batch = pa.RecordBatch.from_pydict(columns)
+    for done in (classes, sizes, arrays, marks or []):
         done.clear()
     return batch
 
@@ -255,7 +280,7 @@ def _lists(arrays: list[np.ndarray]) -> pa.Array:
 
 
 def _postings(bits: np.ndarray):
-    """A row per prefix token that passes the filter of shared tokens, with its place in the prefix."""
+    """A row per prefix token that passes the filter of shared tokens, with its place in the prefix and its set's mark."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -265,7 +290,9 @@ def _postings(bits: np.ndarray):
             place = np.arange(len(tokens)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
             kept = np.flatnonzero(_passes(bits, tokens, TOKEN_BITS))
             columns = [tokens[kept], batch["class"].to_numpy()[row[kept]], batch["n"].to_numpy()[row[kept]], place[kept].astype(np.int32)]
-            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["token", "class", "n", "place"])
+            marks = np.array([_folded(mark, MARK_BITS // 8) for mark in batch["bits"].to_pylist()], np.uint64).reshape(-1, len(_MARKS))
+            columns += list(marks.view(np.int64)[row[kept]].T)
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["token", *_OWN])
 
     return run
 
@@ -323,54 +350,75 @@ def _may_be_alike() -> Column:
     return _lengths_fit() & _alike(F.least(left, right), F.col("n"), F.col("other_n"))
 
 
-def _mixed(postings: DataFrame, round_no: int) -> DataFrame:
-    """The postings of tokens that still join different components, with the token's leader as ``lead``."""
-    order = F.struct(F.xxhash64("class", F.lit(round_no)).alias("rank"), "class", "n", "place", "component")
-    tokens = postings.groupBy("token").agg(
-        F.min(order).alias("lead"), F.min("component").alias("low"), F.max("component").alias("high")
-    )
-    return postings.join(tokens.filter("low <> high").select("token", "lead"), "token")
+def _marks_differ() -> Column:
+    """In how many bits the marks of two postings differ: at most as many as there are tokens in one of the sets only."""
+    bits = [F.bit_count(F.col(m).bitwiseXOR(F.col(f"other_{m}"))) for m in _MARKS]
+    return sum(bits[1:], bits[0])
+
+
+def _near_enough(differ, n, m):
+    """Whether sets of n and m tokens, ``differ`` of them or more in one set only, may still be alike."""
+    return (100 + PERCENT) * differ <= (100 - PERCENT) * (n + m)
+
+
+def _marks_fit() -> Column:
+    return _near_enough(_marks_differ(), F.col("n"), F.col("other_n"))
+
 
+def _ends() -> tuple[Column, Column]:
+    return F.least("class", "other_class").alias("low"), F.greatest("class", "other_class").alias("high")
 
-def _least_shared() -> Column:
-    """How many prefix tokens two sets must have in common at least.
 
-    Sets that are alike share so many tokens in all; those outside a set's prefix are at most its size less the
-    prefix, and the shared tokens inside both prefixes come first in the order.
+def _led(postings: DataFrame) -> DataFrame:
+    """Pairs of classes (low, high) with a prefix token in common, ``a`` the one that leads.
+
+    Each token offers one of its classes as leader, every token by an order of its own, so that a class of a crowd
+    meets as many of the others as it has tokens; it takes the ``LEADERS`` whose marks are nearest to its own.
     """
-    need = F.ceil(PERCENT * (F.col("n") + F.col("other_n")) / (100 + PERCENT))
-    inside = lambda n: need - F.ceil(n * PERCENT / 100) + 1
-    return F.greatest(F.lit(1), F.least(inside(F.col("n")), inside(F.col("other_n"))))
+    order = F.struct(F.xxhash64("class", "token").alias("rank"), *_OWN)
+    leads = postings.groupBy("token").agg(F.min(order).alias("lead"))
+    leads = leads.select("token", *(F.col(f"lead.{c}").alias(f"other_{c}") for c in _OWN))
+    offers = postings.join(leads, "token").filter((F.col("class") != F.col("other_class")) & _may_be_alike() & _marks_fit())
+    offers = offers.select("class", F.struct(_marks_differ().alias("differ"), "other_class").alias("offer"))
+    nearest = offers.groupBy("class").agg(F.slice(F.sort_array(F.collect_set("offer")), 1, LEADERS).alias("offers"))
+    pairs = nearest.select("class", F.explode("offers.other_class").alias("other_class"))
+    return pairs.groupBy(*_ends()).agg(F.min("other_class").alias("a"))
 
 
-def _candidates(mixed: DataFrame, round_no: int) -> DataFrame:
-    """Pairs of classes (low, high) with a prefix token in common and no component, ``a`` the one that leads.
+def _across(postings: DataFrame) -> DataFrame:
+    """All pairs of classes (low, high) across components that share a prefix token and whose marks are near enough.
 
-    Before the last round each token offers one of its classes as leader, in another order each time, and a class
-    takes the leader that most of its tokens offer. The last round takes all pairs across components that share as
-    many prefix tokens as they must: the classes outside a token's main component meet everyone.
+    The classes outside a token's main component meet everyone. A component's number is its least class, so the
+    least one of a token is most likely the largest. Tokens within one component are left out.
     """
-    across = (F.col("component") != F.col("other_component")) & _may_be_alike()
-    if round_no < LEADER_ROUNDS:
-        lead = mixed.select("token", "class", "n", "place", "component", *(F.col(f"lead.{c}").alias(f"other_{c}") for c in ("class", "n", "place", "component")))
-        offers = lead.filter(across).groupBy("class", "other_class").agg(F.count(F.lit(1)).alias("offers"))
-        pairs = offers.groupBy("class").agg(F.max(F.struct("offers", "other_class")).alias("best")).select("class", "best.other_class")
-    else:
-        mixed = mixed.withColumn("is_main", F.col("component") == F.col("lead.component")).drop("lead")
-        others = mixed.select("token", *(F.col(c).alias(f"other_{c}") for c in ("class", "n", "place", "component", "is_main")))
-        once = F.col("other_is_main") | (F.col("class") < F.col("other_class"))
-        apart = F.col("component") != F.col("other_component")
-        rows = mixed.filter(~F.col("is_main")).join(others, "token").filter(apart & once & _lengths_fit())
-        rows = rows.withColumn("fits", _may_be_alike())
-        # Which of two classes comes first differs from token to token: both orders count as one pair.
-        in_order = F.col("class") < F.col("other_class")
-        pick = lambda a, b, name: F.when(in_order, F.col(a)).otherwise(F.col(b)).alias(name)
-        ends = [pick(a, b, a) for a, b in (("class", "other_class"), ("other_class", "class"), ("n", "other_n"), ("other_n", "n"))]
-        shared = rows.select(*ends, "fits").groupBy("class", "other_class", "n", "other_n")
-        shared = shared.agg(F.count(F.lit(1)).alias("shared"), F.max("fits").alias("fits"))
-        pairs = shared.filter(F.col("fits") & (F.col("shared") >= _least_shared()))
-    ends = (F.least("class", "other_class").alias("low"), F.greatest("class", "other_class").alias("high"))
-    return pairs.groupBy(*ends).agg(F.min("other_class").alias("a"))
+    tokens = postings.groupBy("token").agg(F.min("component").alias("main"), F.max("component").alias("high"))
+    mixed = stage(postings.join(tokens.filter("main <> high").select("token", "main"), "token"), "mixed")
+    mixed = mixed.withColumn("is_main", F.col("component") == F.col("main")).drop("main")
+    others = mixed.select("token", *(F.col(c).alias(f"other_{c}") for c in (*_OWN, "component", "is_main")))
+    once = F.col("other_is_main") | (F.col("class") < F.col("other_class"))
+    apart = F.col("component") != F.col("other_component")
+    rows = mixed.filter(~F.col("is_main")).join(others, "token").filter(apart & once & _may_be_alike() & _marks_fit())
+    low, high = _ends()
+    return rows.select(low, high).distinct().withColumn("a", F.col("low"))
+
+
+def _compare_marks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The pairs whose marks, folded to the smaller of their sizes, are near enough."""
+    for batch in batches:
+        kept = []
+        for low, high, n, m in zip(*(batch[c].to_pylist() for c in ("low_bits", "high_bits", "low_n", "high_n")), strict=True):
+            size = min(len(low), len(high))
+            differ = int(np.bitwise_count(_folded(low, size) ^ _folded(high, size)).sum())
+            kept.append(_near_enough(differ, n, m))
+        yield batch.select(["low", "high", "a"]).filter(pa.array(kept, pa.bool_()))
+
+
+def _marked_near(pairs: DataFrame, marks: DataFrame) -> DataFrame:
+    """The pairs that the marks of their classes leave."""
+    side = lambda end: marks.select(F.col("class").alias(end), F.col("n").alias(f"{end}_n"), F.col("bits").alias(f"{end}_bits"))
+    both = pairs.join(side("low"), "low").join(side("high"), "high")
+    columns = ("low", "high", "a", "low_n", "high_n", "low_bits", "high_bits")
+    return both.select(*columns).mapInArrow(_compare_marks, "low long, high long, a long")
 
 
 def _passing(bits: np.ndarray):
@@ -422,6 +470,22 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         return _near_duplicates(docs)
 
 
+def _added_sets(texts: DataFrame, pairs: DataFrame, ids: DataFrame, sets: DataFrame | None) -> DataFrame:
+    """The whole sets of the pairs' classes that ``sets`` does not have yet.
+
+    A few more pass the filter by chance, or again for a repeated row: they meet no pair, or give a link twice.
+    """
+    members = pairs.select(F.col("low").alias("class")).union(pairs.select("high")).distinct()
+    if sets is not None:
+        members = members.join(sets.select("class"), "class", "left_anti")
+    wanted = _bits(members.join(ids, "class").select(F.col("doc_id").alias("value")), FILTER_BITS)
+    return stage(texts.mapInArrow(_sets(wanted), _SETS), "sets")
+
+
+def _placed(links: DataFrame) -> DataFrame:
+    return components(links).select(F.col("node").alias("class"), "component")
+
+
 def _near_duplicates(docs: DataFrame) -> DataFrame:
     texts = _texts(docs)
     keys = texts.withColumn("row_key", row_key())
@@ -444,41 +508,24 @@ def _near_duplicates(docs: DataFrame) -> DataFrame:
     postings = prefixes.mapInArrow(_postings(_bits(shared.select("value"), TOKEN_BITS)), _POSTINGS)
     postings = stage(postings.distinct(), "postings")
 
-    known = links = tried = sets = None  # known: (class, component) of the classes that have links
-    for round_no in range(LEADER_ROUNDS + 1):
-        placed = postings.withColumn("component", F.col("class"))
-        if known is not None:
-            placed = postings.join(small(known).withColumnRenamed("component", "joined"), "class", "left")
-            placed = placed.withColumn("component", F.coalesce("joined", "class")).drop("joined")
-        # Tokens within one component stay there: later rounds need not look at them.
-        mixed = stage(_mixed(placed, round_no), "mixed")
-        postings = mixed.select("token", "class", "n", "place")
-        pairs = _candidates(mixed, round_no)
-        pairs = stage(pairs if tried is None else pairs.join(tried, ["low", "high"], "left_anti"), "pairs")
-        if pairs.isEmpty():
-            # Without pairs the last round has nothing to add to what was found before, but all of it must be joined.
-            if round_no == LEADER_ROUNDS and links is not None:
-                known = stage(components(links).select(F.col("node").alias("class"), "component"), "components")
-            continue
-        done = pairs.select("low", "high")
-        tried = done if tried is None else tried.unionByName(done)
-        members = pairs.select(F.col("low").alias("class")).union(pairs.select("high")).distinct()
-        if sets is not None:
-            members = members.join(sets.select("class"), "class", "left_anti")
-        members = stage(members.join(ids, "class"), "members")
-        new = texts.mapInArrow(_sets(_bits(members.select(F.col("doc_id").alias("value")), FILTER_BITS)), _SETS)
-        # A few sets pass the filter by chance, or again for a repeated row: they meet no pair, or give a link twice.
-        new = stage(new, "sets")
-        sets = new if sets is None else sets.unionByName(new)
-        found = stage(_verified(pairs, sets), "links")
-        links = found if links is None else links.unionByName(found)
-        # Between rounds a few steps are enough: what they do not join yet is only looked at again.
-        found = components(links, None if round_no == LEADER_ROUNDS else STEPS)
-        known = stage(found.select(F.col("node").alias("class"), "component"), "components")
+    marks = prefixes.select("class", "n", "bits").dropDuplicates(["class"])
+    pairs = stage(_marked_near(_led(postings), marks), "pairs")
+    sets = _added_sets(texts, pairs, ids, None)
+    links = stage(_verified(pairs, sets), "links")
+    known = stage(_placed(links), "components")  # (class, component) of the classes that have links
+    joined = small(known).withColumnRenamed("component", "joined")
+    placed = postings.join(joined, "class", "left").withColumn("component", F.coalesce("joined", "class")).drop("joined")
+    # What was compared before and not found alike is not compared again.
+    left = _across(placed).join(pairs.select("low", "high"), ["low", "high"], "left_anti")
+    left = stage(_marked_near(left, marks), "pairs")
+    if not left.isEmpty():
+        sets = sets.unionByName(_added_sets(texts, left, ids, sets))
+        found = _verified(left, sets)
+        # Classes of one component are linked through its least class: their own links need not be looked at again.
+        known = _placed(found.unionByName(known.select(F.col("class").alias("a"), F.col("component").alias("b"))))
 
     ids = ids.withColumn("group", F.col("class"))
-    if known is not None:
-        ids = ids.join(known, "class", "left").withColumn("group", F.coalesce("component", "class")).drop("component")
+    ids = ids.join(known, "class", "left").withColumn("group", F.coalesce("component", "class")).drop("component")
     least = ids.groupBy("group").agg(F.min("doc_id").alias("component_id"))
     ids = ids.select(F.col("class").alias("id_class"), "group").join(least, "group")
     has_words = F.col("n") > 0

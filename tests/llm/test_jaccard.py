@@ -3,6 +3,7 @@
 import random
 from collections import Counter
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -103,6 +104,39 @@ def test_links_just_above_the_bound(spark, seed):
     assert sorted(got) == sorted(brute(rows))
 
 
+def test_a_crowd_that_is_not_alike_is_not_paired(spark, monkeypatch):
+    """150 texts with two words of their own in a common one of 100 are some 0.65 alike and share much of their prefixes."""
+    rng, base, texts = random.Random(7), [f"c{i}" for i in range(100)], []
+    for i in range(150):
+        copy = list(base)
+        for place in (rng.randrange(5, 45), rng.randrange(55, 95)):
+            copy[place] = f"own{i}at{place}"
+        texts.append(" ".join(copy))
+    staged, stage = [], jaccard.stage
+
+    def counted(df, name):
+        out = stage(df, name)
+        staged.append((name, out.count()))
+        return out
+
+    monkeypatch.setattr(jaccard, "stage", counted)
+    rows = list(enumerate(texts))
+    got = [(r.doc_id, r.n_shingles, r.component_id) for r in jaccard.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()]
+    assert sorted(got) == sorted(brute(rows))
+    assert sum(n for name, n in staged if name == "pairs") < 5 * len(rows)
+
+
+@pytest.mark.parametrize(("n", "m", "common"), [(90, 90, 80), (400, 400, 356), (700, 600, 520), (30_000, 28_000, 26_000), (1, 1, 1)])
+def test_marks_differ_by_no_more_than_the_sets(n, m, common):
+    rng = np.random.default_rng(n)
+    tokens = rng.integers(0, 2**64, n + m - common, np.uint64)
+    low, high = jaccard._mark(tokens[:n]), jaccard._mark(tokens[n - common :])
+    size = min(len(low), len(high))
+    for bits in (size, jaccard.MARK_BITS // 8):
+        differ = np.bitwise_count(jaccard._folded(low, bits) ^ jaccard._folded(high, bits)).sum()
+        assert differ <= n + m - 2 * common
+
+
 def test_empty(spark):
     docs = spark.createDataFrame([], "doc_id long, text string")
     assert jaccard.near_duplicates(docs).collect() == []
