@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from talkmart.functions import markup as M
 from talkmart.operators import pages as P
 
 PROFILE = """<div class="writerProfile"><dl><dt title="It&#39;s a &quot;title&quot;">x</dt>
@@ -94,3 +95,11 @@ def test_links(spark):
     rows = P.listed_links(frame(spark, ("l", html), ("m", html)), "2025-01-31").collect()
     assert [r.link for r in rows] == ["/a?x=1&y=2"]
     assert P.listed_links(frame(spark, ("l", html)), "2025-03-01").count() == 0
+
+
+def test_entities_are_decoded_a_few_rows_at_a_time(spark):
+    """An Arrow batch would hold the texts of 10,000 pages at once."""
+    df = spark.createDataFrame([("a &amp; b &lt;3",), ("&#48;&nbsp;&unknown;",), ("",), (None,)], "text string")
+    decoded = df.select(M.decode_entities("text").alias("text"))
+    assert [r.text for r in decoded.collect()] == ["a & b <3", "0\u00a0&unknown;", "", None]
+    assert "ArrowEvalPython" not in decoded._jdf.queryExecution().executedPlan().toString()
