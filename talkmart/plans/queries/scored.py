@@ -8,7 +8,7 @@ from talkmart.functions.keys import stable_key
 from talkmart.functions.text import clean_sentences
 from talkmart.operators import quality, recovery, scoring
 from talkmart.plans.queries import shapes as S
-from talkmart.plans.queries.registry import cte, query, scratch_folder, sql_bucket, sql_clean, sql_key, table, with_ctes
+from talkmart.plans.queries.registry import cte, query, scratch_folder, sql_bucket, sql_clean, sql_key, stored, table, with_ctes
 from talkmart.plans.score import score_with_memory
 
 FILES = 16
@@ -99,7 +99,8 @@ def _(spark, folder):
     lines = F.split("text", "\n")
     rows = table(spark, folder, "documents").select("doc_id", "lang", F.posexplode(lines).alias("pos", "sentence"))
     keyed = rows.select(stable_key(F.col("doc_id"), F.col("pos")).alias("sentence_uuid"), "sentence", "lang")
-    sentences = clean_sentences(keyed, script=S.LATIN)
+    # Written once: both runs read them twice, to find the distinct texts and to give them their answers.
+    sentences = stored(clean_sentences(keyed, script=S.LATIN), "sentences")
     store, scorer = scratch_folder(spark, "scores"), scoring.CueScorer(_CUES, "other")
     score_with_memory(sentences.filter("lang = 'en'"), store, scorer)
     return scoring.classified(score_with_memory(sentences, store, scorer))
