@@ -7,14 +7,15 @@ prefixes, ties by hash; its prefixes make the candidates, cut by length and posi
 candidate must share prefix tokens there too before its sets are compared as a whole.
 
 Groups of copies never become all their pairs. Texts with equal words are one class from the start. Then each
-prefix token offers its classes one leader, another for each token, and a class is compared with the nearest few;
-classes found alike become one component, and only tokens that still join different components are looked at again,
+prefix token offers its classes one leader, another for each token, and a class is compared with the nearest few of
+those it meets most often; classes found alike become one component, and only tokens that still join different components are looked at again,
 with every pair across components. So each pair of classes that shares a prefix token either lies in one component,
 was compared or is too far apart by its marks.
 
 A mark has a bit per slot of the hash range: whether an odd number of a set's tokens fall there. Two marks differ in
 as many bits as the sets have tokens that are not common, or fewer, so marks that differ more rule a pair out and
-lose none. A posting has a mark of 512 bits; a class has one that grows with its set, for the pairs that are left.
+lose none. A class has a mark that grows with its set. Postings carry none, only those of tokens that join different
+components are given one of 512 bits.
 """
 
 from __future__ import annotations
@@ -42,8 +43,8 @@ CELLS = 1 << 20
 TOKEN_BITS, FILTER_BITS = 33_554_393, 4_194_301
 #: Times that a token stands in the prefixes of several classes from which it counts as crowded and comes last.
 CROWD = 12
-#: Leaders that a class is compared with before the pairs across components.
-LEADERS = 3
+#: Leaders that a class is compared with before the pairs across components, and those whose marks are looked at for it.
+LEADERS, OFFERS = 3, 6
 #: Bits of a posting's mark, and of the largest mark of a class (both powers of two).
 MARK_BITS, MOST_BITS = 512, 32_768
 
@@ -52,14 +53,15 @@ BATCH_ROWS = 1000
 #: Tokens that a task holds in lists before it counts them or hands them on.
 _HELD = 1 << 19
 #: Bytes of text whose words are cut together.
-_CUT_BYTES = 1 << 22
+_CUT_BYTES = 1 << 20
 
 _MULTIPLIER, _MIX = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
 _SIGNATURES = "doc_id long, row_key string, class long, n long, cells binary"
 _MARKS = [f"mark_{i}" for i in range(MARK_BITS // 64)]
-_PREFIXES = "class long, n int, tokens array<long>, bits binary"
-_POSTINGS = "token long, class long, n int, place int, " + ", ".join(f"{m} long" for m in _MARKS)
-_OWN = ("class", "n", "place", *_MARKS)
+_TOKENS = "class long, n int, tokens array<long>"
+_PREFIXES = f"{_TOKENS}, bits binary"
+_POSTINGS = "token long, class long, n int, place int"
+_OWN = ("class", "n", "place")
 _SETS = "class long, n int, grams array<long>"
 
 
@@ -203,12 +205,13 @@ def _folded(mark: bytes, size: int) -> np.ndarray:
 def _prefixes(levels: np.ndarray, crowded: np.ndarray | None = None, only: np.ndarray | None = None):
     """Each class with its prefix under the first order; copies within a batch once.
 
-    ``crowded`` tokens come after all others. With ``only``, just the documents whose ids pass that filter.
+    ``crowded`` tokens come after all others; then the marks are left out. With ``only``, just the documents whose ids
+    pass that filter.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            tokens, classes, sizes, marks = [], [], [], []
+            tokens, classes, sizes, marks = [], [], [], [] if crowded is None else None
             for name, grams in _distinct(batch, only):
                 rank = levels[_cell(grams)]
                 if crowded is not None:
@@ -217,7 +220,8 @@ def _prefixes(levels: np.ndarray, crowded: np.ndarray | None = None, only: np.nd
                 tokens.append(grams[order])
                 classes.append(name)
                 sizes.append(len(grams))
-                marks.append(_mark(grams))
+                if marks is not None:
+                    marks.append(_mark(grams))
                 if _full(tokens):
                     yield _listed(classes, sizes, tokens, "tokens", marks)
             if tokens:
@@ -261,15 +265,19 @@ def _distinct(batch: pa.RecordBatch, only: np.ndarray | None) -> Iterator[tuple[
                     yield name, grams
 
 
+def _held(batch: pa.RecordBatch, crowded: np.ndarray) -> np.ndarray:
+    """Whether each prefix of a batch holds crowded tokens; no prefix is empty."""
+    sizes = pa.compute.list_value_length(batch["tokens"]).to_numpy()
+    hits = _passes(crowded, batch["tokens"].flatten().to_numpy(), TOKEN_BITS)
+    return np.add.reduceat(hits, np.cumsum(sizes) - sizes, dtype=np.int64) > 0 if len(sizes) else np.empty(0, bool)
+
+
 def _holding(crowded: np.ndarray, wanted: bool):
     """The prefixes that hold crowded tokens, or those that do not."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            lists = batch["tokens"]
-            sizes = pa.compute.list_value_length(lists).to_numpy()
-            hits = np.add.reduceat(_passes(crowded, lists.flatten().to_numpy(), TOKEN_BITS), np.cumsum(sizes) - sizes) if len(sizes) else sizes
-            yield batch.filter(pa.array((hits > 0) == wanted))
+            yield batch.filter(pa.array(_held(batch, crowded) == wanted))
 
     return run
 
@@ -279,24 +287,35 @@ def _lists(arrays: list[np.ndarray]) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(_signed(np.concatenate(arrays))))
 
 
-def _postings(bits: np.ndarray):
-    """A row per prefix token that passes the filter of shared tokens, with its place in the prefix and its set's mark."""
+def _postings(bits: np.ndarray, crowded: np.ndarray | None = None):
+    """A row per prefix token that passes the filter of shared tokens, with its place in the prefix.
+
+    Prefixes that hold ``crowded`` tokens are left out here, not by a task before: that would be another Python worker.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            if crowded is not None:
+                batch = batch.filter(pa.array(~_held(batch, crowded)))
             lists = batch["tokens"]
             tokens, sizes = lists.flatten().to_numpy(), pa.compute.list_value_length(lists).to_numpy()
             row = np.repeat(np.arange(len(sizes)), sizes)
             place = np.arange(len(tokens)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
             kept = np.flatnonzero(_passes(bits, tokens, TOKEN_BITS))
             columns = [tokens[kept], batch["class"].to_numpy()[row[kept]], batch["n"].to_numpy()[row[kept]], place[kept].astype(np.int32)]
-            marks = np.array([_folded(mark, MARK_BITS // 8) for mark in batch["bits"].to_pylist()], np.uint64).reshape(-1, len(_MARKS))
-            columns += list(marks.view(np.int64)[row[kept]].T)
             yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["token", *_OWN])
 
     return run
 
 
+def _short_marks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The mark of each class, folded to ``MARK_BITS``."""
+    for batch in batches:
+        marks = np.array([_folded(mark, MARK_BITS // 8) for mark in batch["bits"].to_pylist()], np.uint64).reshape(-1, len(_MARKS))
+        columns = [batch["class"], *(pa.array(np.ascontiguousarray(c)) for c in marks.view(np.int64).T)]
+        yield pa.RecordBatch.from_arrays(columns, names=["class", *_MARKS])
+
+
 def _bits(values: DataFrame, size: int) -> np.ndarray:
     """Which remainders modulo ``size`` a column ``value`` takes: ``size`` bits to the driver, however many rows."""
     slot = values.select(F.pmod(F.coalesce("value", F.lit(-1)), F.lit(size)).alias("slot"))
@@ -369,32 +388,40 @@ def _ends() -> tuple[Column, Column]:
     return F.least("class", "other_class").alias("low"), F.greatest("class", "other_class").alias("high")
 
 
-def _led(postings: DataFrame) -> DataFrame:
+def _led(postings: DataFrame, marks: DataFrame) -> DataFrame:
     """Pairs of classes (low, high) with a prefix token in common, ``a`` the one that leads.
 
     Each token offers one of its classes as leader, every token by an order of its own, so that a class of a crowd
-    meets as many of the others as it has tokens; it takes the ``LEADERS`` whose marks are nearest to its own.
+    meets as many of the others as it has tokens. Of the ``OFFERS`` that it meets most often it takes the ``LEADERS``
+    whose marks are nearest to its own.
     """
     order = F.struct(F.xxhash64("class", "token").alias("rank"), *_OWN)
     leads = postings.groupBy("token").agg(F.min(order).alias("lead"))
     leads = leads.select("token", *(F.col(f"lead.{c}").alias(f"other_{c}") for c in _OWN))
-    offers = postings.join(leads, "token").filter((F.col("class") != F.col("other_class")) & _may_be_alike() & _marks_fit())
-    offers = offers.select("class", F.struct(_marks_differ().alias("differ"), "other_class").alias("offer"))
-    nearest = offers.groupBy("class").agg(F.slice(F.sort_array(F.collect_set("offer")), 1, LEADERS).alias("offers"))
-    pairs = nearest.select("class", F.explode("offers.other_class").alias("other_class"))
+    offers = postings.join(leads, "token").filter((F.col("class") != F.col("other_class")) & _may_be_alike())
+    met = offers.groupBy("class", "other_class").agg(F.count(F.lit(1)).alias("times"))
+    most = F.slice(F.sort_array(F.collect_list(F.struct("times", "other_class")), asc=False), 1, OFFERS)
+    most = met.groupBy("class").agg(most.alias("most")).select(F.col("class").alias("low"), F.explode("most.other_class").alias("high"))
+    near = _marked_near(most.withColumn("a", F.col("high")), marks)
+    nearest = near.groupBy(F.col("low").alias("class")).agg(
+        F.slice(F.sort_array(F.collect_list(F.struct("differ", "a"))), 1, LEADERS).alias("offers")
+    )
+    pairs = nearest.select("class", F.explode("offers.a").alias("other_class"))
     return pairs.groupBy(*_ends()).agg(F.min("other_class").alias("a"))
 
 
-def _across(postings: DataFrame) -> DataFrame:
+def _across(postings: DataFrame, marks: DataFrame) -> DataFrame:
     """All pairs of classes (low, high) across components that share a prefix token and whose marks are near enough.
 
     The classes outside a token's main component meet everyone. A component's number is its least class, so the
     least one of a token is most likely the largest. Tokens within one component are left out.
     """
     tokens = postings.groupBy("token").agg(F.min("component").alias("main"), F.max("component").alias("high"))
-    mixed = stage(postings.join(tokens.filter("main <> high").select("token", "main"), "token"), "mixed")
+    mixed = postings.join(tokens.filter("main <> high").select("token", "main"), "token")
+    short = marks.select("class", "bits").mapInArrow(_short_marks, "class long, " + ", ".join(f"{m} long" for m in _MARKS))
+    mixed = stage(mixed.join(short, "class"), "mixed")
     mixed = mixed.withColumn("is_main", F.col("component") == F.col("main")).drop("main")
-    others = mixed.select("token", *(F.col(c).alias(f"other_{c}") for c in (*_OWN, "component", "is_main")))
+    others = mixed.select("token", *(F.col(c).alias(f"other_{c}") for c in (*_OWN, *_MARKS, "component", "is_main")))
     once = F.col("other_is_main") | (F.col("class") < F.col("other_class"))
     apart = F.col("component") != F.col("other_component")
     rows = mixed.filter(~F.col("is_main")).join(others, "token").filter(apart & once & _may_be_alike() & _marks_fit())
@@ -403,14 +430,16 @@ def _across(postings: DataFrame) -> DataFrame:
 
 
 def _compare_marks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The pairs whose marks, folded to the smaller of their sizes, are near enough."""
+    """The pairs whose marks, folded to the smaller of their sizes, are near enough, and in how many bits they differ."""
     for batch in batches:
-        kept = []
+        kept, bits = [], []
         for low, high, n, m in zip(*(batch[c].to_pylist() for c in ("low_bits", "high_bits", "low_n", "high_n")), strict=True):
             size = min(len(low), len(high))
             differ = int(np.bitwise_count(_folded(low, size) ^ _folded(high, size)).sum())
             kept.append(_near_enough(differ, n, m))
-        yield batch.select(["low", "high", "a"]).filter(pa.array(kept, pa.bool_()))
+            bits.append(differ)
+        columns = [*(batch[c] for c in ("low", "high", "a")), pa.array(bits, pa.int32())]
+        yield pa.RecordBatch.from_arrays(columns, names=["low", "high", "a", "differ"]).filter(pa.array(kept, pa.bool_()))
 
 
 def _marked_near(pairs: DataFrame, marks: DataFrame) -> DataFrame:
@@ -418,7 +447,7 @@ def _marked_near(pairs: DataFrame, marks: DataFrame) -> DataFrame:
     side = lambda end: marks.select(F.col("class").alias(end), F.col("n").alias(f"{end}_n"), F.col("bits").alias(f"{end}_bits"))
     both = pairs.join(side("low"), "low").join(side("high"), "high")
     columns = ("low", "high", "a", "low_n", "high_n", "low_bits", "high_bits")
-    return both.select(*columns).mapInArrow(_compare_marks, "low long, high long, a long")
+    return both.select(*columns).mapInArrow(_compare_marks, "low long, high long, a long, differ int")
 
 
 def _passing(bits: np.ndarray):
@@ -500,24 +529,27 @@ def _near_duplicates(docs: DataFrame) -> DataFrame:
     by_token = prefixes.select("class", F.explode("tokens").alias("value")).groupBy("value")
     counts = by_token.agg(F.count(F.lit(1)).alias("times"), F.min("class").alias("low"), F.max("class").alias("high"))
     crowded = _bits(counts.filter((F.col("times") >= CROWD) & (F.col("low") != F.col("high"))).select("value"), TOKEN_BITS)
-    held = prefixes.mapInArrow(_holding(crowded, True), _PREFIXES).select("class").distinct().join(ids, "class")
-    again = texts.mapInArrow(_prefixes(levels, crowded, _bits(held.select(F.col("doc_id").alias("value")), FILTER_BITS)), _PREFIXES)
-    prefixes = prefixes.mapInArrow(_holding(crowded, False), _PREFIXES).unionByName(stage(again, "prefixes"))
-    tokens = prefixes.select("class", F.explode("tokens").alias("value")).groupBy("value")
+    marks = stage(prefixes.select("class", "n", "bits").dropDuplicates(["class"]), "marks")
+    prefixes = prefixes.select("class", "n", "tokens")
+    held = prefixes.mapInArrow(_holding(crowded, True), _TOKENS).select("class").distinct().join(ids, "class")
+    again = texts.mapInArrow(_prefixes(levels, crowded, _bits(held.select(F.col("doc_id").alias("value")), FILTER_BITS)), _TOKENS)
+    again = stage(again, "prefixes")
+    tokens = prefixes.mapInArrow(_holding(crowded, False), _TOKENS).unionByName(again)
+    tokens = tokens.select("class", F.explode("tokens").alias("value")).groupBy("value")
     shared = tokens.agg(F.min("class").alias("low"), F.max("class").alias("high")).filter("low <> high")
-    postings = prefixes.mapInArrow(_postings(_bits(shared.select("value"), TOKEN_BITS)), _POSTINGS)
+    bits = _bits(shared.select("value"), TOKEN_BITS)
+    postings = prefixes.mapInArrow(_postings(bits, crowded), _POSTINGS).unionByName(again.mapInArrow(_postings(bits), _POSTINGS))
     postings = stage(postings.distinct(), "postings")
 
-    marks = prefixes.select("class", "n", "bits").dropDuplicates(["class"])
-    pairs = stage(_marked_near(_led(postings), marks), "pairs")
+    pairs = stage(_led(postings, marks), "pairs")
     sets = _added_sets(texts, pairs, ids, None)
     links = stage(_verified(pairs, sets), "links")
     known = stage(_placed(links), "components")  # (class, component) of the classes that have links
     joined = small(known).withColumnRenamed("component", "joined")
     placed = postings.join(joined, "class", "left").withColumn("component", F.coalesce("joined", "class")).drop("joined")
     # What was compared before and not found alike is not compared again.
-    left = _across(placed).join(pairs.select("low", "high"), ["low", "high"], "left_anti")
-    left = stage(_marked_near(left, marks), "pairs")
+    left = _across(placed, marks).join(pairs.select("low", "high"), ["low", "high"], "left_anti")
+    left = stage(_marked_near(left, marks).drop("differ"), "pairs")
     if not left.isEmpty():
         sets = sets.unionByName(_added_sets(texts, left, ids, sets))
         found = _verified(left, sets)

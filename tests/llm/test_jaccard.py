@@ -157,3 +157,22 @@ def test_components(spark):
                 changed = True
     assert got == group
     assert components.components(spark.createDataFrame([], "a long, b long")).collect() == []
+
+
+def test_postings_are_narrow_and_no_task_holds_two_python_workers(spark, monkeypatch):
+    """Postings move by token several times, so they hold no marks. A task over a task would keep a second worker."""
+    staged, stage = {}, jaccard.stage
+
+    def kept(df, name):
+        staged.setdefault(name, []).append((df.schema.names, df._jdf.queryExecution().executedPlan().toString()))
+        return stage(df, name)
+
+    monkeypatch.setattr(jaccard, "stage", kept)
+    rows = list(enumerate(near_copies(random.Random(4))))
+    assert jaccard.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).count() == len(rows)
+    assert staged["postings"][0][0] == ["token", "class", "n", "place"]
+    for _, plan in sum(staged.values(), []):
+        chained = 0
+        for line in plan.split("\n"):
+            chained = 0 if any(x in line for x in ("Exchange", "Union", "Join", "Scan")) else chained + ("MapInArrow" in line)
+            assert chained < 2
