@@ -44,7 +44,8 @@ def text_key(text: Column, version: str) -> Column:
 def distinct_texts(sentences: DataFrame, version: str, text: str = "sentence") -> DataFrame:
     """(text_key, text): each different text once. A text that very many sentences share is thinned out before the shuffle."""
     keyed = sentences.select(text_key(F.col(text), version).alias("text_key"), F.coalesce(text, F.lit("")).alias("text"))
-    return keyed.groupBy("text_key").agg(F.first("text").alias("text"))
+    # The key is made of the text: both together are hashed, one alone would have to be sorted to keep a text.
+    return keyed.distinct()
 
 
 def known_answers(texts: DataFrame, memory: DataFrame, few_texts: bool = False) -> DataFrame:
@@ -65,7 +66,7 @@ def ask_unknown(
     good, tried = known.filter("ok").select("text_key"), known.select("text_key", F.col("attempts").alias("before"))
     open_texts = texts.join(good, "text_key", "left_anti").join(tried, "text_key", "left")
     parsed = scoring.score_sentences(
-        open_texts, scorer, files, strict, key="text_key", text="text", carry=["before"], calls_at_once=calls_at_once
+        open_texts, scorer, files, strict, key="text_key", text="text", carry=["before"], calls_at_once=calls_at_once, keep_text=False
     )
     attempts = (F.coalesce("before", F.lit(0)) + 1).cast("int").alias("attempts")
     # What a failed line happened to give is no answer.

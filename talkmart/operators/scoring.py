@@ -197,27 +197,27 @@ def parse_replies(answered: DataFrame, strict: bool = True, carry: Sequence[str]
     with_error = "error" in answered.columns
     kept = ["file_no", "batch_no", "items", *(["error"] if with_error else [])]
     batches = computed_once(answered, kept, {"_all": reply_lines(F.col("reply"))})
-    # All lines of a batch are looked at once, not again for each of its sentences.
-    broken = _batch_broken(F.col("_all"), F.size("items")) if strict else F.lit(False)
-    batches = computed_once(batches, [*kept, "_all"], {"_broken": broken})
-    rows = batches.select(
+    # A line is read once, for the whole batch and for its sentence, and a sentence takes along only what its own line gave.
+    lines = F.transform("_all", lambda line: F.struct(*parse_line(line)))
+    batches = computed_once(batches, kept, {"_read": lines})
+    broken = _batch_broken(F.col("_read"), F.size("items")) if strict else F.lit(False)
+    pairs = F.transform("items", lambda item, i: F.struct(item.alias("item"), F.try_element_at(F.col("_read"), i + 1).alias("read")))
+    batches = computed_once(batches, [c for c in kept if c != "items"], {"_broken": broken, "_pairs": pairs})
+    read = batches.select(
         "file_no",
         "batch_no",
-        "_all",
         "_broken",
         *([F.col("error").alias("_error")] if with_error else []),
-        F.posexplode("items").alias("pos", "item"),
-    )
-    score, category, keyword = parse_line(F.try_element_at("_all", F.col("pos") + 1))
-    read = computed_once(
-        rows,
-        ["file_no", "batch_no", "pos", "item", "_broken", *(["_error"] if with_error else [])],
-        {
-            "sentiment_score": score,
-            "category": category,
-            "keyword": keyword,
-            "_answered": F.try_element_at("_all", F.col("pos") + 1).isNotNull(),
-        },
+        F.posexplode("_pairs").alias("pos", "_pair"),
+    ).select(
+        "file_no",
+        "batch_no",
+        "pos",
+        F.col("_pair.item").alias("item"),
+        "_broken",
+        *(["_error"] if with_error else []),
+        "_pair.read.*",
+        F.col("_pair.read").isNotNull().alias("_answered"),
     )
     complete = (
         F.col("sentiment_score").isNotNull() & F.col("category").isNotNull() & F.col("keyword").isNotNull()
@@ -234,7 +234,7 @@ def parse_replies(answered: DataFrame, strict: bool = True, carry: Sequence[str]
         "batch_no",
         "pos",
         F.col("item.key").alias("sentence_uuid"),
-        F.col("item.text").alias("sentence"),
+        *([F.col("item.text").alias("sentence")] if "text" in answered.schema["items"].dataType.elementType.names else []),
         *(F.col(f"item.{c}").alias(c) for c in carry),
         "sentiment_score",
         "category",
@@ -245,9 +245,10 @@ def parse_replies(answered: DataFrame, strict: bool = True, carry: Sequence[str]
 
 
 def _batch_broken(lines: Column, asked: Column) -> Column:
+    """``lines`` are read ones: score, category and keyword of each."""
+
     def bad(line: Column) -> Column:
-        score, category, keyword = parse_line(line)
-        return score.isNull() | category.isNull() | keyword.isNull()
+        return line["sentiment_score"].isNull() | line["category"].isNull() | line["keyword"].isNull()
 
     return F.coalesce((F.size(lines) > asked) | F.exists(lines, bad), F.lit(True))
 
@@ -274,7 +275,14 @@ def score_sentences(
     text: str = "sentence",
     carry: Sequence[str] = (),
     calls_at_once: int = 1,
+    keep_text: bool = True,
 ) -> DataFrame:
-    """Sentences -> parsed replies with ``ok`` and ``error``; see ``classified`` and ``classified_failed``."""
+    """Sentences -> parsed replies with ``ok`` and ``error``; see ``classified`` and ``classified_failed``.
+
+    Without ``keep_text`` a text goes to the scorer in its prompt only and does not come back.
+    """
     batched = assign_batches(sentences.select(key, text, *carry), key, files)
-    return parse_replies(ask(prompt_batches(batched, key, text, carry), scorer, calls_at_once=calls_at_once), strict, carry)
+    batches = prompt_batches(batched, key, text, carry)
+    if not keep_text:
+        batches = batches.withColumn("items", F.transform("items", lambda item: item.dropFields("text")))
+    return parse_replies(ask(batches, scorer, calls_at_once=calls_at_once), strict, carry)

@@ -62,6 +62,10 @@ def run_scoring(
         _replace(spark, scoring.classified_failed(scored, PARTITIONS), f"{out}/classified_failed", days, cars)
 
 
+#: Texts of a file where files are no more than groups of batches: small ones, so that the tasks that order them are many.
+TEXTS_PER_FILE = 20_000
+
+
 def score_with_memory(
     sentences: DataFrame,
     memory: str,
@@ -85,7 +89,7 @@ def score_with_memory(
     stored = versions.read_keyed(spark, memory, scores.MEMORY, ("text_key",))
     scores.known_answers(texts, stored, few).write.parquet(f"{run}/known")
     known = spark.read.schema(scores.MEMORY).parquet(f"{run}/known")
-    new = scores.ask_unknown(texts, known, scorer, file_count(texts), strict, calls_at_once)
+    new = scores.ask_unknown(texts, known, scorer, file_count(texts, rows_per_file=TEXTS_PER_FILE), strict, calls_at_once)
     new.write.parquet(f"{run}/answers")
     new = spark.read.schema(scores.MEMORY).parquet(f"{run}/answers")
     small = is_small(new)

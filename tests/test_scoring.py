@@ -181,3 +181,25 @@ def test_a_batch_is_judged_before_its_sentences_are_taken_apart(spark):
     plan = scoring.parse_replies(rows)._jdf.queryExecution().optimizedPlan().toString()
     # The plan is read upwards: what finds bad lines stands below the explode, so it runs once a batch.
     assert plan.count("exists(") >= 1 and plan.index("posexplode(") < plan.index("exists(")
+
+
+def test_memory_path_neither_sorts_texts_nor_takes_them_along(spark):
+    rows = [(f"u{i}", f"good design {i % 7}") for i in range(50)] + [("n", None), ("e", "")]
+    texts = memory.distinct_texts(spark.createDataFrame(rows, "sentence_uuid string, sentence string"), "v")
+    assert sorted(r.text for r in texts.collect()) == sorted({text or "" for _, text in rows})
+    assert "SortAggregate" not in texts._jdf.queryExecution().executedPlan().toString()
+    full, bare = (scoring.score_sentences(texts, key="text_key", text="text", keep_text=k) for k in (True, False))
+    assert "sentence" in full.columns and "sentence" not in bare.columns
+    assert sorted(full.drop("sentence").collect()) == sorted(bare.collect())
+
+
+def test_a_line_is_read_once_for_its_batch_and_its_sentence(spark):
+    rows = [(0, 0, [("a", "x"), ("b", "y"), ("c", "z")], "1. 감성: [0.5], 주제: [k], 부주제: [w]\nbad")]
+    answered = spark.createDataFrame(rows, "file_no int, batch_no int, items array<struct<key:string,text:string>>, reply string")
+    strict, tolerant = (scoring.parse_replies(answered, strict=s) for s in (True, False))
+    assert [r.ok for r in strict.orderBy("pos").collect()] == [False] * 3
+    assert [(r.sentence_uuid, r.sentence, r.sentiment_score, r.ok) for r in tolerant.orderBy("pos").collect()] == [
+        ("a", "x", 0.5, True),
+        ("b", "y", None, False),
+        ("c", "z", None, False),
+    ]
