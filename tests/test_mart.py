@@ -5,12 +5,14 @@ from __future__ import annotations
 from collections import Counter
 from datetime import date, datetime
 
+import duckdb
 import pytest
 from pyspark.sql import functions as F
 
 from talkmart.operators import facts, upsert, views
-from talkmart.plans.queries import QUERIES
+from talkmart.plans.queries import QUERIES, SQL, registry
 from talkmart.sources import versions
+from tests.compare import mismatch
 from tests.conftest import plan_of
 
 POSTS = "post_uuid string, post_id string, title string, author string, article string, create_timestamp bigint, like_cnt bigint, dislike_cnt bigint, view_cnt bigint, comment_cnt bigint, car_name string, source string"
@@ -230,6 +232,74 @@ def test_keyword_facts_join_packed_keys(spark):
     assert "unhex(" in plan and "post:" not in plan
 
 
+def _shuffle_files(spark):
+    disk = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    return {f for f in disk.getAllFiles().mkString("\n").split("\n") if "shuffle_" in f}
+
+
+def _listened_tables(spark, folder):
+    """Orders of two customers with their line items, one of them twice, and one that no customer has."""
+    day = F.lit("1997-03-01 10:00:00").cast("timestamp_ntz")
+    tables = {
+        "region": spark.createDataFrame([(0, "ASIA")], "r_regionkey int, r_name string"),
+        "nation": spark.createDataFrame([(0, "KONA", 0), (1, "NIRO", 0)], "n_nationkey int, n_name string, n_regionkey int"),
+        "customer": spark.range(2).select(
+            F.col("id").alias("c_custkey"), F.concat(F.lit("Customer#"), "id").alias("c_name"), F.lit("BUILDING").alias("c_mktsegment"), F.col("id").cast("int").alias("c_nationkey")
+        ),
+        "orders": spark.range(30).select(
+            F.col("id").alias("o_orderkey"), (F.col("id") % 3).alias("o_custkey"), F.lit("F").alias("o_orderstatus"), F.lit(12.5).alias("o_totalprice"), F.lit("1-URGENT").alias("o_orderpriority"), day.alias("o_orderdate")
+        ),
+        "lineitem": spark.range(121).select(
+            (F.col("id") % 120 % 40).alias("l_orderkey"), (F.col("id") % 120).cast("int").alias("l_linenumber"), (F.col("id") % 120).alias("l_partkey"), F.lit(7).cast("bigint").alias("l_suppkey"),
+            F.lit("R").alias("l_returnflag"), F.lit(0.0).alias("l_discount"), F.lit(1.0).alias("l_quantity"), day.alias("l_shipdate"),
+        ),
+    }
+    duck = duckdb.connect()
+    for name, df in tables.items():
+        df.coalesce(1).write.parquet(f"{folder}/{name}.parquet")
+        duck.execute(f"CREATE VIEW {name} AS SELECT * FROM '{folder}/{name}.parquet/*.parquet'")
+    return duck
+
+
+def test_keyword_facts_in_steps_are_those_of_one_plan(spark, tmp_path):
+    """Keys that come twice or are NULL, on every side."""
+    keys = ["a", "b", "b", "0" * 32, None, "gone"]
+    named = spark.createDataFrame(list(enumerate(keys)), "n int, k string")
+    sentences = named.select(F.col("k").alias("post_uuid"), F.col("k").alias("comment_uuid"), F.col("k").alias("sentence_uuid"), F.when(F.col("n") % 2 == 0, "post").otherwise("comment").alias("type"), F.col("n").cast("string").alias("sentence"))
+    sentences = sentences.unionByName(sentences.withColumn("comment_uuid", F.lit(None).cast("string")))
+    scored = named.select(F.col("k").alias("sentence_uuid"), (F.col("n") / 10).alias("sentiment_score"), F.lit("c").alias("category"), F.lit("k").alias("keyword"))
+    posts = named.select(F.col("k").alias("post_uuid"), F.concat(F.lit("p"), "n").alias("post_id"), F.lit("Kona").alias("car_name"), F.lit("clien").alias("source"))
+    comments = named.filter("n <> 5").select(F.col("k").alias("comment_uuid"), F.concat(F.lit("c"), "n").alias("comment_id"))
+    over = {}
+
+    def step(rows, name, **done):
+        over[name] = done
+        rows.write.parquet(f"{tmp_path}/{name}")
+        return spark.read.parquet(f"{tmp_path}/{name}")
+
+    plain = facts.keyword_facts(sentences, scored, posts, comments, "2025-01-15")
+    stepped = facts.keyword_facts(sentences, scored, posts, comments, "2025-01-15", step=step)
+    assert plain.dtypes == stepped.dtypes and plain.count() == 2 * 3 + 8 + 16
+    assert Counter(plain.collect()) == Counter(stepped.collect())
+    assert over == {"of_posts": {}, "scored": {}, "owned": {"over": "scored"}}
+
+
+@pytest.mark.parametrize("name", ["append_keywords", "social_listening"])
+def test_keyword_queries_keep_the_files_of_one_step_only(spark, tmp_path, monkeypatch, name):
+    """When a step is written its shuffles go, and the files of the step before that nothing reads any more."""
+    monkeypatch.setattr(registry, "scratch_folder", lambda _, name: f"{tmp_path}/kept/{name}")
+    duck = _listened_tables(spark, str(tmp_path))
+    before, threshold = _shuffle_files(spark), spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        rows = QUERIES[name](spark, str(tmp_path))
+        assert sorted(p.name for p in (tmp_path / "kept").iterdir()) == ["of_posts", "owned", "posts"]
+        assert _shuffle_files(spark) <= before
+        assert mismatch(rows, duck, SQL[name]) is None
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+
+
 def test_a_hot_post_is_split_over_tasks(spark):
     """A third of all comments on one post: the join splits them, and the result is whole."""
     hot = spark.range(120_000).select(F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id") % 4000).alias("n"), "id")
